@@ -121,5 +121,5 @@ def class_name(index: Column) -> Column:
 
 
 def class_label(name: Column, score: Column) -> Column:
-    """``name:87.3%``"""
-    return F.format_string("%s:%.1f%%", name, score * 100)
+    """``name:87.3%``; rounds the exact binary value, which format_string does not."""
+    return F.concat(name, F.lit(":"), F.translate(F.format_number(score * 100, 1), ",", ""), F.lit("%"))

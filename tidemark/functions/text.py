@@ -65,7 +65,7 @@ def encode_uri_component(text: Column | str) -> Column:
 def search_text(text: Column | str, base_url: str, offset: Column | int = 0) -> Column:
     """Search URL for the first 150 characters, trimmed."""
     off = F.lit(offset) if isinstance(offset, int) else offset
-    query = F.regexp_replace(F.substring(_col(text), 1, SEARCH_TEXT_CHARS), r"^\s+|\s+$", "")
+    query = F.regexp_replace(F.substring(_col(text), 1, SEARCH_TEXT_CHARS), r"(?U)^[\s\uFEFF]+|[\s\uFEFF]+$", "")
     return F.concat(
         F.lit(base_url + "?q="), encode_uri_component(query), F.lit(f"&count={SEARCH_PAGE_SIZE}&offset="),
         off.cast("string"), F.lit("&responseFilter=Webpages&safesearch=Strict"))

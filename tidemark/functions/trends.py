@@ -81,7 +81,7 @@ def strip_special(text: Column | str) -> Column:
 
 def split_list(text: Column | str) -> Column:
     """Comma list to a trimmed array without empty entries."""
-    parts = F.transform(F.split(_col(text), ","), F.trim)
+    parts = F.transform(F.split(_col(text), ","), lambda x: F.trim(x))
     return F.filter(parts, lambda x: x != "")
 
 

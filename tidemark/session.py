@@ -20,6 +20,7 @@ def get_spark(app: str = "tidemark", cpus: str | int = "*", shuffle_partitions:
         SparkSession.builder.appName(app)
         .master(os.environ.get("TIDEMARK_MASTER", f"local[{cpus}]"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
