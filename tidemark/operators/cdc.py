@@ -13,6 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.lsn import merge_predicate_text
+from tidemark.operators.running import HOT_ROWS, with_group_stats
+
 LSN = "__$start_lsn"
 SEQ = "__$seqval"
 OP = "__$operation"
@@ -161,6 +164,28 @@ def merge_cdc(target: DataFrame, changes: DataFrame, keys: Sequence[str], mode:
         *[F.col(c) if c in keys else value(c) for c in target.columns])
 
 
+def merge_statement(target: str, source: str, keys: Sequence[str], columns: Sequence[str], mode: str = "correct") -> str:
+    """MERGE INTO text for a catalog whose tables take row-level changes."""
+    guard = f" AND s.`{OP}` <> {DELETE}" if mode == "correct" else ""
+    names = ", ".join(f"`{c}`" for c in columns)
+    return (f"MERGE INTO {target} AS t USING {source} AS s ON {merge_predicate_text(keys)} "
+            f"WHEN MATCHED AND s.`{OP}` = {DELETE} THEN DELETE "
+            f"WHEN MATCHED AND s.`{OP}` IN ({INSERT}, {AFTER}) THEN UPDATE SET "
+            + ", ".join(f"t.`{c}` = s.`{c}`" for c in columns)
+            + f" WHEN NOT MATCHED{guard} THEN INSERT ({names}) VALUES ({', '.join(f's.`{c}`' for c in columns)})")
+
+
+def merge_into(target: str, changes: DataFrame, keys: Sequence[str], mode: str = "correct") -> None:
+    """The merge as one statement on a lake table, which rewrites only the files it
+    touches. Needs a catalog with row-level changes; a parquet table rejects it and
+    takes :func:`merge_cdc` with a full rewrite instead."""
+    spark = changes.sparkSession
+    rows = changes.filter(_q(OP) != BEFORE)
+    source = latest_change(rows, keys) if mode == "correct" else rows
+    statement = merge_statement(target, "{source}", keys, spark.table(target).columns, mode)
+    spark.sql(statement, source=source)
+
+
 def apply_cdc(current: DataFrame, changes: DataFrame, keys: Sequence[str], mode: str = "correct") -> DataFrame:
     """The data-frame form of the merge: last change per key, deletes, updates that
     keep a value where they carry NULL, then inserts and unmatched updates.
@@ -186,7 +211,7 @@ def apply_cdc(current: DataFrame, changes: DataFrame, keys: Sequence[str], mode:
     return t.join(s, keys, "full_outer").select(F.inline(both))
 
 
-def replay(current: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+def replay(current: DataFrame, changes: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Result of applying the changes one after the other.
 
     A delete removes every copy of its key, an update replaces all of them by one,
@@ -194,13 +219,12 @@ def replay(current: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataF
     came after its last delete or update, plus its current row when it had neither.
     """
     keys = _check_keys(keys, current, changes)
-    pos = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order_columns())])
-    rows = changes.filter(_q(OP) != BEFORE)
-    resets = rows.filter(_q(OP).isin(DELETE, AFTER)).groupBy(*keys).agg(F.max(pos).alias("_reset"))
-    survivors = (rows.withColumn("_pos", pos).join(resets, keys, "left")
-                 .filter(F.col("_reset").isNull() | (F.col("_pos") >= F.col("_reset")))
-                 .filter(_q(OP) != DELETE).select(*current.columns))
-    return current.join(resets.select(*keys), keys, "left_anti").unionByName(survivors)
+    rows = changes.filter(_q(OP) != BEFORE).withColumn("_pos", F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order_columns())]))
+    resets = _q(OP).isin(DELETE, AFTER)
+    placed = with_group_stats(rows, keys, {"_reset": F.max(F.when(resets, F.col("_pos")))}, hot_rows)
+    survivors = placed.filter((_q(OP) != DELETE) & (F.col("_reset").isNull() | (F.col("_pos") >= F.col("_reset"))))
+    untouched = current.join(rows.filter(resets).select(*keys), keys, "left_anti")
+    return untouched.unionByName(survivors.select(*current.columns))
 
 
 def replace_delete_unmatched(target: DataFrame, snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:

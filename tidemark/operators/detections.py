@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import boxes as B
-from tidemark.operators.running import HOT_ROWS, split_hot, with_row_number
+from tidemark.operators.running import HOT_ROWS, split_hot, with_group_stats, with_row_number
 from tidemark.session import ensure_checkpoint_dir
 
 CORNERS = ("x1", "y1", "x2", "y2")
@@ -26,14 +26,11 @@ def area_filter(dets: DataFrame, low: float, high: float) -> DataFrame:
     return dets.filter((size > low * low) & (size < high * high))
 
 
-def min_side_filter(dets: DataFrame, image: str = "image", side: float = 1.0) -> DataFrame:
-    """Boxes with both sides above ``side``; an image without any keeps all of its boxes.
-
-    The images that keep one are a distinct key list, so no image is gathered in a task.
-    """
-    big = F.least(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")) > side
-    usable = dets.groupBy(image).agg(F.max(F.coalesce(big, F.lit(False))).alias("_any"))
-    return dets.join(usable, image).filter(big | ~F.col("_any")).drop("_any").select(*dets.columns)
+def min_side_filter(dets: DataFrame, image: str = "image", side: float = 1.0, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Boxes with both sides above ``side``; an image without any keeps all of its boxes."""
+    big = F.coalesce(F.least(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")) > side, F.lit(False))
+    flagged = with_group_stats(dets.withColumn("_big", big), [image], {"_any": F.max("_big")}, hot_rows)
+    return flagged.filter(F.col("_big") | ~F.col("_any")).select(*dets.columns)
 
 
 def top_class(preds: DataFrame, scores: str = "scores") -> DataFrame:
@@ -66,7 +63,7 @@ def _covered_tiles(df: DataFrame, tile: float, offset: float) -> DataFrame:
 
 
 def overlapping_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Sequence[str] = ("id",),
-                      tile: float = 128.0, offset: float = 0.0, condition: Column | None = None) -> DataFrame:
+                      tile: float = 256.0, offset: float = 0.0, condition: Column | None = None) -> DataFrame:
     """Pairs of boxes of the same ``keys`` that overlap, with their IoU.
 
     The join key is (keys, tile): each box goes to the tiles it covers, and a pair is
@@ -88,13 +85,13 @@ def overlapping_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], columns:
         *keys, *[F.col(p + c) for p in ("a_", "b_") for c in columns], "iou")
 
 
-def pairwise_iou(dets: DataFrame, image: str = "image", tile: float = 128.0) -> DataFrame:
+def pairwise_iou(dets: DataFrame, image: str = "image", tile: float = 256.0) -> DataFrame:
     """IoU of every two overlapping boxes of an image (a_id < b_id); all other pairs have IoU 0."""
     return overlapping_pairs(dets, dets, [image], tile=tile, condition=F.col("a_id") < F.col("b_id"))
 
 
 def nms(dets: DataFrame, iou_threshold: float = 0.45, score_threshold: float = 0.1, class_aware: bool = False,
-        image: str = "image", cls: str = "cls", max_boxes: int = 2_000, tile: float = 128.0) -> DataFrame:
+        image: str = "image", cls: str = "cls", max_boxes: int = 2_000, tile: float = 256.0) -> DataFrame:
     """Greedy suppression per image, or per image and class: in the order of falling
     score (id on a tie) a box stays when no box kept before overlaps it by more than
     ``iou_threshold``. Areas count the border pixel.

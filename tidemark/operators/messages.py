@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.running import with_row_number
+from tidemark.operators.running import HOT_ROWS, split_hot, with_row_number
 
 REPLY_TIMEOUT = "60 seconds"
 TIME_TO_LIVE = "10 seconds"
@@ -54,9 +54,10 @@ def route(messages: DataFrame, rules: Sequence[str]) -> DataFrame:
     return messages.withColumn("sink", F.explode(F.filter(hits, lambda s: s.isNotNull())))
 
 
-def message_counter(messages: DataFrame, order: Sequence[str], block: Column, key: str = "module") -> DataFrame:
+def message_counter(messages: DataFrame, order: Sequence[str], block: Column, key: str = "module",
+                    hot_rows: int = HOT_ROWS) -> DataFrame:
     """Running number of a message within its module."""
-    return with_row_number(messages, "counter", order, block, [key])
+    return with_row_number(messages, "counter", order, block, [key], hot_rows)
 
 
 def reply_once(replies: DataFrame, key: str = "request_id", order: Sequence[str] = ("ts",)) -> DataFrame:
@@ -66,21 +67,37 @@ def reply_once(replies: DataFrame, key: str = "request_id", order: Sequence[str]
 
 
 def request_reply(requests: DataFrame, replies: DataFrame, timeout: str = REPLY_TIMEOUT,
-                  key: str = "request_id", result: str = "result") -> DataFrame:
+                  key: str = "request_id", result: str = "result", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Each request with its first reply inside the timeout, or with the error TIMEOUT.
 
-    The time limit is inclusive. Replies are joined on the id with the time range as a
-    residual condition, then the earliest is taken per request by a partial aggregate.
+    The time limit is inclusive and request ids are unique. Replies meet their request
+    on the id with the time range as a residual condition, then the earliest is taken
+    per request. A request with more than ``hot_rows`` replies is broadcast to them
+    instead (there are at most replies / hot_rows of those), so they stay spread and
+    are reduced map-side.
     """
-    r = replies.select(F.col(key).alias("_id"), F.col("ts").alias("_ts"), F.col(result).alias("_result"))
     limit = F.expr(f"INTERVAL '{timeout}'")
-    cond = (F.col(key) == F.col("_id")) & F.col("_ts").between(F.col("ts"), F.col("ts") + limit)
-    others = [c for c in requests.columns if c != key]
-    first = F.min(F.when(F.col("_id").isNotNull(), F.struct(F.col("_ts"), F.col("_result")))).alias("_first")
-    answered = requests.join(r, cond, "left").groupBy(key).agg(
-        *[F.any_value(c).alias(c) for c in others], first)
+    cold, hot = split_hot(replies, [key], hot_rows)
+
+    def reply_side(part: DataFrame) -> DataFrame:
+        return part.select(F.col(key).alias("_id"), F.col("ts").alias("_ts"), F.col(result).alias("_result"))
+    in_time = (F.col(key) == F.col("_id")) & F.col("_ts").between(F.col("ts"), F.col("ts") + limit)
+    first = F.min(F.when(F.col("_id").isNotNull(), F.struct("_ts", "_result"))).alias("_first")
+
+    def answered(asked: DataFrame, part: DataFrame) -> DataFrame:
+        others = [F.any_value(c).alias(c) for c in requests.columns if c != key]
+        return asked.join(reply_side(part), in_time, "left").groupBy(key).agg(*others, first)
+
+    if hot is None:
+        matched = answered(requests, cold)
+    else:
+        ids = hot.select(key).distinct()
+        busy = requests.join(F.broadcast(ids), key, "left_semi")
+        firsts = reply_side(hot).join(F.broadcast(busy.select(key, "ts")), in_time).groupBy(key).agg(first)
+        matched = answered(requests.join(F.broadcast(ids), key, "left_anti"), cold).unionByName(
+            busy.join(F.broadcast(firsts), key, "left"))
     got = F.col("_first")
-    return answered.select(
+    return matched.select(
         *requests.columns, got["_ts"].alias("replied_at"), got["_result"].alias(result),
         F.when(got.isNull(), "TIMEOUT").alias("error"))
 

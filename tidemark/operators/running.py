@@ -25,7 +25,7 @@ _GROUP = "_rn_group"
 def id_block(column: str | Column, rows: int = 1_000_000) -> Column:
     """Block of a dense integer order column: at most ``rows`` rows per block."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.floor(c / F.lit(rows))
+    return F.call_function("div", c, F.lit(rows))
 
 
 HOT_ROWS = 5_000_000
@@ -45,6 +45,25 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFr
     return (df.join(F.broadcast(hot), match, "left_anti"), df.join(F.broadcast(hot), match, "left_semi"))
 
 
+def with_group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column],
+                     hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Attach aggregates of a row's group to the row.
+
+    Groups up to ``hot_rows`` rows use a window, which is one shuffle. The statistics
+    of larger groups are few, so they are aggregated map-side and broadcast back and
+    the rows of a hot group stay spread.
+    """
+    cold, hot = split_hot(df, keys, hot_rows)
+    w = Window.partitionBy(*keys)
+    out = cold.select(*df.columns, *[e.over(w).alias(n) for n, e in stats.items()])
+    if hot is None:
+        return out
+    rows = hot.groupBy(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(
+        *[e.alias(n) for n, e in stats.items()])
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
+    return out.unionByName(hot.join(F.broadcast(rows), match).select(*df.columns, *stats))
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],

@@ -7,49 +7,48 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.running import running
+from tidemark.operators.running import HOT_ROWS, running, with_group_stats
 
 
 def pid_signal(df: DataFrame, series: str, order: str, measured: str, block: Column, *, kp: float = 1.0,
                ki: float = 0.1, kd: float = 0.05, setpoint: float = 0.0, low: float = -1.0, high: float = 1.0,
-               dt: float = 1.0) -> DataFrame:
+               dt: float = 1.0, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Controller output per step: kp * e + ki * running sum(e * dt) + kd * difference / dt, clamped.
 
     The error before the first step is 0 and the integral is not bounded.
     """
     e = F.lit(setpoint) - F.col(measured)
     steps = running(df.withColumn("error", e), [series], [order], block,
-                    sums={"_integral": F.col("error") * dt}, lag={"_last": (F.col("error"), 0.0)})
+                    sums={"_integral": F.col("error") * dt}, lag={"_last": (F.col("error"), 0.0)},
+                    hot_rows=hot_rows)
     raw = (F.lit(kp) * F.col("error") + F.lit(ki) * F.col("_integral")
            + F.lit(kd) * (F.col("error") - F.col("_last")) / dt)
     return steps.withColumn("output", F.greatest(F.lit(low), F.least(F.lit(high), raw))).drop("_integral", "_last")
 
 
 def td_returns(df: DataFrame, run: str, order: str, block: Column, gamma: float = 0.99,
-               reward: str = "reward", value: str = "v", done: str = "done") -> DataFrame:
+               reward: str = "reward", value: str = "v", done: str = "done", hot_rows: int = HOT_ROWS) -> DataFrame:
     """``returns = r + gamma * V(next step) * (1 - done)`` and ``advantage = returns - V``.
 
     The next step is the next one of the run, also across episodes; the last one uses 0.
     """
-    steps = running(df, [run], [order], block, lead={"_next": (F.col(value), 0.0)})
+    steps = running(df, [run], [order], block, lead={"_next": (F.col(value), 0.0)}, hot_rows=hot_rows)
     ret = F.col(reward) + F.lit(gamma) * F.col("_next") * (1 - F.col(done))
     return steps.withColumn("returns", ret).withColumn("advantage", F.col("returns") - F.col(value)).drop("_next")
 
 
-def normalise(df: DataFrame, run: str, column: str, out: str, eps: float = 1e-8) -> DataFrame:
-    """``(x - mean) / (sample standard deviation + eps)`` within a run.
-
-    Statistics come from a partial aggregate and are joined back, so a long run is
-    not sorted or held in one task.
-    """
-    stats = df.groupBy(run).agg(F.avg(column).alias("_mean"), F.stddev_samp(column).alias("_std"))
-    return df.join(stats, run).withColumn(
+def normalise(df: DataFrame, run: str, column: str, out: str, eps: float = 1e-8,
+              hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``(x - mean) / (sample standard deviation + eps)`` within a run."""
+    stats = with_group_stats(df, [run], {"_mean": F.avg(column), "_std": F.stddev_samp(column)}, hot_rows)
+    return stats.withColumn(
         out, (F.col(column) - F.col("_mean")) / (F.col("_std") + F.lit(eps))).drop("_mean", "_std")
 
 
-def with_episode(df: DataFrame, run: str, order: str, block: Column, done: str = "done") -> DataFrame:
+def with_episode(df: DataFrame, run: str, order: str, block: Column, done: str = "done",
+                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Episode number within a run: the number of finished episodes before the step."""
-    return running(df, [run], [order], block, sums_before={"episode": F.col(done).cast("bigint")})
+    return running(df, [run], [order], block, sums_before={"episode": F.col(done).cast("bigint")}, hot_rows=hot_rows)
 
 
 def episode_reward(df: DataFrame, keys: Sequence[str], reward: str = "reward") -> DataFrame:

@@ -17,11 +17,13 @@ SMALL_CHANGE_SET = 200_000
 
 @dataclass(frozen=True)
 class Source:
-    """A source table: its current rows, its change log (None when capture is off) and its key."""
+    """A source table: its current rows, its change log (None when capture is off), its
+    key, and the LSN from which the log is complete if old changes are removed."""
 
     snapshot: Callable[[], DataFrame]
     changes: Callable[[], DataFrame] | None
     keys: Sequence[str]
+    min_lsn: str | None = None
 
 
 @dataclass(frozen=True)
@@ -32,22 +34,21 @@ class SyncResult:
     rows: int
 
 
-def _bounds(log: DataFrame) -> tuple[str | None, str | None]:
-    row = log.agg(F.min(f"`{cdc.LSN}`").alias("low"), F.max(f"`{cdc.LSN}`").alias("high")).first()
-    return row["low"], row["high"]
+def _max_lsn(log: DataFrame) -> str | None:
+    return log.agg(F.max(f"`{cdc.LSN}`").alias("high")).first()["high"]
 
 
 def sync(table: VersionedTable, source: Source, broadcast_rows: int = SMALL_CHANGE_SET) -> SyncResult:
     """Full load without state or data, otherwise merge the changes after the last LSN.
 
     The LSN of a full load is read before the rows, so a change that arrives in
-    between is applied again by the next run instead of lost. Only the two bounds of
-    the log and the control row come to the driver.
+    between is applied again by the next run instead of lost. Only the last LSN and
+    the control row come to the driver.
     """
     if source.changes is None:
         raise ValueError(f"change capture is not enabled for {table.name}")
     log = source.changes()
-    low, high = _bounds(log)
+    high = _max_lsn(log)
     state = table.state()
     if state is None or state["last_lsn"] == LSN_DEFAULT:
         row = table.write(source.snapshot(), last_lsn=high or LSN_DEFAULT)
@@ -55,7 +56,7 @@ def sync(table: VersionedTable, source: Source, broadcast_rows: int = SMALL_CHAN
     last = state["last_lsn"]
     if high is None or high <= last:
         return SyncResult("unchanged", state["version"], last, state["row_count"])
-    changes = cdc.read_changes(log, last, high, after=True)
+    changes = cdc.read_changes(log, last, high, after=True, min_lsn=source.min_lsn)
     merged = cdc.merge_cdc(table.read(), changes, source.keys, broadcast_rows=broadcast_rows)
     row = table.write(merged, last_lsn=high)
     return SyncResult("merged", row["version"], row["last_lsn"], row["row_count"])

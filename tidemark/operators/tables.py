@@ -68,7 +68,7 @@ class VersionedTable:
         state = self.state()
         if state is None:
             raise ValueError(f"table {self.name} has no data")
-        return self.spark.read.option("mergeSchema", "true").parquet(state["path"])
+        return self.spark.read.parquet(state["path"])
 
     def write(self, df: DataFrame, last_lsn: str | None = None, batch_id: int | None = None,
               partition_by: Sequence[str] = ()) -> Row:

@@ -94,13 +94,11 @@ def f3(t):
     return t.nation.select("n_nationkey", lsn.capture_instance("n_name").alias("capture_instance"))
 
 
-@query("f4", """SELECT s_nationkey AS object_id,
-       string_agg('s.' || s_name || ' = t.' || s_name, ' AND ' ORDER BY s_name) AS predicate
-FROM supplier GROUP BY s_nationkey""")
+@query("f4", """SELECT c_custkey, CASE WHEN c_nationkey % 2 = 0 THEN 's.' || c_name || ' = t.' || c_name
+  ELSE 's.' || c_name || ' = t.' || c_name || ' AND s.' || c_mktsegment || ' = t.' || c_mktsegment END AS predicate FROM customer""")
 def f4(t):
-    _, index_columns = meta(t)
-    keys = index_columns.groupBy("object_id").agg(F.array_sort(F.collect_list("column_name")).alias("keys"))
-    return keys.select("object_id", lsn.merge_predicate("keys").alias("predicate"))
+    keys = F.when(F.col("c_nationkey") % 2 == 0, F.array("c_name")).otherwise(F.array("c_name", "c_mktsegment"))
+    return t.customer.select("c_custkey", lsn.merge_predicate(keys).alias("predicate"))
 
 
 @query("a1", """SELECT 'customer' AS side, (SELECT count(*) FROM customer) AS source_rows,

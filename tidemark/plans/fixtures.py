@@ -30,7 +30,7 @@ SELECT event_id, event_type || ' ' || cast(user_id AS string) AS name,
 FROM {events}"""),
     "box": ("lineitem", """
 SELECT l_orderkey AS image,
-       cast(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_extendedprice) AS bigint) AS id,
+       ((l_partkey * 1000003 + l_suppkey) * 8 + l_linenumber) * 64 + cast(l_quantity AS bigint) AS id,
        cast(l_quantity * 8 AS double) AS x1, cast(l_partkey % 400 AS double) AS y1,
        cast(l_quantity * 8 + 20 + l_suppkey AS double) AS x2, cast(l_partkey % 400 + 30 + l_partkey % 50 AS double) AS y2,
        cast(l_extendedprice / 110000 AS double) AS score, l_suppkey % 5 AS cls
