@@ -21,6 +21,9 @@ TYPES = {"long": "BIGINT", "integer": "INTEGER", "string": "VARCHAR", "double":
          "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE", "binary": "BLOB"}
 
 
+SIZES: dict[str, int] = {}
+
+
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
@@ -45,6 +48,7 @@ def compare(spark, con, folder: str, name: str, fn, sql: str | None) -> str:
     mine = _bag(df.select(*[f"`{c}`" for c in names]).collect())
     if sql is None:
         return "" if mine else "no rows"
+    SIZES[name] = len(mine)
     cur = con.execute(sql)
     theirs_names = [d[0] for d in cur.description]
     kinds = {d[0]: str(d[1]) for d in cur.description}
@@ -79,7 +83,7 @@ def main() -> int:
         except Exception as e:  # report and go on with the next query
             problem = f"{type(e).__name__}: {str(e)[:600]}"
         print(f"{name:14s} {'ok  ' if not problem else 'FAIL'} {'' if name in sqls else '(rows only) '}"
-              f"{time.time() - start:6.2f}s {problem}", flush=True)
+              f"{time.time() - start:6.2f}s {SIZES.get(name, '')} {problem}", flush=True)
         if problem:
             failed.append(name)
     print("failed:", failed)

@@ -346,3 +346,20 @@ def test_a_failed_write_stays_invisible(spark, folder):
     assert table.state()["version"] == 1 and rows(table.read()) == rows(current)
     table.write(current.limit(3))
     assert table.state()["version"] == 2 and table.read().count() == 3
+
+
+def test_bucketed_table_is_merged_in_place(spark, medium, folder, capsys):
+    base, chg = medium.fixture("base"), medium.fixture("chg")
+    table = VersionedTable(spark, folder, "orders", buckets=4, bucket_keys=["k"])
+    table.write(base)
+    merged = cdc.merge_cdc(table.read(), chg, ["k"])
+    merged.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") == 1  # the changes
+    table.write(merged)
+    assert rows(table.read()) == rows(cdc.merge_cdc(base, chg, ["k"]))
+    assert table.read().inputFiles() and len(table.read().inputFiles()) <= 4
+    # another session without the catalog entry still reads the files
+    assert VersionedTable(spark, folder, "orders").read().count() == 13300
+    with pytest.raises(ValueError, match="bucket keys"):
+        VersionedTable(spark, folder, "orders", buckets=4)

@@ -68,7 +68,7 @@ def test_nms_keeps_at_the_threshold(spark):
     assert D.nms(dets, 1.0, 0.1).count() == 2
 
 
-@pytest.mark.parametrize("tile", [16.0, 100.0, 5000.0])
+@pytest.mark.parametrize("tile", [None, 16.0, 100.0, 5000.0])
 def test_pairs(spark, tile):
     data = crowd(3, 150, 5)
     got = D.pairwise_iou(spark.createDataFrame(data, SCHEMA), tile=tile)

@@ -41,9 +41,9 @@ def html_element(html: Column | str, name: str) -> Column:
 
 
 class _Rewriter(HTMLParser):
-    """Writes the document back without one element and, if asked, without attributes."""
+    """Writes the document back without some elements and, if asked, without attributes."""
 
-    def __init__(self, drop: str | None, strip: bool, keep: frozenset[str]):
+    def __init__(self, drop: frozenset[str], strip: bool, keep: frozenset[str]):
         super().__init__(convert_charrefs=False)
         self.drop, self.strip, self.keep = drop, strip, keep
         self.depth, self.out = 0, []
@@ -55,18 +55,18 @@ class _Rewriter(HTMLParser):
         self.out.append(f"<{tag}{text}{close}>")
 
     def handle_starttag(self, tag, attrs):
-        if tag == self.drop:
+        if tag in self.drop:
             if tag not in VOID_ELEMENTS:
                 self.depth += 1
         elif not self.depth:
             self._start(tag, attrs, "")
 
     def handle_startendtag(self, tag, attrs):
-        if tag != self.drop and not self.depth:
+        if tag not in self.drop and not self.depth:
             self._start(tag, attrs, "/")
 
     def handle_endtag(self, tag):
-        if tag == self.drop:
+        if tag in self.drop:
             self.depth = max(0, self.depth - 1)
         elif not self.depth:
             self.out.append(f"</{tag}>")
@@ -131,7 +131,7 @@ class _Inner(HTMLParser):
         self._text(f"<!--{data}-->")
 
 
-def _rewrite(html: str | None, drop: str | None, strip: bool, keep: frozenset[str]) -> str | None:
+def _rewrite(html: str | None, drop: frozenset[str], strip: bool, keep: frozenset[str]) -> str | None:
     if html is None:
         return None
     parser = _Rewriter(drop, strip, keep)
@@ -151,22 +151,26 @@ def _inner(html: str | None, name: str) -> str | None:
     return "<html>" + "".join(parser.out) + "</html>"
 
 
+def html_clean(html: Column | str, remove: Iterable[str] = (), strip_attrs: bool = True,
+               keep: Iterable[str] = ()) -> Column:
+    """Drop elements with their content, nested ones included, and the attributes of
+    all others but ``keep``, in one pass of a parser over each page."""
+    gone, kept = frozenset(remove), frozenset(keep)
+
+    @F.pandas_udf(T.StringType())
+    def clean(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda h: _rewrite(h, gone, strip_attrs, kept))
+    return clean(_col(html))
+
+
 def html_remove_nested(html: Column | str, element: str) -> Column:
     """:func:`html_remove` for elements that nest, by a parser."""
-    @F.pandas_udf(T.StringType())
-    def remove(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda h: _rewrite(h, element, False, frozenset()))
-    return remove(_col(html))
+    return html_clean(html, [element], strip_attrs=False)
 
 
 def html_strip_attrs_parsed(html: Column | str, keep: Iterable[str] = ()) -> Column:
     """:func:`html_strip_attrs` by a parser."""
-    kept = frozenset(keep)
-
-    @F.pandas_udf(T.StringType())
-    def strip(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda h: _rewrite(h, None, True, kept))
-    return strip(_col(html))
+    return html_clean(html, (), True, keep)
 
 
 def html_element_nested(html: Column | str, name: str) -> Column:

@@ -62,15 +62,25 @@ def _covered_tiles(df: DataFrame, tile: float, offset: float) -> DataFrame:
     return df.withColumn("_tx", F.explode(span("x1", "x2"))).withColumn("_ty", F.explode(span("y1", "y2")))
 
 
+def typical_tile(dets: DataFrame) -> float:
+    """Twice the mean longer side, so that a box lies in few tiles and a tile holds few boxes."""
+    x1, y1, x2, y2 = B.box()
+    side = dets.agg(F.avg(F.greatest(x2 - x1, y2 - y1))).first()[0]
+    return max(1.0, 2 * side) if side is not None else 1.0
+
+
 def overlapping_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Sequence[str] = ("id",),
-                      tile: float = 256.0, offset: float = 0.0, condition: Column | None = None) -> DataFrame:
+                      tile: float | None = None, offset: float = 0.0, condition: Column | None = None) -> DataFrame:
     """Pairs of boxes of the same ``keys`` that overlap, with their IoU.
 
     The join key is (keys, tile): each box goes to the tiles it covers, and a pair is
     reported in the tile of the upper left corner of the overlap only, so nothing has
     to be made distinct. Work follows the boxes that are near each other and a
     crowded image spreads over its tiles. ``a_`` and ``b_`` name the two sides.
+    Without a ``tile`` size one is taken from the mean size of the boxes of ``a``.
     """
+    tile = tile or typical_tile(a)
+
     def side(df: DataFrame, p: str) -> DataFrame:
         return _covered_tiles(df, tile, offset).select(
             *keys, "_tx", "_ty", *[F.col(c).alias(p + c) for c in (*columns, *CORNERS)])
@@ -85,13 +95,13 @@ def overlapping_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], columns:
         *keys, *[F.col(p + c) for p in ("a_", "b_") for c in columns], "iou")
 
 
-def pairwise_iou(dets: DataFrame, image: str = "image", tile: float = 256.0) -> DataFrame:
+def pairwise_iou(dets: DataFrame, image: str = "image", tile: float | None = None) -> DataFrame:
     """IoU of every two overlapping boxes of an image (a_id < b_id); all other pairs have IoU 0."""
     return overlapping_pairs(dets, dets, [image], tile=tile, condition=F.col("a_id") < F.col("b_id"))
 
 
 def nms(dets: DataFrame, iou_threshold: float = 0.45, score_threshold: float = 0.1, class_aware: bool = False,
-        image: str = "image", cls: str = "cls", max_boxes: int = 2_000, tile: float = 256.0) -> DataFrame:
+        image: str = "image", cls: str = "cls", max_boxes: int = 2_000, tile: float | None = None) -> DataFrame:
     """Greedy suppression per image, or per image and class: in the order of falling
     score (id on a tie) a box stays when no box kept before overlaps it by more than
     ``iou_threshold``. Areas count the border pixel.
@@ -128,7 +138,7 @@ def _fold(dets: DataFrame, keys: Sequence[str], threshold: float) -> DataFrame:
         *[F.col(c) if c in keys else F.col("_b")[c].alias(c) for c in dets.columns])
 
 
-def _rounds(dets: DataFrame, keys: Sequence[str], threshold: float, tile: float) -> DataFrame:
+def _rounds(dets: DataFrame, keys: Sequence[str], threshold: float, tile: float | None) -> DataFrame:
     """Greedy suppression as rounds on the suppression graph.
 
     Copies of a box share its fate except that the best one suppresses the others, so

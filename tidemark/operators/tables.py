@@ -37,10 +37,22 @@ class VersionedTable:
     invisible and can be repeated. The control row also carries the last LSN and the
     streaming batch id, which makes both change together with the data. One writer
     per table at a time.
+
+    With ``buckets`` each version is also registered in the session catalog, hashed
+    by ``bucket_keys`` into that many buckets. A merge on these keys then reads the
+    table in place and shuffles the changes only.
     """
 
-    def __init__(self, spark: SparkSession, root: str, name: str):
+    def __init__(self, spark: SparkSession, root: str, name: str, buckets: int = 0,
+                 bucket_keys: Sequence[str] = (), schema: str = "default"):
+        if buckets and not bucket_keys:
+            raise ValueError("a bucketed table needs its bucket keys")
         self.spark, self.root, self.name = spark, root.rstrip("/"), name
+        self.buckets, self.bucket_keys, self.schema = buckets, list(bucket_keys), schema
+
+    def _catalog_name(self, path: str) -> str:
+        version, attempt = path.rsplit("/v=", 1)[1].split("-")
+        return f"`{self.schema}`.`{self.name}_v{version}_{attempt[:12]}`"
 
     @property
     def _control(self) -> str:
@@ -68,6 +80,8 @@ class VersionedTable:
         state = self.state()
         if state is None:
             raise ValueError(f"table {self.name} has no data")
+        if self.buckets and self.spark.catalog.tableExists(self._catalog_name(state["path"])):
+            return self.spark.table(self._catalog_name(state["path"]))
         return self.spark.read.parquet(state["path"])
 
     def write(self, df: DataFrame, last_lsn: str | None = None, batch_id: int | None = None,
@@ -79,7 +93,11 @@ class VersionedTable:
         writer = df.write.mode("error")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        if self.buckets:
+            (writer.bucketBy(self.buckets, *self.bucket_keys).sortBy(*self.bucket_keys).format("parquet")
+             .option("path", path).saveAsTable(self._catalog_name(path)))
+        else:
+            writer.parquet(path)
         return self._commit(version, path, last_lsn, batch_id, old)
 
     def save_state(self, last_lsn: str) -> Row:

@@ -129,13 +129,14 @@ def f21(t):
     return t.documents.select("doc_id", X.search_text("text", "https://search.example/v7/search", 100).alias("url"))
 
 
-@query("f22", """SELECT l_orderkey, l_linenumber, CAST(l_quantity AS FLOAT) AS speed, CAST(l_partkey AS FLOAT) AS throttle,
-  CAST(l_suppkey AS FLOAT) AS rpm, CAST(l_tax AS FLOAT) AS acceleration FROM lineitem""")
+@query("f22", """SELECT l_orderkey, l_linenumber, l_quantity AS speed, CAST(l_partkey AS DOUBLE) AS throttle,
+  CAST(l_suppkey AS DOUBLE) AS rpm, CAST(CAST(l_tax AS FLOAT) AS DOUBLE) AS acceleration FROM lineitem""")
 def f22(t):
     csv = F.concat_ws(",", "l_shipdate", *["l_linenumber"] * 4, "l_quantity", "l_discount", "l_partkey", "l_suppkey",
                       "l_discount", "l_tax")
     return t.lineitem.select("l_orderkey", "l_linenumber", X.split_message(csv).alias("m")).select(
-        "l_orderkey", "l_linenumber", "m.*")
+        "l_orderkey", "l_linenumber",
+        *[F.col(f"m.{c}").cast("double").alias(c) for c in ("speed", "throttle", "rpm", "acceleration")])
 
 
 @query("f23", "SELECT event_id, chr(CAST(b2 AS INTEGER)) || chr(CAST(b3 AS INTEGER)) || "
@@ -163,11 +164,11 @@ def f34(t):
                     F.bool_and(F.to_date("at") == F.current_date()).alias("today"))
 
 
-@query("f35", """SELECT event_id, encode(event_type) AS bytes, CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS value,
+@query("f35", """SELECT event_id, hex(encode(event_type)) AS bytes, CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS value,
   event_id % 3 = 0 AS was_nan FROM events""")
 def f35(t):
     v = F.when(F.col("event_id") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
-    return t.events.select("event_id", X.to_binary("event_type").alias("bytes"), X.nan_to_null(v).alias("value"),
+    return t.events.select("event_id", F.hex(X.to_binary("event_type")).alias("bytes"), X.nan_to_null(v).alias("value"),
                            F.isnan(v).alias("was_nan"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import cdc, regression, sync, tables
+from tidemark.operators import catalog, cdc, regression, sync, tables
 from tidemark.operators.running import id_block
 from tidemark.operators.tables import VersionedTable
 from tidemark.plans import changes, series
@@ -172,6 +172,69 @@ def d19(t):
     return t.spark.createDataFrame([(n, r.action, r.rows) for n, r in got.items()], "name STRING, action STRING, rows BIGINT")
 
 
+@query("d18_bucketed", changes.MERGED, using=("base", "chg", "w1", "merged"))
+def d18_bucketed(t):
+    """The same on a table hashed by its key, which the merge reads without a shuffle."""
+    root = scratch(t.spark, "d18b")
+    table = VersionedTable(t.spark, root, "orders", 8, changes.KEYS, new_schema(t, root))
+    table.write(t.fixture("base"), last_lsn=FIRST_LSN)
+    sync.sync(table, order_source(t), broadcast_rows=0)
+    return table.read()
+
+
+def new_schema(t, root: str) -> str:
+    name = "tidemark_" + root.rsplit("-", 1)[1]
+    catalog.create_schema(t.spark, name, location=f"{root}/schema")
+    return name
+
+
+@query("s2", "SELECT c_custkey, c_name FROM customer")
+def s2(t):
+    name = new_schema(t, scratch(t.spark, "s2")) + ".customer"
+    catalog.create_table_as(t.customer.limit(0), name)
+    catalog.create_table_as(t.customer.select("c_custkey", "c_name"), name, replace=True)
+    return catalog.load_table(t.spark, name)
+
+
+@query("d7", "SELECT count(*) AS before, CAST(0 AS BIGINT) AS after FROM orders")
+def d7(t):
+    name = new_schema(t, scratch(t.spark, "d7")) + ".orders"
+    catalog.create_table_as(t.orders, name)
+    before = catalog.load_table(t.spark, name).count()
+    catalog.truncate(t.spark, name)
+    return catalog.load_table(t.spark, name).agg(F.lit(before).cast("bigint").alias("before"), F.count(F.lit(1)).alias("after"))
+
+
+@query("d14", """SELECT 'goods' AS name, count(*) AS n FROM part UNION ALL SELECT 'nation', count(*) FROM nation""")
+def d14(t):
+    """Create three tables, rename one, drop one, list and count the rest."""
+    schema = new_schema(t, scratch(t.spark, "d14"))
+    for name in ("nation", "region", "part"):
+        catalog.create_table_as(getattr(t, name), f"{schema}.{name}")
+    catalog.rename_table(t.spark, f"{schema}.part", f"{schema}.goods")
+    catalog.drop_table(t.spark, f"{schema}.region")
+    counted = [catalog.load_table(t.spark, f"{schema}.{n}").agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n"))
+               for n in catalog.list_tables(t.spark, schema)]
+    return tables.union_all(*counted)
+
+
+@query("t11", "SELECT o_orderkey, o_totalprice FROM orders")
+def t11(t):
+    """Replay a stored table file by file; every file is a batch of its own."""
+    root = scratch(t.spark, "t11")
+    rows = t.orders.select("o_orderkey", "o_totalprice")
+    files.write_csv(rows.repartition(3), f"{root}/in")
+    seen = []
+
+    def store(batch, batch_id):
+        seen.append(batch_id)
+        batch.write.mode("overwrite").parquet(f"{root}/data/batch={batch_id}")
+    ST.run_available(ST.replay(t.spark, f"{root}/in", rows.schema).drop("partition"), f"{root}/state", store)
+    if len(seen) != 3:
+        raise AssertionError(f"{len(seen)} batches for 3 files")
+    return t.spark.read.parquet(f"{root}/data").drop("batch")
+
+
 @query("l5")
 def l5(t):
     path = scratch(t.spark, "l5")

@@ -56,14 +56,14 @@ def t3(t):
     return run(t, "t3", ST.echo(named, "click", lambda df: df.drop("input_name")))
 
 
-@query("t4", f"""SELECT l_orderkey, l_linenumber, round(s * l_quantity + i, 3) AS prediction, CAST(l_extendedprice AS FLOAT) AS actual
+@query("t4", f"""SELECT l_orderkey, l_linenumber, round(s * l_quantity + i, 3) AS prediction, CAST(CAST(l_extendedprice AS FLOAT) AS DOUBLE) AS actual
 FROM lineitem, {series.REGR}""")
 def t4(t):
     model = series.one_feature(t)
     body = F.concat_ws(",", *["l_linenumber"] * 5, "l_extendedprice", "l_tax", "l_quantity", *["l_tax"] * 3)
     stream = streams(t).lineitem.select("l_orderkey", "l_linenumber", body.alias("body"))
     scored = ST.score_stream(stream, model, {"l_quantity": "throttle"}).select(
-        "l_orderkey", "l_linenumber", F.round("prediction", 3).alias("prediction"), "actual")
+        "l_orderkey", "l_linenumber", F.round("prediction", 3).alias("prediction"), F.col("actual").cast("double").alias("actual"))
     return run(t, "t4", scored)
 
 

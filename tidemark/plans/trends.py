@@ -68,11 +68,14 @@ def f12(t):
     return t.events.select("event_id", F.posexplode(series).alias("pos", "point"))
 
 
-@query("x2", """SELECT CASE WHEN event_type = 'view' THEN 'US' ELSE 'BE' END AS geo, CASE WHEN event_type = 'view' THEN 4 ELSE 24 END AS hours,
-  event_id FROM events WHERE event_type IN ('view', 'click')""")
+GEOS = {"view": ("US", 4), "click": ("US", 24), "purchase": ("BE", 4), "error": ("BE", 24)}
+
+
+@query("x2", "SELECT CASE WHEN event_type IN ('view', 'click') THEN 'US' WHEN event_type IN ('purchase', 'error') THEN 'BE' ELSE 'NL' END AS geo, "
+             "CASE WHEN event_type IN ('view', 'purchase') THEN 4 WHEN event_type IN ('click', 'error') THEN 24 ELSE 48 END AS hours, event_id FROM events")
 def x2(t):
-    parts = {("US", 4): t.events.filter("event_type = 'view'").select("event_id"),
-             ("BE", 24): t.events.filter("event_type = 'click'").select("event_id")}
+    parts = {tags: t.events.filter(F.col("event_type") == kind).select("event_id") for kind, tags in GEOS.items()}
+    parts["NL", 48] = t.events.filter(~F.col("event_type").isin(*GEOS)).select("event_id")
     return tagged_union(parts, ("geo", "hours"))
 
 
@@ -102,5 +105,4 @@ def f15(t):
 
 @query("m3", f"SELECT page_id, regexp_replace({PLAIN}, '<([a-zA-Z][a-zA-Z0-9:-]*)\\s[^>]*>', '<\\1>', 'g') AS html FROM pages")
 def m3(t):
-    plain = H.html_remove_nested(H.html_remove_nested("html", "script"), "style")
-    return t.pages.select("page_id", H.html_strip_attrs_parsed(plain).alias("html"))
+    return t.pages.select("page_id", H.html_clean("html", ["script", "style"]).alias("html"))

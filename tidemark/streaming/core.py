@@ -121,6 +121,12 @@ def merge_batch(table: VersionedTable, keys: Sequence[str], broadcast_rows: int
     return merge
 
 
+def merge_batch_into(target: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """The same by MERGE INTO a lake table with row-level changes. Merging a batch
+    twice gives the same rows, so a batch delivered again does no harm."""
+    return lambda batch, batch_id: cdc.merge_into(target, batch, keys)
+
+
 def stream_merge(changes: DataFrame, table: VersionedTable, keys: Sequence[str], checkpoint: str,
                  broadcast_rows: int = 0, history: VersionedTable | None = None) -> None:
     """Merge each micro-batch of changes that is available into ``table``."""
