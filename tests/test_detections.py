@@ -57,6 +57,21 @@ def test_nms(spark, class_aware, max_boxes):
     assert rows(got, "image", "id") == greedy(data, 0.45, 0.1, key)
 
 
+@pytest.mark.parametrize("pairs_per_box", [0, 3, 10**6])
+def test_nms_of_a_pile_of_boxes(spark, pairs_per_box):
+    """Many nearly equal boxes: decided tile by tile, by pairs, or by both."""
+    rnd = random.Random(11)
+    data = []
+    for i in range(300):
+        x, y = rnd.choice([(0, 0), (3, 4), (400, 20), (900, 500)])
+        x, y = x + rnd.uniform(0, 3), y + rnd.uniform(0, 3)
+        data.append((rnd.randrange(2), i, x, y, x + 50 + rnd.uniform(0, 4), y + 30, round(rnd.random(), 2), 0))
+    dets = spark.createDataFrame(data, SCHEMA).filter("score > 0.1")
+    for tile in (None, (20.0, 20.0)):
+        got = D._rounds(dets, ["image"], 0.6, tile, pairs_per_box)
+        assert rows(got, "image", "id") == greedy(data, 0.6, 0.1, lambda r: r[0])
+
+
 def test_nms_keeps_at_the_threshold(spark):
     # two boxes of 10 x 10 pixels that share 5 x 10: IoU is exactly one third
     data = [(1, 1, 0.0, 0.0, 9.0, 9.0, 0.9, 0), (1, 2, 5.0, 0.0, 14.0, 9.0, 0.8, 0)]
@@ -68,7 +83,7 @@ def test_nms_keeps_at_the_threshold(spark):
     assert D.nms(dets, 1.0, 0.1).count() == 2
 
 
-@pytest.mark.parametrize("tile", [None, 16.0, 100.0, 5000.0])
+@pytest.mark.parametrize("tile", [None, (16.0, 40.0), (100.0, 30.0), (5000.0, 5000.0)])
 def test_pairs(spark, tile):
     data = crowd(3, 150, 5)
     got = D.pairwise_iou(spark.createDataFrame(data, SCHEMA), tile=tile)

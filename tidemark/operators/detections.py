@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from tidemark.operators.running import HOT_ROWS, split_hot, with_group_stats, wi
 from tidemark.session import ensure_checkpoint_dir
 
 CORNERS = ("x1", "y1", "x2", "y2")
+Tile = tuple[float, float]
 
 
 def score_filter(dets: DataFrame, threshold: float, inclusive: bool = False, score: str | Column = "score") -> DataFrame:
@@ -56,21 +58,22 @@ def nms_rank(dets: DataFrame, image: str = "image", hot_rows: int = HOT_ROWS) ->
                            [image], hot_rows)
 
 
-def _covered_tiles(df: DataFrame, tile: float, offset: float) -> DataFrame:
-    def span(low: str, high: str) -> Column:
-        return F.sequence(F.floor(F.col(low) / tile), F.floor((F.col(high) + offset) / tile))
-    return df.withColumn("_tx", F.explode(span("x1", "x2"))).withColumn("_ty", F.explode(span("y1", "y2")))
+def _covered_tiles(df: DataFrame, tile: Tile, offset: float) -> DataFrame:
+    def span(low: str, high: str, size: float) -> Column:
+        return F.sequence(F.floor(F.col(low) / size), F.floor((F.col(high) + offset) / size))
+    return df.withColumn("_tx", F.explode(span("x1", "x2", tile[0]))).withColumn(
+        "_ty", F.explode(span("y1", "y2", tile[1])))
 
 
-def typical_tile(dets: DataFrame) -> float:
-    """Twice the mean longer side, so that a box lies in few tiles and a tile holds few boxes."""
+def typical_tile(dets: DataFrame) -> Tile:
+    """Twice the mean width and height, so that a box lies in few tiles and a tile holds few boxes."""
     x1, y1, x2, y2 = B.box()
-    side = dets.agg(F.avg(F.greatest(x2 - x1, y2 - y1))).first()[0]
-    return max(1.0, 2 * side) if side is not None else 1.0
+    w, h = dets.agg(F.avg(x2 - x1), F.avg(y2 - y1)).first()
+    return max(1.0, 2 * (w or 0.0)), max(1.0, 2 * (h or 0.0))
 
 
 def overlapping_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Sequence[str] = ("id",),
-                      tile: float | None = None, offset: float = 0.0, condition: Column | None = None) -> DataFrame:
+                      tile: Tile | None = None, offset: float = 0.0, condition: Column | None = None) -> DataFrame:
     """Pairs of boxes of the same ``keys`` that overlap, with their IoU.
 
     The join key is (keys, tile): each box goes to the tiles it covers, and a pair is
@@ -86,8 +89,8 @@ def overlapping_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], columns:
             *keys, "_tx", "_ty", *[F.col(c).alias(p + c) for c in (*columns, *CORNERS)])
     pairs = side(a, "a_").join(side(b, "b_"), [*keys, "_tx", "_ty"])
     left, right = B.box("a_"), B.box("b_")
-    home = ((F.floor(F.greatest(left[0], right[0]) / tile) == F.col("_tx"))
-            & (F.floor(F.greatest(left[1], right[1]) / tile) == F.col("_ty")))
+    home = ((F.floor(F.greatest(left[0], right[0]) / tile[0]) == F.col("_tx"))
+            & (F.floor(F.greatest(left[1], right[1]) / tile[1]) == F.col("_ty")))
     hit = home & (B.intersection(left, right, offset) > 0)
     if condition is not None:
         hit = hit & condition
@@ -95,13 +98,13 @@ def overlapping_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], columns:
         *keys, *[F.col(p + c) for p in ("a_", "b_") for c in columns], "iou")
 
 
-def pairwise_iou(dets: DataFrame, image: str = "image", tile: float | None = None) -> DataFrame:
+def pairwise_iou(dets: DataFrame, image: str = "image", tile: Tile | None = None) -> DataFrame:
     """IoU of every two overlapping boxes of an image (a_id < b_id); all other pairs have IoU 0."""
     return overlapping_pairs(dets, dets, [image], tile=tile, condition=F.col("a_id") < F.col("b_id"))
 
 
 def nms(dets: DataFrame, iou_threshold: float = 0.45, score_threshold: float = 0.1, class_aware: bool = False,
-        image: str = "image", cls: str = "cls", max_boxes: int = 2_000, tile: float | None = None) -> DataFrame:
+        image: str = "image", cls: str = "cls", max_boxes: int = 2_000, tile: Tile | None = None) -> DataFrame:
     """Greedy suppression per image, or per image and class: in the order of falling
     score (id on a tie) a box stays when no box kept before overlaps it by more than
     ``iou_threshold``. Areas count the border pixel.
@@ -138,33 +141,60 @@ def _fold(dets: DataFrame, keys: Sequence[str], threshold: float) -> DataFrame:
         *[F.col(c) if c in keys else F.col("_b")[c].alias(c) for c in dets.columns])
 
 
-def _rounds(dets: DataFrame, keys: Sequence[str], threshold: float, tile: float | None) -> DataFrame:
-    """Greedy suppression as rounds on the suppression graph.
+def _rounds(dets: DataFrame, keys: Sequence[str], threshold: float, tile: Tile | None,
+            pairs_per_box: int = 2_000) -> DataFrame:
+    """Greedy suppression of large groups, decided in rounds over all of them at once.
 
     Copies of a box share its fate except that the best one suppresses the others, so
-    only that one is looked at. A box without an undecided better neighbour stays and
-    removes its neighbours; repeated until every box is decided.
+    only that one is looked at. While the tiles are crowded, the best box of all its
+    tiles stays and removes what it overlaps: a tile has one best box, so a round is
+    linear in the boxes however many of them lie on top of each other. Once at most
+    ``pairs_per_box`` neighbours per box are left, the rest is decided on the table of
+    overlapping pairs.
     """
     ensure_checkpoint_dir(dets.sparkSession)
     rest = [c for c in dets.columns if c not in (*keys, *CORNERS)]
-    best = F.min_by(F.struct(*rest), F.struct((-F.col("score")).alias("s"), F.col("id")))
-    boxes = dets.groupBy(*keys, *CORNERS).agg(best.alias("_b")).select(*keys, *CORNERS, "_b.*").checkpoint()
+    rank = F.struct((-F.col("score")).alias("s"), F.col("id"))
+    boxes = dets.groupBy(*keys, *CORNERS).agg(F.min_by(F.struct(*rest), rank).alias("_b")).select(
+        *keys, *CORNERS, "_b.*").withColumn("n", F.struct(*keys, "id")).checkpoint()
+    tile = tile or typical_tile(boxes)
+    alive, kept = boxes, []
+    while True:
+        cells = _covered_tiles(alive, tile, 1.0)
+        best = cells.groupBy(*keys, "_tx", "_ty").agg(F.count(F.lit(1)).alias("c"), F.min_by("n", rank).alias("n"))
+        load = best.agg(F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("pairs")).first()["pairs"]
+        if load is None or load <= pairs_per_box * alive.count():
+            break
+        won = best.groupBy("n").agg(F.count(F.lit(1)).alias("_won"))
+        covered = cells.groupBy("n").agg(F.count(F.lit(1)).alias("_all"))
+        roots = won.join(covered, "n").filter("_won = _all").select("n").checkpoint()
+        winners = _covered_tiles(boxes.join(roots, "n", "left_semi"), tile, 1.0).select(
+            *keys, "_tx", "_ty", F.col("n").alias("a_n"), *[F.col(c).alias("a_" + c) for c in CORNERS])
+        hit = cells.join(winners, [*keys, "_tx", "_ty"]).filter(
+            (F.col("n") != F.col("a_n")) & (B.iou(B.box("a_"), B.box(), 1.0) > threshold)).select("n").distinct()
+        alive = alive.join(roots.unionAll(hit), "n", "left_anti").checkpoint()
+        kept.append(roots)
+    kept.append(_decide_pairs(alive, keys, threshold, tile))
+    stays = reduce(lambda a, b: a.unionAll(b), kept)
+    return boxes.join(stays, "n", "left_semi").select(*dets.columns)
 
-    def node(prefix: str = "") -> Column:
-        return F.struct(*keys, F.col(f"{prefix}id").alias("id"))
+
+def _decide_pairs(boxes: DataFrame, keys: Sequence[str], threshold: float, tile: Tile) -> DataFrame:
+    """Boxes that stay, by rounds on the suppression graph: a box without an undecided
+    better neighbour stays and removes its neighbours."""
     better = (F.col("a_score") > F.col("b_score")) | (
         (F.col("a_score") == F.col("b_score")) & (F.col("a_id") < F.col("b_id")))
-    pairs = overlapping_pairs(boxes, boxes, keys, ("id", "score"), tile, 1.0, better)
-    edges = pairs.filter(F.col("iou") > threshold).select(node("a_").alias("hi"), node("b_").alias("lo")).checkpoint()
-    alive = boxes.select(node().alias("n"))
-    kept: DataFrame | None = None
+    pairs = overlapping_pairs(boxes, boxes, keys, ("id", "score", "n"), tile, 1.0, better)
+    edges = pairs.filter(F.col("iou") > threshold).select(
+        F.col("a_n").alias("hi"), F.col("b_n").alias("lo")).checkpoint()
+    alive, kept = boxes.select("n"), []
     while True:
         roots = alive.join(edges.select(F.col("lo").alias("n")), "n", "left_anti").checkpoint()
-        kept = roots if kept is None else kept.unionAll(roots)
+        kept.append(roots)
         if edges.isEmpty():
-            break
-        hit = edges.join(roots, F.col("hi") == F.col("n"), "left_semi").select(F.col("lo").alias("n")).distinct().checkpoint()
+            return reduce(lambda a, b: a.unionAll(b), kept)
+        hit = edges.join(roots, F.col("hi") == F.col("n"), "left_semi").select(
+            F.col("lo").alias("n")).distinct().checkpoint()
         alive = alive.join(roots.unionAll(hit), "n", "left_anti").checkpoint()
         edges = (edges.join(hit, F.col("lo") == F.col("n"), "left_anti")
                  .join(hit, F.col("hi") == F.col("n"), "left_anti").checkpoint())
-    return boxes.withColumn("n", node()).join(kept, "n", "left_semi").select(*dets.columns)
