@@ -177,8 +177,14 @@ def test_small_change_set_leaves_the_target_unshuffled(spark, medium, capsys):
     base = medium.fixture("base")
     cdc.merge_cdc(base, medium.fixture("chg"), ["k"], broadcast_rows=100_000).explain()
     plan = capsys.readouterr().out
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    assert all("hashpartitioning(k" in line for line in plan.splitlines() if "Exchange hash" in line)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hash" not in plan
+
+
+def test_large_change_set_is_not_broadcast(spark, medium, capsys, monkeypatch):
+    base = medium.fixture("base")
+    monkeypatch.setattr(cdc, "BROADCAST_BYTES", 1000)
+    cdc.merge_cdc(base, medium.fixture("chg"), ["k"], broadcast_rows=100_000).explain()
+    assert "FullOuter" in capsys.readouterr().out
 
 
 def test_merge_statement():

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.lsn import merge_predicate_text
 from tidemark.operators.running import HOT_ROWS, with_group_stats
+from tidemark.session import ensure_checkpoint_dir
 
 LSN = "__$start_lsn"
 SEQ = "__$seqval"
@@ -22,6 +23,7 @@ OP = "__$operation"
 META_PREFIX = "__$"
 
 DELETE, INSERT, BEFORE, AFTER = 1, 2, 3, 4
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def _q(name: str) -> Column:
@@ -123,6 +125,12 @@ def _one_change_per_key(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
         *[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in changes.columns])
 
 
+def _fits(df: DataFrame, rows: int, size: int) -> bool:
+    """Whether a computed DataFrame stays within a number of rows and of bytes as text."""
+    got = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("size")).first()
+    return got["n"] <= rows and (got["size"] or 0) <= size
+
+
 def merge_cdc(target: DataFrame, changes: DataFrame, keys: Sequence[str], mode: str = "correct",
               null_policy: str = "overwrite", broadcast_rows: int = 0) -> DataFrame:
     """New state of ``target``: matched deletes go, matched inserts and updates
@@ -133,9 +141,9 @@ def merge_cdc(target: DataFrame, changes: DataFrame, keys: Sequence[str], mode:
     key fail the job and an unmatched delete is inserted like any other row.
     ``null_policy='keep'`` leaves a column alone when the update carries NULL.
 
-    One full outer join, both sides shuffled once on the key. When the reduced
-    change set has at most ``broadcast_rows`` rows (counted first), it is broadcast
-    instead and the target is not shuffled at all.
+    One full outer join, both sides shuffled once on the key. With ``broadcast_rows``
+    the reduced change set is computed first; if it stays within that many rows and
+    256 MB it is broadcast instead and the target is not shuffled at all.
     """
     keys = _check_keys(keys, target, changes)
     if mode not in ("correct", "strict"):
@@ -146,11 +154,15 @@ def merge_cdc(target: DataFrame, changes: DataFrame, keys: Sequence[str], mode:
     s = source.select(*keys, _q(OP).alias("_op"), *[F.col(c).alias(f"_s_{c}") for c in rest])
     t = target.select(*target.columns, F.lit(True).alias("_t"))
 
-    if broadcast_rows and s.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        small = F.broadcast(s)
+    small = False
+    if broadcast_rows:
+        ensure_checkpoint_dir(target.sparkSession)
+        s = s.checkpoint()
+        small = _fits(s, broadcast_rows, BROADCAST_BYTES)
+    if small:
         known = target.select(*keys).join(F.broadcast(s.select(*keys)), keys, "left_semi")
         fresh = s.join(F.broadcast(known), keys, "left_anti")
-        joined = t.join(small, keys, "left").unionByName(fresh, allowMissingColumns=True)
+        joined = t.join(F.broadcast(s), keys, "left").unionByName(fresh, allowMissingColumns=True)
     else:
         joined = t.join(s, keys, "full_outer")
 
@@ -211,7 +223,7 @@ def apply_cdc(current: DataFrame, changes: DataFrame, keys: Sequence[str], mode:
     return t.join(s, keys, "full_outer").select(F.inline(both))
 
 
-def replay(current: DataFrame, changes: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def replay(current: DataFrame, changes: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Result of applying the changes one after the other.
 
     A delete removes every copy of its key, an update replaces all of them by one,

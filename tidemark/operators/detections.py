@@ -28,7 +28,7 @@ def area_filter(dets: DataFrame, low: float, high: float) -> DataFrame:
     return dets.filter((size > low * low) & (size < high * high))
 
 
-def min_side_filter(dets: DataFrame, image: str = "image", side: float = 1.0, hot_rows: int = HOT_ROWS) -> DataFrame:
+def min_side_filter(dets: DataFrame, image: str = "image", side: float = 1.0, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Boxes with both sides above ``side``; an image without any keeps all of its boxes."""
     big = F.coalesce(F.least(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")) > side, F.lit(False))
     flagged = with_group_stats(dets.withColumn("_big", big), [image], {"_any": F.max("_big")}, hot_rows)
@@ -52,7 +52,7 @@ def count_by_class(dets: DataFrame, keys: Sequence[str] = ("image", "name")) ->
     return dets.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def nms_rank(dets: DataFrame, image: str = "image", hot_rows: int = HOT_ROWS) -> DataFrame:
+def nms_rank(dets: DataFrame, image: str = "image", hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Rank of a box in its image by falling score, then id. Blocks of a hot image are score bands."""
     return with_row_number(dets, "rank", [-F.col("score"), F.col("id")], F.floor(-F.col("score") * 1000),
                            [image], hot_rows)

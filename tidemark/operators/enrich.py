@@ -51,7 +51,7 @@ def throttle_batches(lines: DataFrame, n: int = CALLS_PER_BATCH, key: str = "doc
 
 
 def throttle_batches_by_order(rows: DataFrame, n: int, keys: Sequence[str], order: Sequence[Column | str],
-                              block: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+                              block: Column, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """The same for rows that only have an order."""
     return with_row_number(rows, "_n", order, block, keys, hot_rows).withColumn(
         "batch", F.floor((F.col("_n") - 1) / n)).drop("_n")

@@ -55,7 +55,7 @@ def route(messages: DataFrame, rules: Sequence[str]) -> DataFrame:
 
 
 def message_counter(messages: DataFrame, order: Sequence[str], block: Column, key: str = "module",
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
+                    hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Running number of a message within its module."""
     return with_row_number(messages, "counter", order, block, [key], hot_rows)
 
@@ -67,7 +67,7 @@ def reply_once(replies: DataFrame, key: str = "request_id", order: Sequence[str]
 
 
 def request_reply(requests: DataFrame, replies: DataFrame, timeout: str = REPLY_TIMEOUT,
-                  key: str = "request_id", result: str = "result", hot_rows: int = HOT_ROWS) -> DataFrame:
+                  key: str = "request_id", result: str = "result", hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Each request with its first reply inside the timeout, or with the error TIMEOUT.
 
     The time limit is inclusive and request ids are unique. Replies meet their request

@@ -31,12 +31,15 @@ def id_block(column: str | Column, rows: int = 1_000_000) -> Column:
 HOT_ROWS = 5_000_000
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
+def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int | None) -> tuple[DataFrame, DataFrame | None]:
     """Rows of the groups with at most ``hot_rows`` rows, and the rest (None when empty).
 
-    One count over the key columns alone decides. The list of hot keys has at most
-    rows / hot_rows entries, which bounds the broadcast.
+    One count over the key columns alone decides; ``None`` skips it where the groups
+    are known to be small. The list of hot keys has at most rows / hot_rows entries,
+    which bounds the broadcast.
     """
+    if hot_rows is None:
+        return df, None
     hot = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(
         *[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)])
     if hot.isEmpty():
@@ -46,7 +49,7 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFr
 
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column],
-                     hot_rows: int = HOT_ROWS) -> DataFrame:
+                     hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Attach aggregates of a row's group to the row.
 
     Groups up to ``hot_rows`` rows use a window, which is one shuffle. The statistics
@@ -75,7 +78,7 @@ def running(
     row_number: str | None = None,
     lag: Mapping[str, tuple[Column, object]] | None = None,
     lead: Mapping[str, tuple[Column, object]] | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add running columns to ``df``.
 
@@ -158,6 +161,6 @@ def _blocked(df, keys, order, block, *, sums, before, row_number, lag, lead) ->
 
 
 def with_row_number(df: DataFrame, name: str, order: Sequence[Column | str], block: Column,
-                    keys: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
+                    keys: Sequence[str] = (), hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """1-based row number over the whole table, or per ``keys``."""
     return running(df, list(keys), order, block, row_number=name, hot_rows=hot_rows)

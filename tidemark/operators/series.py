@@ -12,7 +12,7 @@ from tidemark.operators.running import HOT_ROWS, running, with_group_stats
 
 def pid_signal(df: DataFrame, series: str, order: str, measured: str, block: Column, *, kp: float = 1.0,
                ki: float = 0.1, kd: float = 0.05, setpoint: float = 0.0, low: float = -1.0, high: float = 1.0,
-               dt: float = 1.0, hot_rows: int = HOT_ROWS) -> DataFrame:
+               dt: float = 1.0, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Controller output per step: kp * e + ki * running sum(e * dt) + kd * difference / dt, clamped.
 
     The error before the first step is 0 and the integral is not bounded.
@@ -27,7 +27,7 @@ def pid_signal(df: DataFrame, series: str, order: str, measured: str, block: Col
 
 
 def td_returns(df: DataFrame, run: str, order: str, block: Column, gamma: float = 0.99,
-               reward: str = "reward", value: str = "v", done: str = "done", hot_rows: int = HOT_ROWS) -> DataFrame:
+               reward: str = "reward", value: str = "v", done: str = "done", hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """``returns = r + gamma * V(next step) * (1 - done)`` and ``advantage = returns - V``.
 
     The next step is the next one of the run, also across episodes; the last one uses 0.
@@ -38,7 +38,7 @@ def td_returns(df: DataFrame, run: str, order: str, block: Column, gamma: float
 
 
 def normalise(df: DataFrame, run: str, column: str, out: str, eps: float = 1e-8,
-              hot_rows: int = HOT_ROWS) -> DataFrame:
+              hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """``(x - mean) / (sample standard deviation + eps)`` within a run."""
     stats = with_group_stats(df, [run], {"_mean": F.avg(column), "_std": F.stddev_samp(column)}, hot_rows)
     return stats.withColumn(
@@ -46,7 +46,7 @@ def normalise(df: DataFrame, run: str, column: str, out: str, eps: float = 1e-8,
 
 
 def with_episode(df: DataFrame, run: str, order: str, block: Column, done: str = "done",
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+                 hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Episode number within a run: the number of finished episodes before the step."""
     return running(df, [run], [order], block, sums_before={"episode": F.col(done).cast("bigint")}, hot_rows=hot_rows)
 
