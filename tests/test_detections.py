@@ -83,10 +83,11 @@ def test_nms_keeps_at_the_threshold(spark):
     assert D.nms(dets, 1.0, 0.1).count() == 2
 
 
-@pytest.mark.parametrize("tile", [None, (16.0, 40.0), (100.0, 30.0), (5000.0, 5000.0)])
-def test_pairs(spark, tile):
+@pytest.mark.parametrize("direct", [0, 50, 1000])
+@pytest.mark.parametrize("tile", [None, (16.0, 40.0), (5000.0, 5000.0)])
+def test_pairs(spark, tile, direct):
     data = crowd(3, 150, 5)
-    got = D.pairwise_iou(spark.createDataFrame(data, SCHEMA), tile=tile)
+    got = D.pairwise_iou(spark.createDataFrame(data, SCHEMA), tile=tile, direct_boxes=direct)
     want = sorted((a[0], a[1], b[1], overlap(a, b)) for a in data for b in data
                   if a[0] == b[0] and a[1] < b[1] and overlap(a, b) > 0)
     found = rows(got, "image", "a_id", "b_id", "iou")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 from datetime import datetime, timedelta
 from urllib.parse import quote
@@ -235,10 +236,18 @@ def test_lines_and_batches(spark):
     same = E.throttle_batches_by_order(lines, 10, ["doc_id"], ["idx"], id_block("idx", 100), 50)
     assert rows(same) == rows(E.throttle_batches(lines))
     done = E.enrich(lines, lambda part: [f"<{v}>" for v in part], "line", "answer", batch_size=7, parallelism=3)
-    text = {r["doc_id"]: r["text"] for r in E.ordered_collect(done, "doc_id", "idx", "answer", chunk=100).collect()}
+    text = {r["doc_id"]: r["text"] for r in E.ordered_collect(done, "doc_id", "idx", "answer").collect()}
     assert text[1] == "<a>\n<b>\n<c>" and text[2] == "<>" and text[3] == "\n".join(f"<{i}>" for i in range(2500))
 
 
+def test_lines_of_any_length_are_written_in_order(spark, folder):
+    lines = spark.range(5000).select(F.lit("f").alias("file"), F.col("id").alias("idx"), F.col("id").cast("string").alias("v"))
+    E.write_lines_in_order(lines.repartition(7), f"{folder}/out", ["file", "idx"], "v")
+    parts = sorted(p for p in os.listdir(f"{folder}/out") if p.startswith("part-"))
+    text = "".join(open(f"{folder}/out/{p}").read() for p in parts)
+    assert text.split("\n")[:-1] == [str(i) for i in range(5000)]
+
+
 def test_enrich_checks_its_function(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "i INT, v STRING").coalesce(1)
     sizes = E.enrich(df, lambda part: [len(part)] * len(part), "v", "n", "bigint", batch_size=2)

@@ -98,9 +98,24 @@ def overlapping_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], columns:
         *keys, *[F.col(p + c) for p in ("a_", "b_") for c in columns], "iou")
 
 
-def pairwise_iou(dets: DataFrame, image: str = "image", tile: Tile | None = None) -> DataFrame:
-    """IoU of every two overlapping boxes of an image (a_id < b_id); all other pairs have IoU 0."""
-    return overlapping_pairs(dets, dets, [image], tile=tile, condition=F.col("a_id") < F.col("b_id"))
+def pairwise_iou(dets: DataFrame, image: str = "image", tile: Tile | None = None, direct_boxes: int = 128) -> DataFrame:
+    """IoU of every two overlapping boxes of an image (a_id < b_id); all other pairs have IoU 0.
+
+    In an image of up to ``direct_boxes`` boxes a box meets the few others directly;
+    larger images are joined tile by tile.
+    """
+    small, large = split_hot(dets, [image], direct_boxes)
+
+    def side(p: str) -> DataFrame:
+        return small.select(image, *[F.col(c).alias(p + c) for c in ("id", *CORNERS)])
+    left, right = B.box("a_"), B.box("b_")
+    near = side("a_").join(side("b_"), image).filter(
+        (F.col("a_id") < F.col("b_id")) & (B.intersection(left, right) > 0))
+    pairs = near.select(image, "a_id", "b_id", B.iou(left, right).alias("iou"))
+    if large is None:
+        return pairs
+    return pairs.unionByName(overlapping_pairs(
+        large, large, [image], tile=tile, condition=F.col("a_id") < F.col("b_id")))
 
 
 def nms(dets: DataFrame, iou_threshold: float = 0.45, score_threshold: float = 0.1, class_aware: bool = False,

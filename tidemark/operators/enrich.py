@@ -57,19 +57,14 @@ def throttle_batches_by_order(rows: DataFrame, n: int, keys: Sequence[str], orde
         "batch", F.floor((F.col("_n") - 1) / n)).drop("_n")
 
 
-def ordered_collect(lines: DataFrame, key: str, idx: str, value: str, out: str = "text",
-                    chunk: int = 1024) -> DataFrame:
+def ordered_collect(lines: DataFrame, key: str, idx: str, value: str, out: str = "text") -> DataFrame:
     """One text per key, its lines in order with newlines between them.
 
-    Meant for lines that came out of one row, whose text fits a row again. Chunks of
-    lines are joined first, so the last step holds strings and not single lines. For
-    texts beyond a row use :func:`write_lines_in_order`.
+    For lines that came out of one row, whose text therefore fits a row again. Texts
+    beyond a row are written by :func:`write_lines_in_order`.
     """
-    def joined(part: str, text: str) -> Column:
-        return F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(part, text))), lambda x: x[text]), "\n")
-    parts = lines.withColumn("_chunk", F.floor(F.col(idx) / chunk)).groupBy(key, "_chunk").agg(
-        joined(idx, value).alias("_text"))
-    return parts.groupBy(key).agg(joined("_chunk", "_text").alias(out))
+    ordered = F.sort_array(F.collect_list(F.struct(idx, value)))
+    return lines.groupBy(key).agg(F.array_join(F.transform(ordered, lambda x: x[value]), "\n").alias(out))
 
 
 def write_lines_in_order(lines: DataFrame, path: str, keys: Sequence[str], value: str) -> None:

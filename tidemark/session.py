@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def get_spark(app: str = "tidemark", cpus: str | int = "*", shuffle_partitions: int | None = None,
-              driver_memory: str = "8g") -> SparkSession:
+              driver_memory: str = "4g") -> SparkSession:
     """Session with the settings the operators rely on.
 
     UTC keeps TIMESTAMP_NTZ <-> TIMESTAMP casts exact, AQE handles skewed joins
