@@ -227,7 +227,7 @@ def test_envelope(spark):
     assert rows(cdc.soft_delete_view(flat, ["k"]), "k", "name", "amount") == [(1, None, 2.0)]
 
 
-# --- the demo scenario -------------------------------------------------------------------
+# --- the demo scenario: fixed values, whose result is worked out in FIXTURES.md -----------
 
 CUSTOMERS = "CustomerID INT, FirstName STRING, LastName STRING, Email STRING, CreatedDate TIMESTAMP, UpdatedDate TIMESTAMP"
 ORDERS = "OrderID INT, CustomerID INT, OrderDate TIMESTAMP, TotalAmount DECIMAL(10,2), Status STRING"

@@ -112,6 +112,7 @@ def test_rank_and_side_filter_of_a_hot_image(spark, hot_rows):
         r[:2] for r in data if r[:2] in big or r[0] not in usable)
 
 
+# Rows of the documented sample.
 SAMPLE = """
 {"xmin":103.2,"ymin":292.4,"xmax":437.8,"ymax":615.8,"confidence":0.8725585938,"class":56,"name":"chair"}
 {"xmin":774.8,"ymin":246.4,"xmax":1126.9,"ymax":567.5,"confidence":0.841796875,"class":56,"name":"chair"}

@@ -38,8 +38,9 @@ def test_times(spark):
 
     def ago(c):
         return R.relative_time(c, F.lit(now).cast("timestamp_ntz"))
-    assert values(spark, ["4 hours ago", "10 minutes ago", "11h ago", "2 days ago", "soon", None], ago) == [
-        now - timedelta(hours=4), now - timedelta(minutes=10), now - timedelta(hours=11), now - timedelta(days=2), None, None]
+    assert values(spark, ["4 hours ago", "10 minutes ago", "11h ago", "2 days ago", "5 mins ago", "2 months ago", "soon", None], ago) == [
+        now - timedelta(hours=4), now - timedelta(minutes=10), now - timedelta(hours=11), now - timedelta(days=2),
+        now - timedelta(minutes=5), None, None, None]
     start = F.lit(datetime(2021, 10, 10, 8)).cast("timestamp_ntz")
     assert values(spark, ["Lasted 4 hours", "", "Active", None], lambda c: R.end_time(start, c)) == [
         datetime(2021, 10, 10, 12), None, None, None]

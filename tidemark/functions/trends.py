@@ -43,9 +43,13 @@ def parse_volume(text: Column | str) -> Column:
     return (number * factor).cast("bigint")
 
 
+# an amount and its unit: 4 hours ago, 11h ago, Lasted 3 hours
+_SPAN = r"([0-9]+)\s*(minute|min|m|hour|h|day|d)s?\b"
+
+
 def _span(text: Column) -> tuple[Column, Column]:
-    amount = F.regexp_extract(text, r"([0-9]+)\s*(minute|min|hour|h|day|d|m)", 1).try_cast("int")
-    unit = F.regexp_extract(text, r"([0-9]+)\s*(minute|min|hour|h|day|d|m)", 2)
+    amount = F.regexp_extract(text, _SPAN, 1).try_cast("int")
+    unit = F.regexp_extract(text, _SPAN, 2)
     return amount, unit
 
 

@@ -193,10 +193,10 @@ def d11(t):
     return cdc.soft_delete_view(cdc.flatten_envelope(envelopes(t), "body", ROW), KEYS)
 
 
-@query("s19", "SELECT 'dbz_main_dbo_orders' || status AS target_table, op, count(*) AS n FROM chg GROUP BY 1, 2",
+@query("s19", "SELECT 'lake_main_dbo_orders' || status AS target_table, op, count(*) AS n FROM chg GROUP BY 1, 2",
        using=("chg",))
 def s19(t):
-    name = cdc.target_table(F.lit("main"), F.lit("dbo"), F.concat(F.lit("orders"), "status"), "dbz")
+    name = cdc.target_table(F.lit("main"), F.lit("dbo"), F.concat(F.lit("orders"), "status"), "lake")
     return plain(t.fixture("chg")).groupBy(name.alias("target_table"), "op").agg(F.count(F.lit(1)).alias("n"))
 
 
