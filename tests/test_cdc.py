@@ -167,6 +167,17 @@ def test_lsn_range_reaches_the_scan(spark, folder, capsys):
     assert "GreaterThanOrEqual(`__$start_lsn`" in pushed and "LessThanOrEqual(`__$start_lsn`" in pushed
 
 
+def test_stored_log_is_pruned_by_folder(spark, folder, capsys):
+    log = log_of(spark, *[(i << 48, 1, 2, i, f"n{i}", 1.0) for i in range(1, 6)])
+    cdc.write_changes(log, f"{folder}/log")
+    stored = spark.read.parquet(f"{folder}/log")
+    got = cdc.read_changes(stored, at(2 << 48), at(4 << 48))
+    assert got.columns == log.columns and rows(got, "k") == [(2,), (3,), (4,)]
+    got.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(log_file" in plan and "(log_file" in plan
+
+
 def test_latest_change_prunes_before_the_shuffle(medium, capsys):
     cdc.latest_change(medium.fixture("chg"), ["k"]).explain()
     plan = capsys.readouterr().out

@@ -21,6 +21,7 @@ LSN = "__$start_lsn"
 SEQ = "__$seqval"
 OP = "__$operation"
 META_PREFIX = "__$"
+LOG_FILE, LOG_FILE_CHARS = "log_file", len("0x") + 8
 
 DELETE, INSERT, BEFORE, AFTER = 1, 2, 3, 4
 BROADCAST_BYTES = 256 * 1024 * 1024
@@ -48,16 +49,26 @@ def read_changes(log: DataFrame, from_lsn: str, to_lsn: str, *, row_filter: str
     """Changes of an LSN range; both ends belong to it unless ``after`` skips the first.
 
     The comparison is on the stored text, which is fixed width, so it reaches the
-    parquet scan as a pushed filter and prunes by row group statistics.
+    parquet scan as a pushed filter and prunes by row group statistics; a log stored
+    by :func:`write_changes` is pruned to the folders of the range first.
     ``row_filter='all update old'`` keeps the rows before updates.
     """
     if min_lsn is not None and from_lsn < min_lsn:
         raise ValueError(f"from_lsn {from_lsn} is older than the change log (starts at {min_lsn})")
     lower = _q(LSN) > from_lsn if after else _q(LSN) >= from_lsn
     rows = log.filter(lower & (_q(LSN) <= to_lsn))
+    if LOG_FILE in log.columns:
+        rows = rows.filter(F.col(LOG_FILE).between(from_lsn[:LOG_FILE_CHARS], to_lsn[:LOG_FILE_CHARS])).drop(LOG_FILE)
     return rows if row_filter == "all update old" else rows.filter(_q(OP) != BEFORE)
 
 
+def write_changes(changes: DataFrame, path: str) -> None:
+    """Append changes to a stored log, one folder per log file of the source (the first
+    four bytes of the LSN)."""
+    stored = changes.withColumn(LOG_FILE, F.substring(_q(LSN), 1, LOG_FILE_CHARS))
+    stored.write.mode("append").partitionBy(LOG_FILE).parquet(path)
+
+
 def strip_meta(changes: DataFrame) -> DataFrame:
     """Only the columns of the table."""
     return changes.select(*[_q(c) for c in changes.columns if not c.startswith(META_PREFIX)])
@@ -235,7 +246,7 @@ def replay(current: DataFrame, changes: DataFrame, keys: Sequence[str], hot_rows
     resets = _q(OP).isin(DELETE, AFTER)
     placed = with_group_stats(rows, keys, {"_reset": F.max(F.when(resets, F.col("_pos")))}, hot_rows)
     survivors = placed.filter((_q(OP) != DELETE) & (F.col("_reset").isNull() | (F.col("_pos") >= F.col("_reset"))))
-    untouched = current.join(rows.filter(resets).select(*keys), keys, "left_anti")
+    untouched = current.join(rows.filter(resets).select(*keys).distinct(), keys, "left_anti")
     return untouched.unionByName(survivors.select(*current.columns))
 
 

@@ -187,7 +187,9 @@ def lookup_update(dim: DataFrame, patch: DataFrame, key: str, value: str) -> Dat
 
 
 def fk_violations(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Child rows that point to no parent; a NULL reference is allowed."""
+    """Child rows that point to no parent; a NULL reference is allowed. The parent key is
+    unique, so a parent that many children share is a hot key of one side only, which
+    AQE splits."""
     return (child.filter(F.col(child_key).isNotNull())
             .join(parent.select(F.col(parent_key).alias(child_key)), child_key, "left_anti").select(*child.columns))
 
