@@ -102,13 +102,37 @@ def t9(t):
     return table.read()
 
 
+def updates(t, name: str, df):
+    """Rows a stream in update mode emitted, with the number of their batch."""
+    root = scratch(t.spark, name)
+
+    def store(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{root}/data/batch={batch_id}")
+    ST.run_available(df, f"{root}/state", store, "update")
+    return t.spark.read.parquet(f"{root}/data")
+
+
 @query("t12", "SELECT l_orderkey AS image, l_returnflag AS name, count(*) AS n FROM lineitem GROUP BY 1, 2")
 def t12(t):
-    root = scratch(t.spark, "t12")
     items = streams(t).lineitem.select(F.col("l_orderkey").alias("image"), F.col("l_returnflag").alias("name"))
+    return updates(t, "t12", ST.queue_counts(items)).groupBy("image", "name").agg(F.max_by("n", "batch").alias("n"))
 
-    def store(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{root}/data/batch={batch_id}")
-    ST.run_available(ST.queue_counts(items), f"{root}/state", store, "update")
-    updates = t.spark.read.parquet(f"{root}/data")
-    return updates.groupBy("image", "name").agg(F.max_by("n", "batch").alias("n"))
+
+@query("w7_stream", "SELECT module, count(*) AS counter FROM ev GROUP BY 1", using=("ev",))
+def w7_stream(t):
+    counted = updates(t, "w7", ST.message_counter_stream(streams(t).fixture("ev")))
+    return counted.groupBy("module").agg(F.max_by("counter", "batch").alias("counter"))
+
+
+@query("t7_stream", "SELECT DISTINCT request_id FROM rr_rep", using=("rr_rep",))
+def t7_stream(t):
+    """Which of two replies in one batch is first is up to their arrival, so ids are compared."""
+    replies = streams(t).fixture("rr_rep").withColumn("ts", F.col("ts").cast("timestamp"))
+    return run(t, "t7", ST.reply_once_stream(replies).select("request_id"))
+
+
+@query("t8_stream", "SELECT event_id FROM events WHERE event_type <> 'error'")
+def t8_stream(t):
+    """Errors are sent as messages of an hour ago, all others as messages of now."""
+    sent = F.expr("current_timestamp() - IF(event_type = 'error', INTERVAL '1' HOUR, INTERVAL '0' HOUR)")
+    return run(t, "t8", ST.expire_late_stream(streams(t).events.withColumn("ts", sent), "10 minutes").select("event_id"))
