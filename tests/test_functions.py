@@ -79,6 +79,8 @@ def test_html_parser(spark):
     assert values(spark, ['<a href="x" id=1>t</a><b id="2">u</b>'], lambda c: H.html_strip_attrs_parsed(c, ["b"])) == [
         '<a>t</a><b id="2">u</b>']
     assert values(spark, ['<img a="1"><p>x<img></p>'], lambda c: H.html_remove_nested(c, "img")) == ["<p>x</p>"]
+    raw = ["<title>a &am</title>&lt;&#65;&x", '<a href="?a=1&amp;b=2&c">\ue000&amp;</a>']
+    assert values(spark, raw, lambda c: H.html_clean(c, ["svg"], strip_attrs=False)) == raw
     assert values(spark, ["<!DOCTYPE html><p>"], lambda c: H.html_remove_nested(c, "svg")) == ["<!DOCTYPE html><p>"]
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from html import escape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -11,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+QUOTE = '"'
 VOID_ELEMENTS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 
@@ -51,7 +51,7 @@ class _Rewriter(HTMLParser):
     def _start(self, tag, attrs, close):
         if self.strip and tag not in self.keep:
             attrs = ()
-        text = "".join(f" {k}" if v is None else f' {k}="{escape(v)}"' for k, v in attrs)
+        text = "".join(f" {k}" if v is None else f' {k}="{v.replace(QUOTE, "&quot;")}"' for k, v in attrs)
         self.out.append(f"<{tag}{text}{close}>")
 
     def handle_starttag(self, tag, attrs):
@@ -78,12 +78,6 @@ class _Rewriter(HTMLParser):
     def handle_data(self, data):
         self._text(data)
 
-    def handle_entityref(self, name):
-        self._text(f"&{name};")
-
-    def handle_charref(self, name):
-        self._text(f"&#{name};")
-
     def handle_comment(self, data):
         self._text(f"<!--{data}-->")
 
@@ -121,34 +115,31 @@ class _Inner(HTMLParser):
     def handle_data(self, data):
         self._text(data)
 
-    def handle_entityref(self, name):
-        self._text(f"&{name};")
-
-    def handle_charref(self, name):
-        self._text(f"&#{name};")
-
     def handle_comment(self, data):
         self._text(f"<!--{data}-->")
 
 
+def _run(parser: HTMLParser, html: str) -> str:
+    """Output of a parser. Character references stay as they are written: the ampersand
+    is a private character, one the page does not hold, while the parser runs."""
+    mark = next(c for c in map(chr, range(0xE000, 0xF900)) if c not in html)
+    parser.feed(html.replace("&", mark))
+    parser.close()
+    return "".join(parser.out).replace(mark, "&")
+
+
 def _rewrite(html: str | None, drop: frozenset[str], strip: bool, keep: frozenset[str]) -> str | None:
     if html is None:
         return None
-    parser = _Rewriter(drop, strip, keep)
-    parser.feed(html)
-    parser.close()
-    return "".join(parser.out)
+    return _run(_Rewriter(drop, strip, keep), html)
 
 
 def _inner(html: str | None, name: str) -> str | None:
     if html is None:
         return None
     parser = _Inner(name)
-    parser.feed(html)
-    parser.close()
-    if not parser.depth and not parser.done:
-        return None
-    return "<html>" + "".join(parser.out) + "</html>"
+    inner = _run(parser, html)
+    return f"<html>{inner}</html>" if parser.depth or parser.done else None
 
 
 def html_clean(html: Column | str, remove: Iterable[str] = (), strip_attrs: bool = True,

@@ -50,9 +50,9 @@ def p15(t):
 
 @query("j8", f""", pairs AS (SELECT a.image, a.id AS a_id, b.id AS b_id, {iou_sql('a', 'b')} AS iou
   FROM box a JOIN box b ON a.image = b.image AND a.id < b.id)
-SELECT image, a_id, b_id, round(iou, 6) AS iou FROM pairs WHERE iou > 0""", using=("box",))
+SELECT image, a_id, b_id, round(iou, 9) AS iou FROM pairs WHERE iou > 0""", using=("box",))
 def j8(t):
-    return D.pairwise_iou(t.fixture("box")).withColumn("iou", F.round("iou", 6)).select(
+    return D.pairwise_iou(t.fixture("box")).withColumn("iou", F.round("iou", 9)).select(
         "image", "a_id", "b_id", "iou")
 
 
@@ -146,15 +146,15 @@ def f32(t):
 
 
 @query("f33", f""", a AS (SELECT image, id, x1, y1, x2, y2 FROM box), b AS (SELECT image, id, x1 + cls * 20 AS x1, y1 + 5 AS y1, x2 + cls * 20 AS x2, y2 + 5 AS y2 FROM box)
-SELECT a.image, a.id, round({iou_sql('a', 'b')}, 6) AS iou, round({iou_sql('a', 'b', 1.0)}, 6) AS iou1
+SELECT a.image, a.id, round({iou_sql('a', 'b')}, 9) AS iou, round({iou_sql('a', 'b', 1.0)}, 9) AS iou1
 FROM a JOIN b ON a.image = b.image AND a.id = b.id""", using=("box",))
 def f33(t):
     shift = F.col("cls") * 20
     x1, y1, x2, y2 = B.box()
     moved = (x1 + shift, y1 + 5, x2 + shift, y2 + 5)
     return t.fixture("box").select(
-        "image", "id", F.round(B.iou(B.box(), moved), 6).alias("iou"),
-        F.round(B.iou(B.box(), moved, 1.0), 6).alias("iou1"))
+        "image", "id", F.round(B.iou(B.box(), moved), 9).alias("iou"),
+        F.round(B.iou(B.box(), moved, 1.0), 9).alias("iou1"))
 
 
 def nms_sql(keys: str) -> str:
