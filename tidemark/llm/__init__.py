@@ -1,4 +1,4 @@
 """Operators that prepare text for model training; nothing else in the library imports them."""
 
-from tidemark.llm import exact_dedup, pii, quality_rules, secrets  # noqa: F401  importing registers the queries
+from tidemark.llm import bpe, exact_dedup, pii, quality_rules, secrets  # noqa: F401  importing registers the queries
 from tidemark.llm.registry import ORACLES, QUERIES  # noqa: F401
