@@ -142,10 +142,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     spread = {f"l{i}{j}": F.lit(0.0) if i != j else F.greatest(
         (F.col(f"p{i}")[2] - F.col(f"p{i}")[0]) * 100 / UNIT / 1.349, F.lit(FLOORS[i])) for i in range(DIMS) for j in range(i + 1)}
     estimate = written(start.withColumns(centre | spread).drop(*[f"p{i}" for i in range(DIMS)]), "estimate")
-    for step in range(STEPS):
+    for _ in range(STEPS):
         near = _distance(clean.join(estimate, "g")).select(
             "g", *[f"x{i}" for i in range(DIMS)], F.least(F.floor(64 * F.log1p("d2")), F.lit(4000)).alias("bin"))
-        cut = near.groupBy("g").agg(F.expr(f"percentile(bin, {SHARE}D)").alias("cut"))
+        cut = written(near.groupBy("g").agg(F.expr(f"percentile(bin, {SHARE}D)").alias("cut")), "cut")
         inner = near.join(cut, "g").filter(F.col("bin") <= F.col("cut"))
         estimate = written(_estimates(inner, CONSISTENCY), "estimate")
     judged = _distance(rows.join(estimate.drop("n"), "g", "left"))

@@ -75,10 +75,10 @@ class Words:
         return np.diff(self.first)
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def split_words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR) -> Words:
     """Words of the texts data[offsets[i]:offsets[i + 1]]; offsets begin at 0."""
     n = len(data)
-    space = SEPARATOR[data]
+    space = separator[data]
     before = np.empty(n + 1, bool)
     before[0], before[1:] = True, space
     before[offsets] = True  # a text begins here, or one ends
