@@ -1,4 +1,5 @@
 """Operators that prepare text for model training; nothing else in the library imports them."""
 
-from tidemark.llm import bpe, classifier, exact_dedup, mixing, pii, quality_rules, secrets  # noqa: F401  importing registers the queries
+from tidemark.llm import (  # noqa: F401  importing registers the queries
+    bpe, classifier, exact_dedup, mixing, ngram_join, pii, quality_rules, secrets, substring)
 from tidemark.llm.registry import ORACLES, QUERIES  # noqa: F401
