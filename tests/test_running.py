@@ -93,3 +93,20 @@ def test_series_operators_on_a_hot_series(steps, hot_rows):
         assert len(got[name]) == len(expected)
         for a, b in zip(got[name], expected):
             assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], abs=2e-5), name
+
+
+def test_scores_of_rows_with_missing_features(spark):
+    from tidemark.operators import regression as L
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.0), (None, 1.0), (float("nan"), 1.0)], "x DOUBLE, y DOUBLE")
+    model = L.fit_regression(df, "y", ["x"])
+    got = {str(r.x): r.prediction for r in L.predict(model, df).collect()}
+    assert got["2.0"] == pytest.approx(4.0) and got["None"] is None and got["nan"] is None and len(got) == 5
+    assert tuple(L.usable_rows(df, "y", ["x"]).first()) == (3, 2)
+    assert L.assemble(df, ["x"]).count() == 5
+
+
+def test_constant_columns(spark):
+    from tidemark.operators import regression as L
+    df = spark.createDataFrame([(5.0, 1.0), (5.0, 2.0), (None, 3.0)], "x DOUBLE, prediction DOUBLE")
+    assert [r.x_scaled for r in L.scale(df, ["x"]).collect()] == [0.0, 0.0, None]
+    assert L.regression_metrics(df.filter("x IS NOT NULL"), "x").first()["r2"] is None

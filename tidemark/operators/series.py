@@ -60,33 +60,37 @@ def every_nth(df: DataFrame, n: int, episode: str = "episode") -> DataFrame:
     return df.filter(F.pmod(F.col(episode), F.lit(n)) == 0)
 
 
-def cross_grid(params: Mapping[str, Column], source: DataFrame, max_values: int = 10_000) -> DataFrame:
+def cross_grid(params: Mapping[str, Column], source: DataFrame) -> DataFrame:
     """Every combination of the distinct values of some columns of ``source``.
 
     The values are collected into one row by a partial aggregate, then exploded one
-    after the other, so there is no product of two tables. A parameter with more
-    than ``max_values`` values fails instead of growing one row.
+    after the other, so there is no product of two tables. The row holds the distinct
+    values of each parameter; the result has their product, which is far larger.
     """
     sets = source.agg(*[F.array_sort(F.collect_set(c)).alias(n) for n, c in params.items()])
     out = sets
     for n in params:
-        checked = F.when(F.size(n) <= max_values, F.col(n)).otherwise(
-            F.raise_error(F.lit(f"parameter {n} has too many values")))
-        out = out.withColumn(n, F.explode(checked))
+        out = out.withColumn(n, F.explode(n))
     return out
 
 
+def exact_mean(column: str, digits: int = 8) -> Column:
+    """Mean of a double column from an exact sum of its values at ``digits`` decimals, so that the
+    order of the rows does not change it."""
+    return F.sum(F.col(column).cast(f"decimal(28,{digits})")).cast("double") / F.count(column)
+
+
 def avg_by_param(grid: DataFrame, params: Sequence[str], reward: str = "reward") -> DataFrame:
     """Mean reward per value of each parameter, all in one pass."""
     pairs = F.array(*[F.struct(F.lit(p).alias("param"), F.col(p).cast("double").alias("value")) for p in params])
     return (grid.select(F.explode(pairs).alias("p"), reward)
             .groupBy(F.col("p.param").alias("param"), F.col("p.value").alias("value"))
-            .agg(F.avg(reward).alias("avg_reward")))
+            .agg(exact_mean(reward).alias("avg_reward")))
 
 
 def grid_pivot(grid: DataFrame, row: str, column: str, values: Sequence[float], reward: str = "reward") -> DataFrame:
     """Matrix of mean rewards, 0 where there is none. ``values`` are the columns wanted."""
-    return grid.groupBy(row).pivot(column, list(values)).agg(F.avg(reward)).fillna(0.0)
+    return grid.groupBy(row).pivot(column, list(values)).agg(exact_mean(reward)).fillna(0.0)
 
 
 def best_params(grid: DataFrame, params: Sequence[str], initial: Sequence[float],

@@ -37,7 +37,7 @@ SELECT l_orderkey AS image,
 FROM {lineitem}"""),
     "grid": ("events", """
 SELECT cast(0.25 * (1 + event_id % 8) AS double) AS kp, cast(0.025 * (event_id % 9) AS double) AS ki,
-       cast(0.25 * (event_id % 5) AS double) AS kd, round(avg(value), 4) AS reward
+       cast(0.25 * (event_id % 5) AS double) AS kd, round(cast(sum(cast(value AS decimal(28,8))) AS double) / count(value), 4) AS reward
 FROM {events} GROUP BY 1, 2, 3"""),
     "kvlog": ("events", """
 SELECT event_id AS seq, 'user' || cast(user_id AS string) AS key, props AS value,

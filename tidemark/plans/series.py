@@ -67,7 +67,7 @@ def j7(t):
 
 
 @query("a6", """SELECT CASE WHEN grouping(kp) = 0 THEN 'kp' WHEN grouping(ki) = 0 THEN 'ki' ELSE 'kd' END AS param,
-  coalesce(kp, ki, kd) AS value, round(avg(reward), 4) AS avg_reward FROM grid GROUP BY GROUPING SETS ((kp), (ki), (kd))""",
+  coalesce(kp, ki, kd) AS value, round(CAST(sum(CAST(reward AS DECIMAL(28,8))) AS DOUBLE) / count(reward), 4) AS avg_reward FROM grid GROUP BY GROUPING SETS ((kp), (ki), (kd))""",
        using=("grid",))
 def a6(t):
     return S.avg_by_param(t.fixture("grid"), ["kp", "ki", "kd"]).withColumn("avg_reward", F.round("avg_reward", 4))
@@ -77,7 +77,8 @@ KI = [0.025 * i for i in range(9)]
 
 
 @query("a7", "SELECT kp, " + ", ".join(
-    f"round(coalesce(avg(reward) FILTER (WHERE ki = {v!r}::DOUBLE), 0), 4) AS ki{i}" for i, v in enumerate(KI)) + " FROM grid GROUP BY kp",
+    f"round(coalesce(CAST(sum(CAST(reward AS DECIMAL(28,8))) FILTER (WHERE ki = {v!r}::DOUBLE) AS DOUBLE) "
+    f"/ nullif(count(reward) FILTER (WHERE ki = {v!r}::DOUBLE), 0), 0), 4) AS ki{i}" for i, v in enumerate(KI)) + " FROM grid GROUP BY kp",
     using=("grid",))
 def a7(t):
     wide = S.grid_pivot(t.fixture("grid"), "kp", "ki", KI)
