@@ -72,6 +72,15 @@ def test_nms_of_a_pile_of_boxes(spark, pairs_per_box):
         assert rows(got, "image", "id") == greedy(data, 0.6, 0.1, lambda r: r[0])
 
 
+def test_nms_ways_agree_on_degenerate_boxes(spark):
+    rows_ = [("i", i, x1, 0.0, x2, 10.0, s) for i, (x1, x2, s) in enumerate(
+        [(0.0, 10.0, 0.9), (0.0, 10.0, 0.8), (20.0, 5.0, 0.7), (20.0, 5.0, 0.7), (20.0, 5.0, 0.6), (None, 10.0, 0.5), (None, 10.0, 0.5),
+         (3.0, 3.0, 0.4), (3.0, 3.0, 0.4), (100.0, 110.0, 0.9)])]
+    dets = spark.createDataFrame(rows_, "image STRING, id LONG, x1 DOUBLE, y1 DOUBLE, x2 DOUBLE, y2 DOUBLE, score DOUBLE")
+    ways = [sorted(r.id for r in D.nms(dets, 0.45, 0.1, max_boxes=n).collect()) for n in (10_000, 1)]
+    assert ways[0] == ways[1]
+
+
 def test_nms_keeps_at_the_threshold(spark):
     # two boxes of 10 x 10 pixels that share 5 x 10: IoU is exactly one third
     data = [(1, 1, 0.0, 0.0, 9.0, 9.0, 0.9, 0), (1, 2, 5.0, 0.0, 14.0, 9.0, 0.8, 0)]

@@ -69,6 +69,16 @@ def test_html_regex(spark):
     assert values(spark, ["<p>x</p>"], lambda c: H.html_element(c, "table")) == [None]
 
 
+def test_html_parser_loses_no_text(spark):
+    clean = lambda page, *names: values(spark, [page], lambda c: H.html_clean(c, names, strip_attrs=False))[0]
+    assert clean("<?xml v?><p>a<![CDATA[b]]></p>", "svg") == "<?xml v?><p>a<![CDATA[b]]></p>"
+    assert clean("<p>a<script>b", "script") == "<p>a<script>b"
+    assert clean("<div><p>one<p>two</div>tail", "p") == "<div></div>tail"
+    assert clean("<ul><li>a<ul><li>b</ul></li></ul>end", "ul") == "end"
+    nested = "<ul><li>a<ul><li>b</ul></li><li>c</ul>"
+    assert values(spark, [nested], lambda c: H.html_element_nested(c, "ul")) == ["<html><li>a<ul><li>b</ul></li><li>c</html>"]
+
+
 def test_html_parser(spark):
     nested = "<div>a<div>b</div>c</div><p>d</p><!--n-->&lt;&#65;"
     assert values(spark, [nested, None], lambda c: H.html_remove_nested(c, "div")) == ["<p>d</p><!--n-->&lt;&#65;", None]
@@ -133,7 +143,8 @@ def test_block_to_text(spark):
     blocks = [[3, 7, 65, 66, 254, 67], [3, 7, 65, 66, 0, 67], [0, 7, 65], [3, 254, 65], [3, 0, 65], [3], [], [3, 7, 65, 66],
               [3, 7] + [70] * 40] + [[rnd.choice([0, 254, 65, 97, 120, 57, 80, 81, 82]) for _ in range(16)] for _ in range(60)]
     for keep in (False, True):
-        assert values(spark, blocks, lambda c: X.block_to_text(c, keep), "ARRAY<INT>") == [block_reader(b, keep) for b in blocks]
+        assert values(spark, blocks, lambda c: X.block_to_text(c, keep, 20), "ARRAY<INT>") == [block_reader(b, keep) for b in blocks]
+    assert values(spark, [[3, 7] + [70] * 40], X.block_to_text, "ARRAY<INT>") == ["F" * 40]
 
 
 def test_bytes(spark):
@@ -219,8 +230,6 @@ def test_grid(spark):
     assert rows(S.best_params(tied, params, (9, 9, 9))) == [(1.0, 0.0, 0.1, 5.0)]
     assert rows(S.best_params(grid.withColumn("reward", F.lit(0.0)), params, (9, 8, 7))) == [(9.0, 8.0, 7.0, 0.0)]
     assert rows(S.cross_grid({p: F.col(p) for p in params}, grid)) == [r[:3] for r in GRID]
-    with pytest.raises(Exception, match="too many values"):
-        S.cross_grid({"kp": F.col("kp")}, grid, 1).collect()
     wide = S.grid_pivot(grid, "kp", "ki", [0.0, 0.25, 0.5]).orderBy("kp").collect()
     assert [round(x, 6) for x in wide[0]] == [1.0, 9.85, 0.0, 10.35]
     avg = {(r["param"], r["value"]): round(r["avg_reward"], 6) for r in S.avg_by_param(grid, params).collect()}

@@ -41,12 +41,17 @@ def html_element(html: Column | str, name: str) -> Column:
 
 
 class _Rewriter(HTMLParser):
-    """Writes the document back without some elements and, if asked, without attributes."""
+    """Writes the document back without some elements and, if asked, without attributes.
+
+    An element that is dropped ends with its end tag, or with that of an element around
+    it. One that never ends is kept, so no text is lost behind it.
+    """
 
     def __init__(self, drop: frozenset[str], strip: bool, keep: frozenset[str]):
         super().__init__(convert_charrefs=False)
         self.drop, self.strip, self.keep = drop, strip, keep
         self.depth, self.out = 0, []
+        self.held, self.inside = [], []  # what a dropped element holds, and its open elements
 
     def _start(self, tag, attrs, close):
         if self.strip and tag not in self.keep:
@@ -55,25 +60,46 @@ class _Rewriter(HTMLParser):
         self.out.append(f"<{tag}{text}{close}>")
 
     def handle_starttag(self, tag, attrs):
-        if tag in self.drop:
+        if tag in self.drop and tag not in VOID_ELEMENTS:
+            self.depth += 1
+        if self.depth:
+            self.held.append(self.get_starttag_text())
             if tag not in VOID_ELEMENTS:
-                self.depth += 1
-        elif not self.depth:
+                self.inside.append(tag)
+        elif tag not in self.drop:
             self._start(tag, attrs, "")
 
     def handle_startendtag(self, tag, attrs):
-        if tag not in self.drop and not self.depth:
+        if self.depth:
+            self.held.append(self.get_starttag_text())
+        elif tag not in self.drop:
             self._start(tag, attrs, "/")
 
     def handle_endtag(self, tag):
-        if tag in self.drop:
-            self.depth = max(0, self.depth - 1)
-        elif not self.depth:
+        if self.depth and tag in self.inside:
+            while self.inside:
+                last = self.inside.pop()
+                self.depth -= last in self.drop
+                if last == tag:
+                    break
+            self.held.append(f"</{tag}>")
+            if not self.depth:
+                self.held, self.inside = [], []
+            return
+        if self.depth and tag not in self.drop:  # of an element around the dropped one
+            self.depth, self.held, self.inside = 0, [], []
+        if not self.depth and tag not in self.drop:
             self.out.append(f"</{tag}>")
 
+    def close(self):
+        super().close()
+        self._text(self.rawdata)  # of a script that never ends
+        self.rawdata = ""
+        self.out += self.held
+        self.depth, self.held, self.inside = 0, [], []
+
     def _text(self, text):
-        if not self.depth:
-            self.out.append(text)
+        (self.held if self.depth else self.out).append(text)
 
     def handle_data(self, data):
         self._text(data)
@@ -84,6 +110,12 @@ class _Rewriter(HTMLParser):
     def handle_decl(self, decl):
         self._text(f"<!{decl}>")
 
+    def handle_pi(self, data):
+        self._text(f"<?{data}>")
+
+    def unknown_decl(self, data):
+        self._text(f"<![{data}]]>" if data.startswith("CDATA[") else f"<![{data}]>")
+
 
 class _Inner(HTMLParser):
     """Collects the inner HTML of the first element of a name, nested ones included."""
@@ -118,6 +150,12 @@ class _Inner(HTMLParser):
     def handle_comment(self, data):
         self._text(f"<!--{data}-->")
 
+    def handle_pi(self, data):
+        self._text(f"<?{data}>")
+
+    def unknown_decl(self, data):
+        self._text(f"<![{data}]]>" if data.startswith("CDATA[") else f"<![{data}]>")
+
 
 def _run(parser: HTMLParser, html: str) -> str:
     """Output of a parser. Character references stay as they are written: the ampersand

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 SEARCH_TEXT_CHARS = 150
 SEARCH_PAGE_SIZE = 50
 BLOCK_CLOSING_BYTE = 254
-BLOCK_MAX_STEPS = 20
 
 
 def _col(c: Column | str) -> Column:
@@ -81,15 +80,15 @@ def split_message(body: Column | str) -> Column:
                     number(8).alias("rpm"), number(10).alias("acceleration"))
 
 
-def block_to_text(block: Column | str, keep_nul: bool = False) -> Column:
+def block_to_text(block: Column | str, keep_nul: bool = False, max_steps: int | None = None) -> Column:
     """Characters of a byte block from index 2 up to the first 0 or 254.
 
-    The reader walks at most 20 steps; a stop byte at index 0 or 1 gives an empty
-    text. ``keep_nul`` keeps the NUL a reader that appends before it tests leaves
+    A stop byte at index 0 or 1 gives an empty text. A device that walks a fixed number
+    of steps is read with ``max_steps``; without it the whole block counts. ``keep_nul`` keeps the NUL a reader that appends before it tests leaves
     at the end of a block closed by 0.
     """
     b = _col(block)
-    capped = F.slice(b, 1, BLOCK_MAX_STEPS + 1)
+    capped = b if max_steps is None else F.slice(b, 1, max_steps + 1)
     stops = F.filter(
         F.transform(capped, lambda x, i: F.when(x.isin(0, BLOCK_CLOSING_BYTE), i)), lambda i: i.isNotNull())
     stop = F.coalesce(F.try_element_at(stops, F.lit(1)), F.size(capped))

@@ -170,7 +170,9 @@ def _rounds(dets: DataFrame, keys: Sequence[str], threshold: float, tile: Tile |
     ensure_checkpoint_dir(dets.sparkSession)
     rest = [c for c in dets.columns if c not in (*keys, *CORNERS)]
     rank = F.struct((-F.col("score")).alias("s"), F.col("id"))
-    boxes = dets.groupBy(*keys, *CORNERS).agg(F.min_by(F.struct(*rest), rank).alias("_b")).select(
+    own = B.iou(B.box(), B.box(), 1.0) > threshold  # else copies do not suppress each other: inverted boxes, NULL corners
+    alone = F.when(F.coalesce(own, F.lit(False)), F.lit(None)).otherwise(F.col("id"))
+    boxes = dets.withColumn("_alone", alone).groupBy(*keys, *CORNERS, "_alone").agg(F.min_by(F.struct(*rest), rank).alias("_b")).select(
         *keys, *CORNERS, "_b.*").withColumn("n", F.struct(*keys, "id")).checkpoint()
     tile = tile or typical_tile(boxes)
     alive, kept = boxes, []

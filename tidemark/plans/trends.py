@@ -100,7 +100,7 @@ def f14(t):
 @query("f15", r"""SELECT page_id, CASE WHEN regexp_matches(html, '(?is)<ul\b[^>]*>.*?</ul\s*>')
   THEN '<html>' || regexp_extract(html, '(?is)<ul\b[^>]*>(.*?)</ul\s*>', 1) || '</html>' END AS html FROM pages""")
 def f15(t):
-    return t.pages.select("page_id", H.html_element("html", "ul").alias("html"))
+    return t.pages.select("page_id", H.html_element_nested("html", "ul").alias("html"))
 
 
 @query("m3", f"SELECT page_id, regexp_replace({PLAIN}, '<([a-zA-Z][a-zA-Z0-9:-]*)\\s[^>]*>', '<\\1>', 'g') AS html FROM pages")
