@@ -173,7 +173,7 @@ def test_request_reply_stream(spark, folder):
     r = spark.readStream.schema(rep.schema).parquet(f"{folder}/rep")
     out = ST.request_reply_stream(q, r).select("request_id", "result", "error")
     got = sorted((x for b in batches_of(out, f"{folder}/s1") for x in b), key=str)
-    assert got == [(0, "edge", None), (1, None, "TIMEOUT"), (2, "again", None), (2, "ok", None), (3, None, "TIMEOUT"),
+    assert got == [(0, "edge", None), (1, None, "TIMEOUT"), (2, "ok", None), (3, None, "TIMEOUT"),
                    (4, None, "TIMEOUT"), (5, None, "TIMEOUT")]
 
 
@@ -248,3 +248,11 @@ def test_score_stream(spark, car, folder):
     scored = ST.score_stream(stream, model, {f: f for f in FEATURES}).select("prediction", "actual")
     got = [r for b in batches_of(scored, f"{folder}/s") for r in b]
     assert len(got) == 200 and all(p == pytest.approx(a, abs=1e-3) for p, a in got)
+
+
+def test_sample_takes_several_batches(spark, folder):
+    for i in range(3):
+        spark.range(10 * i, 10 * i + 10, 1, 1).write.mode("append").parquet(f"{folder}/in")
+    stream = ST.read_files(spark, f"{folder}/in", spark.range(1).schema, files_per_trigger=1).drop("partition")
+    assert ST.sample(stream, 25, 30.0, f"{folder}/s1", f"{folder}/o1").distinct().count() == 25
+    assert ST.sample(stream, 99, 5.0, f"{folder}/s2", f"{folder}/o2").count() == 30

@@ -73,10 +73,13 @@ def t7(t):
     return M.reply_once(t.fixture("rr_rep"))
 
 
-@query("j6", """, hits AS (SELECT q.request_id, min(r.ts) AS replied_at, arg_min(r.result, r.ts) AS result
+REPLIES = """, hits AS (SELECT q.request_id, min(r.ts) AS replied_at, arg_min(r.result, r.ts) AS result
   FROM rr_req q JOIN rr_rep r ON q.request_id = r.request_id AND r.ts BETWEEN q.ts AND q.ts + INTERVAL '60' SECOND GROUP BY 1)
 SELECT q.request_id, q.user_id, q.ts, h.replied_at, h.result, CASE WHEN h.request_id IS NULL THEN 'TIMEOUT' END AS error
-FROM rr_req q LEFT JOIN hits h ON q.request_id = h.request_id""", using=("rr_req", "rr_rep"))
+FROM rr_req q LEFT JOIN hits h ON q.request_id = h.request_id"""
+
+
+@query("j6", REPLIES, using=("rr_req", "rr_rep"))
 def j6(t):
     return M.request_reply(t.fixture("rr_req"), t.fixture("rr_rep"))
 

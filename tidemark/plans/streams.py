@@ -77,18 +77,20 @@ def t5(t):
 ORACLES["t5"] = ORACLES["p8"]
 
 
-@query("t6", """, m AS (SELECT max(ts) - INTERVAL '1' DAY AS until FROM rr_req)
-SELECT q.request_id, q.user_id, q.ts, r.ts AS replied_at, r.result, CASE WHEN r.request_id IS NULL THEN 'TIMEOUT' END AS error
-FROM rr_req q LEFT JOIN rr_rep r ON q.request_id = r.request_id AND r.ts BETWEEN q.ts AND q.ts + INTERVAL '60' SECOND
-WHERE q.ts < (SELECT until FROM m)""", using=("rr_req", "rr_rep"))
+@query("t6", messages.REPLIES, using=("rr_req", "rr_rep"))
 def t6(t):
-    """Compared up to a day before the newest request, which the final watermark has passed."""
-    st = streams(t)
-    req, rep = (st.fixture(n).withColumn("ts", F.col("ts").cast("timestamp")) for n in ("rr_req", "rr_rep"))
-    out = run(t, "t6", ST.request_reply_stream(req, rep))
-    until = t.fixture("rr_req").agg(F.max("ts") - F.expr("INTERVAL '1' DAY")).scalar()
-    plain = out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ts", "replied_at")})
-    return plain.filter(F.col("ts") < until)
+    """A closing request and reply far ahead let the watermark pass all real requests."""
+    root = scratch(t.spark, "t6")
+    frames = []
+    for name in ("rr_req", "rr_rep"):
+        df = t.fixture(name).withColumn("ts", F.col("ts").cast("timestamp"))
+        far = t.fixture("rr_req").agg((F.max("ts") + F.expr("INTERVAL '2' DAY")).cast("timestamp").alias("ts"))
+        closing = far.select(*[F.col("ts") if c == "ts" else F.lit(-1 if c == "request_id" else None).cast(df.schema[c].dataType).alias(c)
+                               for c in df.columns])
+        df.unionByName(closing).write.parquet(f"{root}/{name}")
+        frames.append(t.spark.readStream.schema(df.schema).parquet(f"{root}/{name}"))
+    out = run(t, "t6", ST.request_reply_stream(*frames))
+    return out.filter("request_id <> -1").withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ts", "replied_at")})
 
 
 @query("t9", """SELECT c_custkey, coalesce(v, c_acctbal) AS c_acctbal FROM customer LEFT JOIN (

@@ -63,34 +63,33 @@ def append_to(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[
 
 
 def sample(stream: DataFrame, n: int, timeout: float, checkpoint: str, out: str) -> DataFrame:
-    """The first ``n`` messages of a stream; TimeoutError when none comes in time.
+    """The first ``n`` messages of a stream, or those that came in time; TimeoutError when none did.
 
-    The first batch that has rows writes up to n of them to ``out``; the query is
-    stopped in any case.
+    Each batch writes what is still wanted to a folder of its own below ``out``; the
+    query is stopped in any case.
     """
     spark = stream.sparkSession
-    taken: list[int] = []
+    taken: dict[int, int] = {}
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        if taken:
-            return
-        got = batch.limit(n)
-        got.write.mode("overwrite").parquet(out)
-        if not spark.read.schema(batch.schema).parquet(out).isEmpty():
-            taken.append(batch_id)
+        wanted = n - sum(taken.values())
+        if wanted > 0:
+            path = f"{out}/batch={batch_id}"
+            batch.limit(wanted).write.mode("overwrite").parquet(path)
+            taken[batch_id] = spark.read.schema(batch.schema).parquet(path).count()
     query = (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(take)
              .trigger(processingTime="200 milliseconds").start())
     try:
         waited = 0.0
-        while not taken and waited < timeout:
+        while sum(taken.values()) < n and waited < timeout:
             if query.awaitTermination(0.2):
                 break
             waited += 0.2
     finally:
         query.stop()
-    if not taken:
+    if not sum(taken.values()):
         raise TimeoutError(f"no message within {timeout} s")
-    return spark.read.schema(stream.schema).parquet(out)
+    return spark.read.schema(stream.schema).parquet(*[f"{out}/batch={b}" for b in taken])
 
 
 def stream_cdc(bodies: DataFrame, body: str, row: str, path: str, checkpoint: str) -> StreamingQuery:
@@ -181,8 +180,9 @@ def request_reply_stream(requests: DataFrame, replies: DataFrame, timeout: str =
                          delay: str = "10 seconds", key: str = "request_id", result: str = "result") -> DataFrame:
     """Pending requests are state until a reply or until the watermark passes the timeout.
 
-    The time range bounds the state of both sides. A request without a reply leaves
-    with the error TIMEOUT.
+    The time range bounds the state of both sides. Of several replies in time the first
+    counts: the joined rows are aggregated per request, whose state goes once the
+    watermark has passed it. A request without a reply leaves with the error TIMEOUT.
     """
     q = requests.withWatermark("ts", delay)
     r = replies.select(F.col(key).alias("_id"), F.col("ts").alias("replied_at"), F.col(result))
@@ -190,8 +190,9 @@ def request_reply_stream(requests: DataFrame, replies: DataFrame, timeout: str =
     limit = F.expr(f"INTERVAL '{timeout}'")
     cond = (F.col(key) == F.col("_id")) & (F.col("replied_at") >= F.col("ts")) & (
         F.col("replied_at") <= F.col("ts") + limit)
-    return q.join(r, cond, "left_outer").select(
-        *requests.columns, "replied_at", result, F.when(F.col("_id").isNull(), "TIMEOUT").alias("error"))
+    joined = q.join(r, cond, "left_outer").groupBy(*requests.columns).agg(
+        F.min("replied_at").alias("replied_at"), F.min_by(result, "replied_at").alias(result), F.count("_id").alias("_replies"))
+    return joined.withColumn("error", F.when(F.col("_replies") == 0, "TIMEOUT")).drop("_replies")
 
 
 def expire_late_stream(stream: DataFrame, ttl: str = messages.TIME_TO_LIVE, column: str = "ts") -> DataFrame:
