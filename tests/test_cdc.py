@@ -231,10 +231,13 @@ def test_envelope(spark):
         '{"before":{"k":1,"name":"a","amount":1.5},"after":{"k":1,"name":null,"amount":2},"op":"u","source":{"table":"t","ts_ns":2,"db":"m"}}',
         '{"before":{"k":2,"name":"b","amount":2},"after":null,"op":"d","source":{"table":"t","ts_ns":3,"db":"m"}}',
         None]
+    broken = spark.createDataFrame([('{"op":',), ('{"op":"t"}',), ('{"after":{"k":7}}',), ('{"op":"d","after":{"k":7}}',)], "body STRING")
+    assert [r["__error"] for r in cdc.flatten_envelope(broken, "body", ROW).collect()] == ["malformed", "no row", "malformed", "no row"]
+    assert cdc.soft_delete_view(cdc.flatten_envelope(broken, "body", ROW), ["k"]).count() == 0
     flat = cdc.flatten_envelope(spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i INT, body STRING"), "body", ROW)
     assert rows(flat.drop("i")) == rows(spark.createDataFrame(
-        [(1, "a", 1.5, "c", "t", 1, "m", "false"), (1, None, 2.0, "u", "t", 2, "m", "false"),
-         (2, "b", 2.0, "d", "t", 3, "m", "true"), (None,) * 8], flat.drop("i").schema))
+        [(1, "a", 1.5, "c", "t", 1, "m", "false", None), (1, None, 2.0, "u", "t", 2, "m", "false", None),
+         (2, "b", 2.0, "d", "t", 3, "m", "true", None), (None,) * 9], flat.drop("i").schema))
     assert rows(cdc.soft_delete_view(flat, ["k"]), "k", "name", "amount") == [(1, None, 2.0)]
 
 
@@ -380,3 +383,10 @@ def test_bucketed_table_is_merged_in_place(spark, medium, folder, capsys):
     assert VersionedTable(spark, folder, "orders").read().count() == 13300
     with pytest.raises(ValueError, match="bucket keys"):
         VersionedTable(spark, folder, "orders", buckets=4)
+
+
+def test_bounds_of_a_range_in_any_case(spark):
+    log = spark.createDataFrame([("0x0000000000000000ABCD", 2, 1)], "`__$start_lsn` STRING, `__$operation` INT, k INT")
+    assert cdc.read_changes(log, "0x0000000000000000abcd", "0X0000000000000000abce").count() == 1
+    with pytest.raises(ValueError):
+        cdc.read_changes(log, "0xabcd", "0x0000000000000000abce")

@@ -7,6 +7,7 @@ A change row carries the columns of the table plus ``__$start_lsn``,
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -44,6 +45,13 @@ def _check_keys(keys: Sequence[str], *frames: DataFrame) -> list[str]:
     return list(keys)
 
 
+def lsn_text(lsn: str) -> str:
+    """A bound as the log writes it: 0x and 20 upper-case hexadecimal digits."""
+    if not re.fullmatch("0[xX][0-9A-Fa-f]{20}", lsn):
+        raise ValueError(f"not an LSN: {lsn!r}")
+    return "0x" + lsn[2:].upper()
+
+
 def read_changes(log: DataFrame, from_lsn: str, to_lsn: str, *, row_filter: str = "all",
                  after: bool = False, min_lsn: str | None = None) -> DataFrame:
     """Changes of an LSN range; both ends belong to it unless ``after`` skips the first.
@@ -53,8 +61,9 @@ def read_changes(log: DataFrame, from_lsn: str, to_lsn: str, *, row_filter: str
     by :func:`write_changes` is pruned to the folders of the range first.
     ``row_filter='all update old'`` keeps the rows before updates.
     """
-    if min_lsn is not None and from_lsn < min_lsn:
+    if min_lsn is not None and lsn_text(from_lsn) < lsn_text(min_lsn):
         raise ValueError(f"from_lsn {from_lsn} is older than the change log (starts at {min_lsn})")
+    from_lsn, to_lsn = lsn_text(from_lsn), lsn_text(to_lsn)
     lower = _q(LSN) > from_lsn if after else _q(LSN) >= from_lsn
     rows = log.filter(lower & (_q(LSN) <= to_lsn))
     if LOG_FILE in log.columns:
@@ -304,7 +313,9 @@ def flatten_envelope(messages: DataFrame, body: str, row: str) -> DataFrame:
 
     Columns of the row after the change, of the row before it for a delete, which
     stays in the log flagged ``__deleted = 'true'``. A tombstone (NULL body) passes
-    as a row of NULLs. Other columns of ``messages`` are kept.
+    as a row of NULLs. Other columns of ``messages`` are kept. ``__error`` says why a
+    body gives no row: ``malformed`` (it does not parse or names no operation) or
+    ``no row`` (the operation comes without the row it needs); it is NULL otherwise.
     """
     others = [c for c in messages.columns if c != body]
     parsed = messages.withColumn("_e", F.from_json(F.col(body), envelope_type(row)))
@@ -314,13 +325,18 @@ def flatten_envelope(messages: DataFrame, body: str, row: str) -> DataFrame:
     return parsed.select(
         *others, *[F.when(e["op"] == "d", e["before"][n]).otherwise(e["after"][n]).alias(n) for n in names],
         e["op"].alias("__op"), e["source"]["table"].alias("__table"), e["source"]["ts_ns"].alias("__source_ts_ns"),
-        e["source"]["db"].alias("__db"), deleted.alias("__deleted"))
+        e["source"]["db"].alias("__db"), deleted.alias("__deleted"),
+        F.when(F.col(body).isNotNull() & e["op"].isNull(), "malformed")
+        .when(F.when(e["op"] == "d", e["before"].isNull()).when(e["op"].isNotNull(), e["after"].isNull()), "no row").alias("__error"))
 
 
 def soft_delete_view(log: DataFrame, keys: Sequence[str], order: Sequence[str] = ("__source_ts_ns",)) -> DataFrame:
-    """Current rows of an append-only log that keeps its deletes."""
+    """Current rows of an append-only log that keeps its deletes. Tombstones and rows with
+    an ``__error`` name no key and stay in the log only. ``order`` should end in the
+    position in the log where times can be equal."""
     w = Window.partitionBy(*keys).orderBy(*[_q(o).desc() for o in order])
-    return (log.filter(F.col("__op").isNotNull())
+    sound = F.col("__op").isNotNull() & (F.col("__error").isNull() if "__error" in log.columns else F.lit(True))
+    return (log.filter(sound).drop("__error")
             .withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
             .filter(F.col("__deleted") != "true").drop("__deleted"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import lsn
 from tidemark.operators import cdc, tables
+from tidemark.plans.basics import scratch
 from tidemark.plans.registry import query
 
 KEYS = ["k"]
@@ -19,12 +20,15 @@ def plain(df):
 
 
 def latest(t):
-    return cdc.latest_change(cdc.read_changes(t.fixture("chg"), "0x", "0y"), KEYS)
+    return cdc.latest_change(cdc.read_changes(t.fixture("chg"), "0x" + "0" * 20, "0x" + "f" * 20), KEYS)
 
 
 @query("s3", f"SELECT * FROM chg WHERE lsn BETWEEN '{LOW}' AND '{HIGH}' AND op <> 3", using=("chg",))
 def s3(t):
-    return plain(cdc.read_changes(t.fixture("chg"), LOW, HIGH))
+    """The range is read from a stored log; its bounds may be in lower case."""
+    path = scratch(t.spark, "s3")
+    cdc.write_changes(t.fixture("chg"), path)
+    return plain(cdc.read_changes(t.spark.read.parquet(path), LOW.lower(), HIGH.lower()))
 
 
 @query("p4", "SELECT CASE op WHEN 1 THEN 'delete' WHEN 2 THEN 'insert' ELSE 'update' END AS kind, lsn, k FROM chg WHERE op <> 3",
@@ -180,8 +184,8 @@ ENV = """, env AS (SELECT k, custkey, status, amount, odate, CASE op WHEN 1 THEN
 """
 
 
-@query("d12", ENV + """SELECT * FROM env
-UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM chg WHERE op = 1""", using=("chg",))
+@query("d12", ENV + """SELECT *, CAST(NULL AS VARCHAR) AS __error FROM env
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM chg WHERE op = 1""", using=("chg",))
 def d12(t):
     return cdc.flatten_envelope(envelopes(t), "body", ROW)
 
