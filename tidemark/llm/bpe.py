@@ -57,6 +57,7 @@ class MergeAutomaton:
         self.halves: dict[int, tuple[int, int]] = {}
         self.lost: dict[tuple[int, int], int] = {}
         self.known: dict[int, bool] = {}
+        self.paths: dict[bytes, int] = {}
         for time, (u, v, x) in enumerate(merges):
             self._gadget(time, u, v, x)
         self.end = len(merges)
@@ -99,48 +100,62 @@ class MergeAutomaton:
         return found
 
     def encode(self, word: bytes) -> list[int]:
-        """The tokens of a word: the one accepted path, found from left to right."""
-        last, known = [-1], self.known  # last token of the path to each position
-        tree, token_at = self.tree, self.token_at
-        for end in range(1, len(word) + 1):
-            node, start, found = 0, end, []
-            while start:
-                start -= 1
-                node = tree.get(node << 8 | word[start])
-                if node is None:
-                    break
-                if token_at[node] >= 0:
-                    found.append((start, token_at[node]))
-            for start, token in reversed(found):
-                if not start:
-                    break
-                arc = known.get(last[start] << 32 | token)
-                if self.arc(last[start], token) if arc is None else arc:
-                    break
-            last.append(token)
-        out, end = [], len(word)
+        """The tokens of a word: the one accepted path, found from left to right.
+
+        The last token of the path to a prefix depends on the prefix only, so it is remembered, up to
+        2 * CACHE prefixes; words that begin alike share the work.
+        """
+        paths, known, step, token_at = self.paths, self.known, self.tree.get, self.token_at
+        if len(paths) > 2 * CACHE:
+            paths.clear()
+        size = len(word)
+        done = size
+        while done and word[:done] not in paths:
+            done -= 1
+        last: dict[int, int] = {}
+        for end in range(done + 1, size + 1):
+            node = 0
+            for start in range(end - 1, -1, -1):
+                node = step(node << 8 | word[start])
+                token = token_at[node]
+                if token >= 0:
+                    if not start:
+                        break
+                    before = last.get(start)
+                    if before is None:
+                        before = last[start] = paths[word[:start]]
+                    arc = known.get(before << 32 | token)
+                    if self.arc(before, token) if arc is None else arc:
+                        break
+            last[end] = token
+            if end <= 64:
+                paths[word[:end]] = token
+        out, end = [], size
         while end:
-            out.append(last[end])
-            end -= len(self.labels[last[end]])
+            token = last.get(end)
+            if token is None:
+                token = paths[word[:end]]
+            out.append(token)
+            end -= len(self.labels[token])
         return out[::-1]
 
 
-class Known:
+class Known(dict):
     """Encodings of the words met lately: two dicts of CACHE words at most, the older dropped when the newer is full."""
 
     def __init__(self, encode):
-        self.encode, self.new, self.old = encode, {}, {}
+        super().__init__()
+        self.encode, self.old = encode, {}
 
-    def __call__(self, word: str) -> bytes:
-        ids = self.new.get(word)
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
         if ids is None:
-            ids = self.old.get(word)
-            if ids is None:
-                ids = np.array(self.encode(word.encode()), "<u4").tobytes()
-            if len(word) <= 64:
-                if len(self.new) >= CACHE:
-                    self.new, self.old = {}, self.new
-                self.new[word] = ids
+            ids = np.array(self.encode(word.encode()), "<u4").tobytes()
+        if len(word) <= 64:
+            if len(self) >= CACHE:
+                self.old = dict(self)
+                self.clear()
+            self[word] = ids
         return ids
 
 
@@ -160,6 +175,10 @@ class Tokenizer:
         self.automaton = MergeAutomaton(singles, merges, labels)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.labels = labels | {i: t.encode() for t, i in self.special.items()}
+        listed = [self.labels.get(i, b"") for i in range(max(self.labels) + 1)]
+        self.sizes = np.array([len(x) for x in listed])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(listed), np.uint8)
         self.words = regex.compile(PATTERN)
         self.specials = regex.compile("|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.known = Known(self.automaton.encode)
@@ -174,10 +193,19 @@ class Tokenizer:
         return np.concatenate([*parts, self._plain(text[at:])])
 
     def _plain(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.known, self.words.findall(text))), "<u4")
+        return np.frombuffer(b"".join(map(self.known.__getitem__, self.words.findall(text))), "<u4")
 
     def decode(self, ids) -> str:
-        return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
+        """The labels of the tokens, joined; ids without a token are left out."""
+        ids = np.asarray(ids, np.int64)
+        ids = ids[(ids >= 0) & (ids < len(self.sizes))]
+        out = []
+        for i in range(0, len(ids), 1 << 16):
+            part = ids[i:i + (1 << 16)]
+            sizes = self.sizes[part]
+            shift = self.starts[part] - (np.cumsum(sizes) - sizes)
+            out.append(self.bytes[np.arange(int(sizes.sum())) + np.repeat(shift, sizes)].tobytes())
+        return b"".join(out).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
@@ -238,13 +266,33 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 ids = tokenizer.encode(t.as_py())
                 sizes.append(len(ids))
                 ids_hex.append(hashlib.sha256(ids.tobytes()).hexdigest())
-                text_hex.append(hashlib.sha256(tokenizer.decode(ids.tolist()).encode()).hexdigest())
+                text_hex.append(hashlib.sha256(tokenizer.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sizes, pa.int64()), pa.array(ids_hex, pa.string()),
                                               pa.array(text_hex, pa.string())],
                                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def encode_checked(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns in ``keep``, n_tokens, ids, and ``same``: whether the ids decode to the text."""
+    content = vocabulary(docs.sparkSession, path)
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), *[docs[c] for c in keep], whole(docs[text_col]).alias("_t"))
+    names = rows.columns[:-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = _compiled(content.value)
+        for batch in small(batches):
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            ids = [tokenizer.encode(t) for t in texts]
+            same = [tokenizer.decode(x) == t for x, t in zip(ids, texts)]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(i) for i in range(batch.num_columns - 1)], pa.array([len(x) for x in ids], pa.int64()),
+                 pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array(same, pa.bool_())],
+                names=[*names, "n_tokens", "ids", "same"])
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    return rows.mapInArrow(run, f"{types}, n_tokens long, ids array<int>, same boolean")
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
