@@ -196,7 +196,7 @@ def rate(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 out = [np.round(score, 6), np.round(tails.sum(axis=1), 6), np.round(last, 6), (last >= min_tail) & (n_terms > 0)]
                 yield pa.RecordBatch.from_arrays([*[batch.column(i)[low:high] for i in range(batch.num_columns - 1)], *map(pa.array, out)],
                                                  names=[*names, "score", "expected_grade", "tail_probability", "kept"])
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), *[docs[c].alias(f"_{c}") for c in keep], whole(docs[text_col]).alias("_t"))
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), *[docs[c].alias(f"_{c}") for c in keep], whole(docs[text_col]).alias("_rated text"))
     names = rows.columns[:-1]
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return rows.mapInArrow(run, f"{types}, score double, expected_grade double, tail_probability double, kept boolean")
