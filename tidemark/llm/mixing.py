@@ -192,7 +192,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         seed: int = SEED, shard_slots: int = SHARD_SLOTS, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """doc_id, size, source_size, target, taken for every row."""
     rows, parts, slots = _pieces(docs, id_col, text_col, source_col, block, seed, shard_slots, weights, most)
-    times = slots.groupBy("s", "block").agg(F.count(F.lit(1)).alias("times"))
+    times = slots.groupBy("s", "block").agg(F.count(F.lit(1)).alias("times")).hint("merge")  # its size is not seen before it runs
     taken = (parts.join(times, ["s", "block"], "left")
              .groupBy("s", "start", "doc_id", "tie", "size", "source_size", "target")
              .agg(F.sum((F.col("high") - F.col("low")) * F.coalesce("times", F.lit(0))).alias("taken")))
@@ -213,7 +213,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min_by(F.struct(*[docs[c] for c in names]), F.xxhash64(whole(docs[text_col]), docs[source_col])).alias("_row"))
     one = written(one, "documents")
     _, parts, slots = _pieces(one.select("_row.*"), id_col, text_col, source_col, **options)
-    runs = (parts.join(slots, ["s", "block"])
+    runs = (parts.join(slots.hint("merge"), ["s", "block"])
             .groupBy("doc_id", "size", "pass").agg(F.sum(F.col("high") - F.col("low")).alias("n"),
                                                    F.sort_array(F.collect_list(F.struct("low", "high"))).alias("at")))
     text = whole(F.col(f"_row.{text_col}"))
