@@ -390,3 +390,12 @@ def test_bounds_of_a_range_in_any_case(spark):
     assert cdc.read_changes(log, "0x0000000000000000abcd", "0X0000000000000000abce").count() == 1
     with pytest.raises(ValueError):
         cdc.read_changes(log, "0xabcd", "0x0000000000000000abce")
+
+
+def test_columns_only_the_changes_have(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k INT, v STRING")
+    changes = spark.createDataFrame([("0x01", "0x01", 4, 1, "c", 9)], "`__$start_lsn` STRING, `__$seqval` STRING, `__$operation` INT, k INT, v STRING, w INT")
+    with pytest.raises(ValueError, match="w"):
+        cdc.merge_cdc(target, changes, ["k"])
+    got = cdc.merge_cdc(target, changes, ["k"], new_columns="add")
+    assert rows(got, "k", "v", "w") == [(1, "c", 9), (2, "b", None)]

@@ -152,14 +152,16 @@ def _fits(df: DataFrame, rows: int, size: int) -> bool:
 
 
 def merge_cdc(target: DataFrame, changes: DataFrame, keys: Sequence[str], mode: str = "correct",
-              null_policy: str = "overwrite", broadcast_rows: int = 0) -> DataFrame:
+              null_policy: str = "overwrite", broadcast_rows: int = 0, new_columns: str = "fail") -> DataFrame:
     """New state of ``target``: matched deletes go, matched inserts and updates
     replace the row, the rest is inserted.
 
     ``mode='correct'`` keeps the last change per key and ignores a delete of an
     unknown key. ``mode='strict'`` is the plain MERGE statement: two changes of a
     key fail the job and an unmatched delete is inserted like any other row.
-    ``null_policy='keep'`` leaves a column alone when the update carries NULL.
+    ``null_policy='keep'`` leaves a column alone when the update carries NULL. Columns that
+    only the changes have fail the merge, or with ``new_columns='add'`` become columns of
+    the target, NULL for the rows that no change touches.
 
     One full outer join, both sides shuffled once on the key. With ``broadcast_rows``
     the reduced change set is computed first; if it stays within that many rows and
@@ -168,6 +170,10 @@ def merge_cdc(target: DataFrame, changes: DataFrame, keys: Sequence[str], mode:
     keys = _check_keys(keys, target, changes)
     if mode not in ("correct", "strict"):
         raise ValueError(f"unknown mode {mode}")
+    extra = [c for c in changes.columns if not c.startswith(META_PREFIX) and c not in target.columns]
+    if extra and new_columns != "add":
+        raise ValueError(f"columns the target does not have: {extra}")
+    target = target.withColumns({c: F.lit(None).cast(changes.schema[c].dataType) for c in extra})
     rows = changes.filter(_q(OP) != BEFORE)
     source = latest_change(rows, keys) if mode == "correct" else _one_change_per_key(rows, keys)
     rest = [c for c in target.columns if c not in keys]

@@ -102,7 +102,8 @@ def merge_batch(table: VersionedTable, keys: Sequence[str], broadcast_rows: int
     """``foreachBatch`` function that merges a batch of changes into a table.
 
     The batch id is committed together with the data, so a batch that is delivered
-    again after a failure is skipped. ``history`` gets one row per schema seen.
+    again after a failure is skipped. ``history`` gets one row per schema seen. A column
+    that first comes with a change is added to the table.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         state = table.state()
@@ -116,7 +117,7 @@ def merge_batch(table: VersionedTable, keys: Sequence[str], broadcast_rows: int
         if history is not None:
             record_schema(history, table.name, batch.schema, batch_id)
         last = max(top, state["last_lsn"])
-        table.write(cdc.merge_cdc(table.read(), batch, keys, broadcast_rows=broadcast_rows), last, batch_id)
+        table.write(cdc.merge_cdc(table.read(), batch, keys, broadcast_rows=broadcast_rows, new_columns="add"), last, batch_id)
     return merge
 
 
