@@ -197,3 +197,17 @@ def test_filters(spark):
                                "id INT, x1 DOUBLE, y1 DOUBLE, x2 DOUBLE, y2 DOUBLE, score DOUBLE")
     assert rows(D.score_filter(df, 0.5), "id") == [] and rows(D.score_filter(df, 0.5, True), "id") == [(1,)]
     assert rows(D.area_filter(df, 2, 4), "id") == [] and rows(D.area_filter(df, 1, 4.1), "id") == [(1,), (2,)]
+
+
+def test_overlapping_pairs_of_very_different_boxes(spark):
+    rnd = random.Random(4)
+    side = lambda: rnd.choice((1.0, 3.0, 40.0, 900.0)) * rnd.random()
+    data = []
+    for i in range(150):
+        x, y = rnd.random() * 1000, rnd.random() * 1000
+        data.append(("i", i, x, y, x + side(), y + side(), 0.5))
+    dets = spark.createDataFrame(data, "image STRING, id LONG, x1 DOUBLE, y1 DOUBLE, x2 DOUBLE, y2 DOUBLE, score DOUBLE")
+    want = {(a[1], b[1]) for a in data for b in data if a[1] < b[1] and min(a[4], b[4]) > max(a[2], b[2]) and min(a[5], b[5]) > max(a[3], b[3])}
+    for tile in (None, (5.0, 5.0), (2000.0, 2000.0)):
+        got = D.overlapping_pairs(dets, dets, ["image"], tile=tile, condition=F.col("a_id") < F.col("b_id")).select("a_id", "b_id").collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want

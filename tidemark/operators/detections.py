@@ -76,21 +76,36 @@ def overlapping_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], columns:
                       tile: Tile | None = None, offset: float = 0.0, condition: Column | None = None) -> DataFrame:
     """Pairs of boxes of the same ``keys`` that overlap, with their IoU.
 
-    The join key is (keys, tile): each box goes to the tiles it covers, and a pair is
-    reported in the tile of the upper left corner of the overlap only, so nothing has
-    to be made distinct. Work follows the boxes that are near each other and a
-    crowded image spreads over its tiles. ``a_`` and ``b_`` name the two sides.
-    Without a ``tile`` size one is taken from the mean size of the boxes of ``a``.
+    The join key is (keys, level, tile). Tiles double from level to level; a box lies on
+    the first level whose tiles are as large as itself, where it covers four at most, and
+    visits the tiles of the levels above, so a large box is not cut into many rows. Two
+    boxes meet on the level of the larger one, in the tile of the upper left corner of
+    their overlap, so nothing has to be made distinct. Work follows the boxes that are
+    near each other and a crowded image spreads over its tiles. ``a_`` and ``b_`` name the
+    two sides. Without a ``tile`` size one is taken from the mean size of the boxes of ``a``.
     """
     tile = tile or typical_tile(a)
 
+    def level() -> Column:
+        x1, y1, x2, y2 = B.box()
+        ratio = F.greatest((x2 - x1 + offset) / tile[0], (y2 - y1 + offset) / tile[1], F.lit(1.0))
+        return F.ceil(F.log2(ratio)).cast("int")
+    sides = [df.withColumn("_level", level()) for df in (a, b)]
+    tops = [df.agg(F.max("_level").alias("m")).first()["m"] or 0 for df in (sides[:1] if a is b else sides)]
+
     def side(df: DataFrame, p: str) -> DataFrame:
-        return _covered_tiles(df, tile, offset).select(
-            *keys, "_tx", "_ty", *[F.col(c).alias(p + c) for c in (*columns, *CORNERS)])
-    pairs = side(a, "a_").join(side(b, "b_"), [*keys, "_tx", "_ty"])
+        size = [F.lit(float(s)) * F.pow(F.lit(2.0), F.col("_tl")) for s in tile]
+        cells = df.withColumn("_tl", F.explode(F.sequence("_level", F.lit(max(tops)))))
+        for name, low, high, s in (("_tx", "x1", "x2", size[0]), ("_ty", "y1", "y2", size[1])):
+            first, last = F.floor(F.col(low) / s), F.floor((F.col(high) + offset) / s)
+            cells = cells.withColumn(name, F.explode(F.when(first <= last, F.sequence(first, last))))
+        return cells.select(*keys, "_tl", "_tx", "_ty", F.col("_level").alias(p + "level"), *[F.col(c).alias(p + c) for c in (*columns, *CORNERS)])
+    pairs = side(sides[0], "a_").join(side(sides[1], "b_"), [*keys, "_tl", "_tx", "_ty"])
     left, right = B.box("a_"), B.box("b_")
-    home = ((F.floor(F.greatest(left[0], right[0]) / tile[0]) == F.col("_tx"))
-            & (F.floor(F.greatest(left[1], right[1]) / tile[1]) == F.col("_ty")))
+    scale = F.pow(F.lit(2.0), F.col("_tl"))
+    home = ((F.greatest("a_level", "b_level") == F.col("_tl"))
+            & (F.floor(F.greatest(left[0], right[0]) / (tile[0] * scale)) == F.col("_tx"))
+            & (F.floor(F.greatest(left[1], right[1]) / (tile[1] * scale)) == F.col("_ty")))
     hit = home & (B.intersection(left, right, offset) > 0)
     if condition is not None:
         hit = hit & condition

@@ -35,8 +35,9 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int | None) -> tuple
     """Rows of the groups with at most ``hot_rows`` rows, and the rest (None when empty).
 
     One count over the key columns alone decides; ``None`` skips it where the groups
-    are known to be small. The list of hot keys has at most rows / hot_rows entries,
-    which bounds the broadcast.
+    are known to be small. The list of hot keys has at most rows / hot_rows entries; it
+    is broadcast where that is few (``hot_rows`` of a million or more) and joined as
+    Catalyst sees fit otherwise.
     """
     if hot_rows is None:
         return df, None
@@ -45,7 +46,8 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int | None) -> tuple
     if hot.isEmpty():
         return df, None
     match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{i}")) for i, k in enumerate(keys)])
-    return (df.join(F.broadcast(hot), match, "left_anti"), df.join(F.broadcast(hot), match, "left_semi"))
+    listed = F.broadcast(hot) if hot_rows >= 1_000_000 else hot
+    return df.join(listed, match, "left_anti"), df.join(listed, match, "left_semi")
 
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column],
@@ -64,7 +66,8 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Col
     rows = hot.groupBy(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(
         *[e.alias(n) for n, e in stats.items()])
     match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
-    return out.unionByName(hot.join(F.broadcast(rows), match).select(*df.columns, *stats))
+    listed = F.broadcast(rows) if hot_rows >= 1_000_000 else rows
+    return out.unionByName(hot.join(listed, match).select(*df.columns, *stats))
 
 
 def running(
