@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -24,16 +25,22 @@ def enrich(df: DataFrame, fn: Callable[[list], Sequence], column: str, out: str,
            batch_size: int = CALLS_PER_BATCH, parallelism: int | None = None) -> DataFrame:
     """Call ``fn`` with up to ``batch_size`` values at a time and attach its results.
 
-    ``fn`` is shipped to the executors and must return one result per value.
+    The column holds a value, or an array of values whose results come back as an array
+    in the same order, so that the lines of a row need not leave it. ``fn`` is shipped to the executors and must return one result per value.
     ``parallelism`` bounds the number of concurrent callers; waiting between calls is
     up to ``fn``. Rows keep their keys, so the order is restored by the caller.
     """
     source = df.repartition(parallelism) if parallelism else df
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T._parse_datatype_string(out_type))])
+    listed = isinstance(df.schema[column].dataType, T.ArrayType)
+    kind = T._parse_datatype_string(out_type)
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(kind) if listed else kind)])
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             values = rows[column].tolist()
+            if listed:
+                sizes = [0 if v is None else len(v) for v in values]
+                values = [x for v in values if v is not None for x in v]
             results = []
             for i in range(0, len(values), batch_size):
                 part = values[i:i + batch_size]
@@ -41,6 +48,9 @@ def enrich(df: DataFrame, fn: Callable[[list], Sequence], column: str, out: str,
                 if len(got) != len(part):
                     raise ValueError(f"{len(got)} results for {len(part)} values")
                 results += got
+            if listed:
+                ends = list(accumulate(sizes))
+                results = [None if v is None else results[e - n:e] for v, n, e in zip(rows[column], sizes, ends)]
             yield rows.assign(**{out: pd.Series(results, index=rows.index, dtype=object)})
     return source.mapInPandas(call, schema)
 
@@ -57,6 +67,11 @@ def throttle_batches_by_order(rows: DataFrame, n: int, keys: Sequence[str], orde
         "batch", F.floor((F.col("_n") - 1) / n)).drop("_n")
 
 
+def joined_lines(lines: Column) -> Column:
+    """One text of an array of lines: :func:`ordered_collect` for lines that never left their row."""
+    return F.array_join(lines, "\n")
+
+
 def ordered_collect(lines: DataFrame, key: str, idx: str, value: str, out: str = "text") -> DataFrame:
     """One text per key, its lines in order with newlines between them.
 

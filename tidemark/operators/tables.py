@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.lsn import LSN_DEFAULT
-from tidemark.operators.running import with_row_number
+from tidemark.operators.running import id_block, with_row_number
 
 CONTROL_SCHEMA = T.StructType([
     T.StructField("table", T.StringType()),
@@ -124,15 +124,18 @@ def insert_rows(table: DataFrame, rows: DataFrame, identity: str | None = None,
                 block: Column | None = None, defaults: Mapping[str, Column] | None = None) -> DataFrame:
     """Append rows, filling the identity column and the defaults of absent or NULL columns.
 
-    New ids continue from the largest one in ``order`` of the new rows. Without a
-    ``block`` the new rows are numbered in one task, which suits literal rows; give
-    a block column for inserts of table size.
+    New ids continue from the largest one in ``order`` of the new rows. ``block`` must not
+    decrease along the order; an integer first column of it makes its own blocks. Without
+    either the new rows are numbered in one task, which suits literal rows.
     """
     new = rows
     for name, value in (defaults or {}).items():
         new = new.withColumn(name, F.coalesce(F.col(name), value) if name in new.columns else value)
     if identity:
-        number = with_row_number(new, "_n", list(order), block if block is not None else F.lit(0))
+        if block is None:
+            whole = order and isinstance(new.schema[order[0]].dataType, T.IntegralType)
+            block = id_block(order[0]) if whole else F.lit(0)
+        number = with_row_number(new, "_n", list(order), block)
         top = table.agg(F.coalesce(F.max(identity), F.lit(0)).alias("m")).scalar()
         new = number.withColumn(identity, (F.col("_n") + top).cast(table.schema[identity].dataType)).drop("_n")
     for f in table.schema.fields:

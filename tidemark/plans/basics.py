@@ -208,8 +208,29 @@ def d8(t):
 @query("d9", """SELECT key, value FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS rn FROM kvlog)
 WHERE rn = 1 AND op <> 1""", using=("kvlog",))
 def d9(t):
+    """The second half of the log meets a store filled by the first."""
+    return filled_store(t)
+
+
+def filled_store(t):
     log = t.fixture("kvlog")
-    return TB.kv_upsert(log.select("key", "value").limit(0), log)
+    half = log.agg(F.expr("max(seq) div 2").alias("s")).scalar()
+    empty = log.select("key", "value").limit(0)
+    return TB.kv_upsert(TB.kv_upsert(empty, log.filter(F.col("seq") <= half)), log.filter(F.col("seq") > half))
+
+
+KEPT = """SELECT key, value FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS rn FROM kvlog)
+WHERE rn = 1 AND op <> 1"""
+
+
+@query("d9_get", KEPT + " AND key = 'user7'", using=("kvlog",))
+def d9_get(t):
+    return TB.kv_get(filled_store(t), "user7")
+
+
+@query("d9_delete", KEPT + " AND key <> 'user7'", using=("kvlog",))
+def d9_delete(t):
+    return TB.kv_delete(filled_store(t), "user7")
 
 
 @query("d16", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'O'")

@@ -202,6 +202,15 @@ def w8(t):
 @query("a10", LINES_SQL + """ SELECT doc_id, array_to_string(list_transform(ls, lambda x: '[' || x || ']'), chr(10)) AS text FROM parts""",
        using=("lines",))
 def a10(t):
+    """The lines of a document never leave its row."""
+    marked = F.transform(X.split_lines("body"), lambda line: F.concat(F.lit("["), line, F.lit("]")))
+    return t.fixture("lines").select("doc_id", E.joined_lines(marked).alias("text"))
+
+
+@query("a10_apart", LINES_SQL + """ SELECT doc_id, array_to_string(list_transform(ls, lambda x: '[' || x || ']'), chr(10)) AS text FROM parts""",
+       using=("lines",))
+def a10_apart(t):
+    """The same for lines that are rows of their own."""
     marked = E.lines_of(t.fixture("lines"), "doc_id", "body").withColumn("line", F.concat(F.lit("["), "line", F.lit("]")))
     return E.ordered_collect(marked, "doc_id", "idx", "line")
 
@@ -209,6 +218,6 @@ def a10(t):
 @query("m1", LINES_SQL + """ SELECT doc_id, array_to_string(list_transform(ls, lambda x: reverse(x)), chr(10)) AS text FROM parts""",
        using=("lines",))
 def m1(t):
-    lines = E.lines_of(t.fixture("lines"), "doc_id", "body")
-    answered = E.enrich(lines, lambda values: [v[::-1] for v in values], "line", "answer")
-    return E.ordered_collect(answered, "doc_id", "idx", "answer")
+    lines = t.fixture("lines").select("doc_id", X.split_lines("body").alias("lines"))
+    answered = E.enrich(lines, lambda values: [v[::-1] for v in values], "lines", "answers")
+    return answered.select("doc_id", E.joined_lines(F.col("answers")).alias("text"))
