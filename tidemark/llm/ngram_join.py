@@ -7,8 +7,9 @@ document as its representative; only representatives are joined:
    frequent ones last in a global order. Two linked sets share one of the first n - ceil(0.8 n) + 1
    shingles of each; these prefixes make the inverted index. A sketch never counts too little, so lists
    of shingles below its threshold are that short; only the others can be long.
-2. Set relations skip work twice. First every list links its sets to its smallest one, and pairs that
-   meet in many lists are verified: near copies fall into components. Then a list is only opened where
+2. Set relations skip work twice. First every list puts its sets next to its most central one (whose own
+   lists are the longest, as those of an original among its copies), and each set is verified with the
+   centre it meets most often: near copies fall into components. Then a list is only opened where
    it still holds sets of different components, and there only the sets outside its largest component
    are compared with the rest: what a set's similar neighbour has settled is not computed again.
 3. Blocks of a list are skipped by size and position: sizes must be within 80 %, and the number of common
@@ -203,12 +204,16 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.min("doc_id").alias("rep"), F.any_value("prefix").alias("prefix"), F.any_value("light").alias("light")), "classes")
     lists = written(_lists(reps), "lists")
 
-    first = written(lists.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("n", "rep")).alias("least"))
-                    .filter("m > 1").select("token", F.col("least.n").alias("na"), F.col("least.rep").alias("a")), "firsts")
+    sizes = written(lists.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "list-sizes")
+    central = written(lists.join(sizes, "token").groupBy("rep").agg((F.sum("m") / F.max("n")).alias("company")), "company")
+    placed = lists.join(central, "rep")
+    centre = F.max_by(F.struct(F.col("rep").alias("a"), F.col("n").alias("na")), F.struct("company", -F.col("rep"))).alias("c")
+    first = written(placed.groupBy("token").agg(F.count(F.lit(1)).alias("m"), centre).filter("m > 1").select("token", "c.*"), "centres")
     stars = (lists.join(first, "token").filter((F.col("rep") != F.col("a")) & _size_near(F.col("na"), F.col("n")))
-             .groupBy(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"), F.least("n", "na").alias("small"))
-             .agg(F.count(F.lit(1)).alias("met")))
-    near = written(stars.filter(5 * F.col("met") >= STRONG * F.col("small")).select("a", "b"), "near")
+             .groupBy("a", F.col("rep").alias("b"), F.least("n", "na").alias("small")).agg(F.count(F.lit(1)).alias("met")))
+    best = (stars.filter(5 * F.col("met") >= STRONG * F.col("small")).groupBy("b")
+            .agg(F.max_by("a", F.struct("met", -F.col("a"))).alias("a")))
+    near = written(best.select("a", "b"), "near")
     links = _verified(near, texts, reps)
     labels = connected_components(links)
 
