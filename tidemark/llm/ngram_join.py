@@ -91,17 +91,20 @@ def _sketch(texts: DataFrame) -> Broadcast:
                 [np.minimum(counts[i * part:(i + 1) * part], 65535).astype("<u2").tobytes() for i in range(_BLOCKS)], pa.binary())],
                 names=["block", "counts"])
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                new = np.frombuffer(counts.as_buffer(), "<u2")
-                sums[block] = sums.get(block, np.zeros(part, np.uint64)) + new
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())],
-                                             names=["block", "counts"])
-
-    rows = texts.select("t").mapInArrow(count, "block int, counts binary").repartition("block").mapInArrow(add, "block int, counts binary")
+    def add(kind: str):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    sums[block] = sums.get(block, np.zeros(part, np.uint64)) + np.frombuffer(counts.as_buffer(), kind)
+            if sums:
+                yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())],
+                                                 names=["block", "counts"])
+        return run
+
+    rows = texts.select("t").mapInArrow(count, "block int, counts binary")
+    rows = rows.repartition("block", F.spark_partition_id() % _BLOCKS).mapInArrow(add("<u2"), "block int, counts binary")
+    rows = rows.repartition("block").mapInArrow(add("<u8"), "block int, counts binary")  # of many tasks' sums, a few
     total = np.zeros(width, np.uint64)
     for block, counts in rows.collect():  # one row per block, the sketch
         total[block * part:(block + 1) * part] = np.frombuffer(counts, np.uint64)
