@@ -8,6 +8,7 @@ from tidemark.functions import lsn
 from tidemark.operators import cdc, tables
 from tidemark.plans.basics import scratch
 from tidemark.plans.registry import query
+from tidemark.sources import files
 
 KEYS = ["k"]
 LOW, HIGH = "0x" + "20000".rjust(20, "0"), "0x" + "69999".rjust(20, "0")
@@ -200,8 +201,25 @@ def d11(t):
 @query("s19", "SELECT 'lake_main_dbo_orders' || status AS target_table, op, count(*) AS n FROM chg GROUP BY 1, 2",
        using=("chg",))
 def s19(t):
+    """Written to the folders of the tables and read back."""
+    path = scratch(t.spark, "s19")
     name = cdc.target_table(F.lit("main"), F.lit("dbo"), F.concat(F.lit("orders"), "status"), "lake")
-    return plain(t.fixture("chg")).groupBy(name.alias("target_table"), "op").agg(F.count(F.lit(1)).alias("n"))
+    files.route_to_tables(plain(t.fixture("chg")), path, name)
+    return t.spark.read.parquet(path).groupBy("target_table", "op").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("s19_schemas", """SELECT 'orders' AS target_table, count(*) AS n, CAST(sum(k) AS BIGINT) AS total FROM chg WHERE op <> 1
+UNION ALL SELECT 'removed', count(*), CAST(sum(k) AS BIGINT) FROM chg WHERE op = 1""", using=("chg",))
+def s19_schemas(t):
+    """Two tables of different schema: the orders, and the keys of removed ones."""
+    path = scratch(t.spark, "s19-schemas")
+    name = F.when(F.col("op") == 1, "removed").otherwise("orders")
+    files.route_to_tables(plain(t.fixture("chg")), path, name, columns={
+        "orders": ["k", "custkey", "status", "amount"], "removed": [F.col("k").alias("removed_key"), "lsn"]})
+    parts = [t.spark.read.parquet(f"{path}/target_table={table}").agg(
+        F.lit(table).alias("target_table"), F.count(F.lit(1)).alias("n"), F.sum(key).alias("total"))
+        for table, key in (("orders", "k"), ("removed", "removed_key"))]
+    return tables.union_all(*parts)
 
 
 @query("a3", """SELECT 'dbo_' || status AS instance, min(lsn) AS min_lsn, (SELECT max(lsn) FROM chg) AS max_lsn

@@ -129,11 +129,12 @@ def d4(t):
 @query("d13", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice END AS price FROM orders")
 def d13(t):
     """Rows written before the column was added read NULL."""
-    path = scratch(t.spark, "d13")
+    name = new_schema(t, scratch(t.spark, "d13")) + ".orders"
     even, odd = t.orders.filter("o_orderkey % 2 = 0"), t.orders.filter("o_orderkey % 2 = 1")
-    files.write_parquet(even.select("o_orderkey"), path)
-    files.write_parquet(odd.select("o_orderkey", F.col("o_totalprice").alias("price")), path, mode="append")
-    return t.spark.read.option("mergeSchema", "true").parquet(path)
+    catalog.create_table_as(even.select("o_orderkey"), name)
+    catalog.add_column(t.spark, name, "price", "DOUBLE", "price of the order")
+    odd.select("o_orderkey", F.col("o_totalprice").alias("price")).write.insertInto(name)
+    return catalog.load_table(t.spark, name)
 
 
 def order_source(t) -> sync.Source:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,6 +126,21 @@ def append_keyed(requests: DataFrame, path: str, partition_key: str, **names: st
     keyed_rows(requests, partition_key, **names).write.mode("append").parquet(path)
 
 
-def route_to_tables(changes: DataFrame, path: str, name: Column, column: str = "target_table") -> None:
-    """Append each row to the folder of its target table, all tables in one job."""
-    changes.withColumn(column, name).write.mode("append").partitionBy(column).parquet(path)
+def route_to_tables(changes: DataFrame, path: str, name: Column, column: str = "target_table",
+                    columns: Mapping[str, Sequence[str | Column]] | None = None) -> None:
+    """Append each row to the folder of its target table.
+
+    Tables of one schema are written in one job. With ``columns`` every table named there
+    gets a schema of its own: the rows of each go through a filter and its columns to
+    ``path/target_table=name``; rows of other tables fail the job.
+    """
+    named = changes.withColumn(column, name)
+    if columns is None:
+        named.write.mode("append").partitionBy(column).parquet(path)
+        return
+    known = F.col(column).isin(list(columns))
+    stray = named.filter(~F.coalesce(known, F.lit(False))).select(column).first()
+    if stray is not None:
+        raise ValueError(f"no columns given for table {stray[0]!r}")
+    for table, wanted in columns.items():
+        named.filter(F.col(column) == table).select(*wanted).write.mode("append").parquet(f"{path}/{column}={table}")
