@@ -139,6 +139,19 @@ def d2_strict(t):
     return cdc.apply_cdc(t.fixture("base"), t.fixture("chg"), KEYS, mode="strict")
 
 
+@query("d2_strict_again", KEEP + " UNION ALL SELECT k, custkey, status, amount, odate FROM w1 WHERE op = 2", using=("base", "chg", "w1"))
+def d2_strict_again(t):
+    """The strict form doubles its inserts when a range is applied twice; the correct form does not (``d2_again``)."""
+    once = cdc.apply_cdc(t.fixture("base"), t.fixture("chg"), KEYS, mode="strict")
+    return cdc.apply_cdc(once, t.fixture("chg"), KEYS, mode="strict")
+
+
+@query("d2_again", KEEP, using=("base", "chg", "w1"))
+def d2_again(t):
+    once = cdc.apply_cdc(t.fixture("base"), t.fixture("chg"), KEYS)
+    return cdc.apply_cdc(once, t.fixture("chg"), KEYS)
+
+
 SNAPSHOT = """snapshot AS (SELECT o_orderkey AS k, o_custkey AS custkey, o_orderstatus AS status,
   CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice + 1 ELSE o_totalprice END AS amount, o_orderdate AS odate
   FROM orders WHERE o_orderkey % 10 <> 8)"""
