@@ -150,7 +150,7 @@ _TAGS = {"nav": "nav", "header": "header", "footer": "footer", "aside": "aside",
 _MAIN = ("content", "post", "entry", "story", "article", "main", "body", "text", "page")
 
 
-def training_pages(n: int = 420, seed: int = 5) -> list[tuple[str, list[tuple[str, int]]]]:
+def training_pages(n: int = 500, seed: int = 5) -> list[tuple[str, list[tuple[str, int]]]]:
     """Pages built by rule, each with its blocks' texts and labels in order."""
     rng = random.Random(seed)
     syllables = "an en er in on re st th ti ou ar es al it is ent ion ing der sch un ge los que mi do ra ci".split()
@@ -215,9 +215,14 @@ def training_pages(n: int = 420, seed: int = 5) -> list[tuple[str, list[tuple[st
                 put(rng.choice(("p", "div")), said() + " " + sentence(1, 10), 0)
             page.append(f"</{tag}>")
 
+        cells = rng.random() < 0.08  # the page is laid out as a table
+        if cells:
+            page.append("<table><tr><td>")
         for kind in ("header", "nav", "notice", "ad", "social"):
             if rng.random() < (0.85 if kind == "nav" else 0.45):
                 aside(kind)
+        if cells:
+            page.append(rng.choice(("</td><td>", "</td></tr><tr><td>")))
         style = rng.random()
         tag = "article" if style < 0.5 else "main" if style < 0.6 else "div"
         attrs = f' {rng.choice(("class", "id"))}="{rng.choice(_MAIN)}"' if tag == "div" and rng.random() < 0.8 else ""
@@ -237,13 +242,29 @@ def training_pages(n: int = 420, seed: int = 5) -> list[tuple[str, list[tuple[st
                 for _ in range(rng.randint(2, 5)):
                     put("li", sentence(2, 14), 1)
                 page.append("</ul>")
-            elif kind < 0.96:
+            elif kind < 0.94:
                 put("blockquote", paragraph(), 1)
+            elif kind < 0.95:
+                put("pre", sentence(2, 12), 1)
+            elif kind < 0.96:
+                page.append('<figure><img src="x.png">')
+                put("figcaption", sentence(2, 9), 1)
+                page.append("</figure>")
+            elif kind < 0.975:
+                page.append("<table>")
+                for row in range(rng.randint(2, 4)):
+                    page.append("<tr>")
+                    for _ in range(rng.randint(2, 3)):
+                        put("td" if row else rng.choice(("th", "td")), rng.choice((word(), sentence(1, 4), str(rng.randint(1, 2000)))), 1)
+                    page.append("</tr>")
+                page.append("</table>")
             else:
                 aside(rng.choice(("ad", "social", "aside", "notice")))
         if rng.random() < 0.15:
             aside("comments")
         page.append(f"</{tag}>")
+        if cells:
+            page.append("</td></tr><tr><td>")
         for kind in ("social", "comments", "aside", "ad", "notice", "footer"):
             if rng.random() < (0.85 if kind == "footer" else 0.35):
                 aside(kind)
