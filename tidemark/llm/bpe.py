@@ -38,7 +38,7 @@ from tidemark.llm.text import whole
 
 #: Fixed value: how byte-level tokenizers split a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE = 1 << 19
+CACHE = 1 << 17
 
 
 def byte_letters() -> dict[str, int]:
@@ -246,7 +246,7 @@ def decode(tokens: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     return tokens.withColumn("text", text(tokens[ids_col]))
 
 
-def small(batches: Iterator[pa.RecordBatch], limit: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def small(batches: Iterator[pa.RecordBatch], limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about ``limit`` bytes, so that long texts do not add up in memory."""
     for rows in batches:
         step = max(1, rows.num_rows * limit // max(rows.nbytes, limit))
