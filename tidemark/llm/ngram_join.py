@@ -98,16 +98,16 @@ def _sketch(texts: DataFrame) -> Broadcast:
                 for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
                     sums[block] = sums.get(block, np.zeros(part, np.uint64)) + np.frombuffer(counts.as_buffer(), kind)
             if sums:
-                yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())],
-                                                 names=["block", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([
+                    np.minimum(x, 0xFFFFFFFF).astype("<u4").tobytes() for x in sums.values()], pa.binary())], names=["block", "counts"])
         return run
 
     rows = texts.select("t").mapInArrow(count, "block int, counts binary")
-    rows = rows.repartition("block", F.spark_partition_id() % _BLOCKS).mapInArrow(add("<u2"), "block int, counts binary")
-    rows = rows.repartition("block").mapInArrow(add("<u8"), "block int, counts binary")  # of many tasks' sums, a few
+    rows = rows.repartition("block", F.spark_partition_id() % 16).mapInArrow(add("<u2"), "block int, counts binary")
+    rows = rows.repartition("block").mapInArrow(add("<u4"), "block int, counts binary")  # of many tasks' sums, a few
     total = np.zeros(width, np.uint64)
-    for block, counts in rows.collect():  # one row per block, the sketch
-        total[block * part:(block + 1) * part] = np.frombuffer(counts, np.uint64)
+    for block, counts in written(rows, "sketch").collect():  # one row per block, the sketch
+        total[block * part:(block + 1) * part] = np.frombuffer(counts, "<u4")
     limit = FREQUENT + 4 * int(total.sum()) // width
     level = np.zeros(width, np.uint8)
     often = total > limit
