@@ -113,6 +113,20 @@ def test_quality_outliers_are_found_and_good_texts_kept(spark):
     assert all(r.kept == (r.doc_id % 10 != 0) for r in got)
 
 
+def test_quality_outliers_of_one_statistic(spark):
+    """Some symbols, and repeats below the plain limit, are enough where the source has neither."""
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(4, 8)))
+    text = lambda: [word() for _ in range(rng.randint(100, 140))]
+    rows = [(i, " ".join(text()), "en", "s") for i in range(200)]
+    rows += [(1000 + i, " ".join(w + "#" * (k % 3 == 0) for k, w in enumerate(text())), "en", "s") for i in range(5)]
+    rows += [(2000 + i, " ".join((w := text()[:100]) + w[:9]), "en", "s") for i in range(5)]
+    got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {i for i, r in got.items() if not r.kept and i >= 1000} == {i for i in got if i >= 1000}
+    assert sum(r.kept for i, r in got.items() if i < 1000) >= 199
+
+
 def test_bpe_equals_the_library(texts):
     path = bpe.default_vocabulary()
     with open(path, "rb") as f:

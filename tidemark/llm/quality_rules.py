@@ -26,12 +26,12 @@ MIN_ROWS = 60
 SHARE = 0.75
 STEPS = 5
 #: Smallest standard deviation of each statistic; statistics that hardly vary would else reject anything.
-FLOORS = (0.25, 0.08, 0.05, 0.08, 0.08)
+FLOORS = (0.25, 0.08, 0.03, 0.08, 0.08)
 DIMS = len(FLOORS)
 #: Makes the covariance of the inner 75 % of a normal sample in five dimensions that of all of it.
 CONSISTENCY = 1.41
-#: Squared distance beyond which a text is rejected.
-LIMIT = 60.0
+#: Squared distance beyond which a text is rejected: the 0.999 quantile of chi-square with five degrees of freedom.
+LIMIT = 20.515
 UNIT = 10_000
 WINDOW = 5
 
