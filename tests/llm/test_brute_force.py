@@ -277,6 +277,20 @@ def test_html_model_on_held_out_pages_and_data(spark):
         assert r.text == "\n\n".join(t for t in (re.sub(r"\s+", " ", html.unescape(p)).strip() for p in parts) if t)
 
 
+def test_html_head_without_end_and_formulas():
+    texts = lambda page: [t for t, _, _ in html_extract.blocks(page)]
+    for page, _ in html_extract.training_pages(40, seed=98):
+        assert html_extract.blocks(page.replace("</head>", "")) == html_extract.blocks(page)
+        assert texts(page.replace("</head><body>", "").replace("</body>", "")) == texts(page)
+    head = "<html><head><meta charset=utf-8><title>x</title><link rel=a><style>p {}</style><script>var a;</script>"
+    for rest in ("<body><article><p>One two.", "<article><p>One two.", "<p>One two.", "One two.", "</head><p>One two.", "<b>One</b> two."):
+        assert texts(head + rest) == ["One two."]
+    formula = "<math><semantics><mrow><mi>a</mi><mo>=</mo><mn>2</mn></mrow><annotation>a = 2</annotation></semantics></math>"
+    assert texts(f"<article><p>Let {formula} hold.</p><p>Then.</p>") == ["Let a=2 hold.", "Then."]
+    page = "<html><head><title>x</title><body><article><h1>A title of it</h1>" + "<p>Some sentences stand here. They are the text.</p>" * 3
+    assert html_extract.main_text([page], html_extract.model())[0].count("They are the text.") == 3
+
+
 def test_lstm_gradients():
     rng = np.random.default_rng(0)
     params = {k: v.astype(np.float64) for k, v in lstm.init(5, 4, 3, 1).items()}

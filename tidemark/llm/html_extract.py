@@ -9,7 +9,8 @@ Scripts, styles, templates, the head and markup never become text. Character ref
 white space inside a block becomes one space, blocks are joined by an empty line; nothing is cut.
 
 Defined results: null html is an empty page with empty text; a page without blocks gives empty text;
-elements that are never closed end with their parent; repeated rows give a row each; extra columns are
+elements that are never closed end with their parent, a head with the first text or element that may not
+stand in it; formulas are text of their block, without their annotations; repeated rows give a row each; extra columns are
 ignored.
 """
 
@@ -32,11 +33,15 @@ from tidemark.llm.bpe import small
 from tidemark.llm.registry import query
 
 # How HTML elements behave.
-SILENT = frozenset("script style template noscript head title textarea select option svg math iframe object canvas".split())
+SILENT = frozenset("script style template noscript head title textarea select option svg annotation annotation-xml iframe object canvas".split())
 RAW = frozenset("script style title textarea iframe noscript template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
-                    "sub sup time tt u var button").split())
+                    "sub sup time tt u var button "
+                    "math semantics annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded "
+                    "mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover").split())
+#: What may stand in the head; any other start tag, and text, ends a head that was not closed.
+IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"[\s ]+")
@@ -52,6 +57,7 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
     parts: list[str] = []
     linked = total = 0
     path: tuple[str, ...] = ()
+    head = False  # a head may be open
 
     def close() -> None:
         nonlocal parts, linked, total
@@ -62,6 +68,8 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
 
     def say(raw: str) -> None:
         nonlocal linked, total, path
+        if head and stack and stack[-1][0] == "head" and raw.strip():
+            stack.pop()
         if not raw or any(t in SILENT for t, _ in stack):
             return
         if not total and not raw.isspace():
@@ -95,6 +103,11 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
                     del stack[k:]
                     break
         elif tag not in VOID and not m[4].endswith("/"):
+            if tag == "head":
+                head = True
+            elif head and tag not in IN_HEAD:
+                head = False
+                del stack[next((k for k, (t, _) in enumerate(stack) if t == "head"), len(stack)):]
             if tag not in INLINE:
                 while stack and (stack[-1][0] in INLINE or stack[-1][0] == "p"):
                     stack.pop()
