@@ -127,6 +127,21 @@ def test_quality_outliers_of_one_statistic(spark):
     assert sum(r.kept for i, r in got.items() if i < 1000) >= 199
 
 
+def test_quality_judges_small_sources(spark):
+    """Few texts beside large groups, and tables with few texts in all, are judged too."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(4, 8)))
+    text = lambda mark="": " ".join(word() + mark for _ in range(rng.randint(100, 140)))
+    large = [(i, text(), "en", "s") for i in range(100)]
+    small = [(1000 + i, text("#" * (i % 10 == 0)), lang, "t") for lang in ("en", "rare", None) for i in range(10)]
+    schema = "doc_id long, text string, lang string, source string"
+    for rows, groups in ((large + small, {'source {"_lang":"en","_source":"s"}', 'whole language {"_lang":"en"}', "all"}), (small, {"all"})):
+        got = quality_rules.judge(spark.createDataFrame(rows, schema)).collect()
+        assert len(got) == len(rows) and {r.g for r in got} == groups
+        assert all(r.d2 is not None and (r.kept or r.doc_id % 10 == 0) for r in got if r.doc_id >= 1000)
+        assert not any(r.kept for r in got if r.doc_id == 1000)
+
+
 def test_bpe_equals_the_library(texts):
     path = bpe.default_vocabulary()
     with open(path, "rb") as f:

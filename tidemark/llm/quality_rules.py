@@ -3,11 +3,12 @@
 For every language and source, the minimum-covariance-determinant estimate of the transformed
 statistics is found by concentration steps: start from coordinate-wise medians, keep the 75 % of rows
 with the smallest distances, take their mean and covariance, repeat. A text whose Mahalanobis distance
-exceeds the limit is rejected. Estimates use all rows that pass the plain limits.
+exceeds the limit is rejected. Estimates use all rows of their group that pass the plain limits.
 
 Statistics are rounded to 1e-4 and summed as integers, so that results do not depend on the order of
 rows. A language and source with fewer than ``MIN_ROWS`` rows is judged with the other small ones of
-its language, else with all small ones; if those are few too, only the plain limits count.
+its language, else with all small ones; if those are few too, by the estimate over all rows of its
+language, else over all rows, however few.
 
 Defined results: null text has no words and fails; null language or source is a group of its own;
 every row gives one row; a row's extra columns are ignored; an empty table gives an empty result.
@@ -109,32 +110,41 @@ def _estimates(rows: DataFrame, scale: float) -> DataFrame:
 
 
 def _groups(rows: DataFrame, min_rows: int) -> DataFrame:
-    """The group that judges each language and source: its own, or that of the small ones; null for none."""
+    """The group ``g`` that judges each language and source, and the groups that its rows inform.
+
+    Its own, or that of the small ones of its language, or of all small ones; if those are few too, all rows
+    of its language, or all rows.
+    """
     counts = rows.filter("NOT base_failed").groupBy("_lang", "_source").agg(F.count(F.lit(1)).alias("n"))
-    own = F.to_json(F.struct(F.col("_lang"), F.col("_source")))
-    counts = counts.withColumn("g", F.when(F.col("n") >= min_rows, F.concat(F.lit("source "), own)))
-    small = counts.filter("g IS NULL")
-    by_lang = small.groupBy("_lang").agg(F.sum("n").alias("by_lang"))
-    lang = F.concat(F.lit("language "), F.coalesce(F.col("_lang").cast("string"), F.lit("none")))
-    rest = by_lang.filter(F.col("by_lang") < min_rows).agg(F.sum("by_lang")).first()[0] or 0  # one number
-    small = (small.drop("g").join(by_lang.withColumnRenamed("_lang", "_l"), F.col("_lang").eqNullSafe(F.col("_l")))
-             .withColumn("g", F.when(F.col("by_lang") >= min_rows, lang).when(F.lit(rest >= min_rows), F.lit("rest"))))
-    return counts.filter("g IS NOT NULL").select("_lang", "_source", "g").union(small.select("_lang", "_source", "g"))
+    by_lang = counts.groupBy(F.col("_lang").alias("_l")).agg(
+        F.sum("n").alias("in_lang"), F.coalesce(F.sum(F.when(F.col("n") < min_rows, F.col("n"))), F.lit(0)).alias("small_in_lang"))
+    few = F.col("small_in_lang").between(1, min_rows - 1)
+    rest, any_few = by_lang.agg(F.sum(F.when(few, F.col("small_in_lang"))), F.max(few & (F.col("in_lang") < min_rows))).first()  # one row
+    few = few & F.lit((rest or 0) < min_rows)
+    lang = F.to_json(F.struct("_lang"))
+    wide = F.when(few & (F.col("in_lang") >= min_rows), F.concat(F.lit("whole language "), lang))
+    close = (F.when(F.col("n") >= min_rows, F.concat(F.lit("source "), F.to_json(F.struct("_lang", "_source"))))
+             .when(F.col("small_in_lang") >= min_rows, F.concat(F.lit("language "), lang))
+             .when(F.lit((rest or 0) >= min_rows), F.lit("rest")))
+    every = F.when(F.lit(bool(any_few) and (rest or 0) < min_rows), F.lit("all"))
+    counts = counts.join(by_lang, F.col("_lang").eqNullSafe(F.col("_l")))
+    return counts.select("_lang", "_source", F.coalesce(close, wide, every).alias("g"),
+                         F.array_compact(F.array(close, wide, every)).alias("informs"))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
           limit: float = LIMIT, min_rows: int = MIN_ROWS) -> DataFrame:
-    """Statistics, base_failed, the squared distance ``d2`` (null if no group judges the row) and ``kept``."""
+    """Statistics, base_failed, the squared distance ``d2`` (null only where every row of the language and source fails) and ``kept``."""
     rows = docs.withColumns({"lang": docs[lang_col], "source": docs[source_col]})
     rows = text_statistics(rows, id_col, text_col, keep=("lang", "source"))
     rows = rows.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     rows = rows.withColumns({f"x{i}": F.round(v * UNIT).cast("long") for i, v in enumerate(_vector())})
     rows = written(rows, "statistics")
     groups = _groups(rows, min_rows)
-    names = groups.select(F.col("_lang").alias("_l"), F.col("_source").alias("_s"), "g")
+    names = groups.select(F.col("_lang").alias("_l"), F.col("_source").alias("_s"), "g", "informs")
     rows = written(rows.join(names, F.col("_lang").eqNullSafe(F.col("_l")) & F.col("_source").eqNullSafe(F.col("_s")), "left")
                    .drop("_l", "_s"), "grouped")
-    clean = rows.filter("NOT base_failed AND g IS NOT NULL")
+    clean = rows.filter("NOT base_failed").select(F.explode("informs").alias("g"), *[f"x{i}" for i in range(DIMS)])
     ranks = "array(0.25D, 0.5D, 0.75D)"
     start = clean.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *[
         F.expr(f"percentile(x{i} div 100, {ranks})").alias(f"p{i}") for i in range(DIMS)])
