@@ -1,7 +1,8 @@
 """Personal data: fixed formats, and candidate spans accepted by gradient-boosted trees.
 
 Generators propose overlapping spans with high recall (spelled-out addresses, number groups, account
-numbers). Boosted trees over format and context features score each span; per generator, the lowest
+numbers). Of a run of numbers, every sequence of its groups of digits is proposed (``MIN_CHARS`` characters
+or more, ``MAX_DIGITS`` digits or fewer), and the run as a whole. Boosted trees over format and context features score each span; per generator, the lowest
 score with a precision of 0.98 or more on held-out samples is its threshold. The trees are trained on
 the driver from a bounded number of labelled samples drawn by rule (``SAMPLES``), with the features
 computed by the same column expressions as in scoring, and are then one column expression.
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import json
 import random
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -21,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.registry import query
-from tidemark.llm.text import matches_if, span_text, whole
+from tidemark.llm.text import NO_MATCHES, let, matches, matches_if, span_text, whole
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 # The contract's patterns, written so that no run of characters is tried twice: a match can begin
@@ -44,8 +46,13 @@ MAY = {
 }
 CONTEXT = 24
 SAMPLES = 1500
+#: Lines of two or three adjacent numbers, of which every proposed span is a sample.
+LINES = 200
+#: Shortest span of a run of numbers, as in its pattern, and the most digits of a phone number (E.164).
+MIN_CHARS, MAX_DIGITS = 7, 15
 FEATURES = ("n_chars", "n_digits", "n_seps", "n_groups", "digit_share", "longest_group", "opens_paren", "dashed_3_2_4",
-            "date_like", "mod97", "says_phone", "says_id", "says_mail", "says_bank", "says_other", "n_upper")
+            "date_like", "mod97", "says_phone", "says_id", "says_mail", "says_bank", "says_other", "n_upper",
+            "grouped_3_3_4", "n_spaces", "joined_before", "joined_after", "number_before", "number_after")
 
 
 def _digits(v: Column) -> Column:
@@ -71,8 +78,39 @@ def _mod97(v: Column) -> Column:
     return F.aggregate(F.filter(F.split(turned, ""), lambda c: c != ""), F.lit(0), step) == 1
 
 
-def features(value: Column, before: Column) -> Column:
-    """Format features of a span and features of the text before it, as an array<double>."""
+def _parts_of_run(run: Column) -> Column:
+    """The spans proposed in a run of numbers, as an array of structs like the run's."""
+    def spans(g: Column) -> Column:
+        def one(i: Column, j: Column) -> Column:
+            low, end = F.get(g, i).start, F.get(g, j).end
+            inside = F.substring(run.value, (low + 1).cast("int"), (end - low).cast("int"))
+            opened = (low > 0) & (F.substring(run.value, F.greatest(low, F.lit(1)).cast("int"), F.lit(1)) == "(") & inside.contains(")")
+            low = low - opened.cast("long")
+            return F.struct((run.start + low).alias("start"), (run.start + end).alias("end"),
+                            F.substring(run.value, (low + 1).cast("int"), (end - low).cast("int")).alias("value"))
+        n = F.size(g) - 1
+        all_of = F.flatten(F.transform(F.sequence(F.lit(0), n), lambda i: F.transform(
+            F.sequence(i, F.least(i + MAX_DIGITS - 1, n)), lambda j: one(i, j))))
+        return F.filter(all_of, lambda c: (F.length(c.value) >= MIN_CHARS) & (F.length(_digits(c.value)) <= MAX_DIGITS))
+    return F.array_distinct(F.concat(F.array(run), let(matches(run.value, "[0-9]+"), spans)).cast(NO_MATCHES))
+
+
+def _parts(text: str) -> set[tuple[int, int]]:
+    """``_parts_of_run`` of all runs of a text, for the samples."""
+    out = set()
+    for run in re.finditer(GENERATORS["number_group"], text):
+        out.add(run.span())
+        groups = [m.span() for m in re.compile("[0-9]+").finditer(text, *run.span())]
+        for i, (low, _) in enumerate(groups):
+            for _, end in groups[i:]:
+                start = low - (low > run.start() and text[low - 1] == "(" and ")" in text[low:end])
+                if end - start >= MIN_CHARS and sum(map(str.isdigit, text[low:end])) <= MAX_DIGITS:
+                    out.add((start, end))
+    return out
+
+
+def features(value: Column, before: Column, after: Column) -> Column:
+    """Format features of a span and features of the text before and after it, as an array<double>."""
     near = F.lower(before)
     says = lambda words: near.rlike(rf"\b(?:{words})\b")
     digits = _digits(value)
@@ -91,6 +129,10 @@ def features(value: Column, before: Column) -> Column:
         "says_bank": says("iban|account|bank|konto|transfer"),
         "says_other": says("order|invoice|isbn|serial|version|ref|no|item|page|date|total|year|art"),
         "n_upper": F.length(F.regexp_replace(value, "[^A-Z]", "")),
+        "grouped_3_3_4": value.rlike(r"^(?:[(][0-9]{3}[)]|[0-9]{3})[\x20.-][0-9]{3}[\x20.-][0-9]{4}$"),
+        "n_spaces": F.length(F.regexp_replace(value, "[^ ]", "")),
+        "joined_before": before.rlike(r"[0-9][)]?[./-]?[(]?$"), "joined_after": after.rlike(r"^[)]?[./-]?[(]?[0-9]"),
+        "number_before": before.rlike(r"[0-9][().\x20/-]*$"), "number_after": after.rlike(r"^[().\x20/-]*[0-9]"),
     }
     return F.array(*[ordered[name].cast("double") for name in FEATURES])
 
@@ -125,7 +167,23 @@ def labelled_samples(n: int = SAMPLES, seed: int = 11) -> list[dict]:
             ("account", account(False), rng.choice(("serial ", "ref ", f"{word()} ")), 0),
         ]
         kind, value, near, label = cases[i % len(cases)]
-        out.append({"kind": kind, "value": value, "near": f"{word()} {near}", "label": label, "held": i // len(cases) % 3 == 0})
+        out.append({"kind": kind, "value": value, "near": f"{word()} {near}", "after": rng.choice(("", " ", f" {word()}", ". ", ", ")),
+                    "label": label, "held": i // len(cases) % 3 == 0})
+    says = re.compile(r"\b(?:call|tel|phone|mobile|fax)\b")
+    for i in range(LINES):
+        line, private = f"{word()} " + rng.choice(("call ", "tel: ", "phone ", "mobile: ", "fax ", f"{word()} ", "", "order ")), set()
+        for k in range(rng.choice((2, 2, 3))):
+            if k:
+                line += rng.choice((" ", " ", " ", "  ", ". ", " / ", "/", " - ", ") "))
+            low, form = len(line), rng.randrange(8)
+            value = (f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}-{d(3)}-{d(4)}", f"{d(3)}.{d(3)}.{d(4)}", f"{d(3)}-{d(2)}-{d(4)}", f"{d(3)}-{d(2)}-{d(4)}",
+                     f"{d(4)}-{d(2)}-{d(2)}", d(rng.randint(1, 4)), f"{d(2)}/{d(2)}/{d(4)}")[form]
+            line += value
+            if form in (0, 3, 4) or form < 3 and says.search(line[max(0, low - CONTEXT):low]):
+                private.add((low, len(line)))
+        line += rng.choice(("", f" {word()}", "."))
+        out += [{"kind": "number_group", "value": line[a:b], "near": line[max(0, a - CONTEXT):a], "after": line[b:b + CONTEXT],
+                 "label": int((a, b) in private), "held": i % 3 == 0} for a, b in sorted(_parts(line))]
     return out
 
 
@@ -184,9 +242,9 @@ def model(spark: SparkSession) -> tuple[tuple, dict[str, float]]:
     """The trees and the threshold of each generator, trained once in a driver process."""
     if SAMPLES not in _SAMPLE_ROWS:
         text = F.lit(json.dumps(labelled_samples()))
-        rows = F.inline(F.from_json(text, "array<struct<kind:string,value:string,near:string,label:int,held:boolean>>"))
-        found = spark.range(1).select(rows).select("kind", "label", "held", features(F.col("value"), F.col("near")).alias("x"))
-        _SAMPLE_ROWS[SAMPLES] = json.dumps([r.asDict() for r in found.collect()])  # SAMPLES rows
+        rows = F.inline(F.from_json(text, "array<struct<kind:string,value:string,near:string,after:string,label:int,held:boolean>>"))
+        found = spark.range(1).select(rows).select("kind", "label", "held", features(F.col("value"), F.col("near"), F.col("after")).alias("x"))
+        _SAMPLE_ROWS[SAMPLES] = json.dumps([r.asDict() for r in found.collect()])  # SAMPLES rows and the spans of LINES lines
     return _fitted(_SAMPLE_ROWS[SAMPLES])
 
 
@@ -204,8 +262,8 @@ def _score(trees: tuple, x: Column) -> Column:
 def scan_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ``base`` and ``added``: array<struct<start, rank, end, kind, value>> of every row.
 
-    An accepted candidate is added if it overlaps no fixed format, and no accepted candidate with a
-    higher score (of equal scores: the earlier, then the longer one).
+    Accepted candidates that overlap no fixed format are added from the highest score down (of equal
+    scores: the earlier, then the longer one first), unless they overlap one that was added.
     """
     trees, limits = model(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), whole(docs[text_col]).alias("t"))
@@ -220,6 +278,7 @@ def scan_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             F.length(_digits(m.value)).between(14, 19), luhn(_digits(m.value))).otherwise(False)).alias("card"),
         F.filter(matches_if(t, t.rlike(r"\+[0-9]"), PHONE), lambda m: F.length(_digits(m.value)).between(10, 15)).alias("phone"),
         *[matches_if(t, t.rlike(MAY[k]), p).alias(k) for k, p in GENERATORS.items()])
+    rows = rows.withColumn("number_group", F.flatten(F.transform("number_group", _parts_of_run)))
     said = lambda name, rank: F.transform(F.col(name), lambda m: F.struct(
         m.start.alias("start"), F.lit(rank).alias("rank"), m.end.alias("end"), F.lit(name).alias("kind"), m.value.alias("value")))
     overlap = lambda a, b: (a.start < b.end) & (b.start < a.end)
@@ -229,15 +288,16 @@ def scan_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         lambda c: ~F.exists(F.col("base"), lambda b: overlap(c, b))))
     near = lambda c: F.substring(F.col("t"), F.greatest(c.start - CONTEXT + 1, F.lit(1)).cast("int"),
                                  F.least(c.start, F.lit(CONTEXT)).cast("int"))
-    rows = rows.withColumn("open", F.transform(F.col("open"), lambda c: F.struct(c.alias("c"), features(c.value, near(c)).alias("x"))))
+    after = lambda c: F.substring(F.col("t"), (c.end + 1).cast("int"), F.lit(CONTEXT))
+    rows = rows.withColumn("open", F.transform(F.col("open"), lambda c: F.struct(c.alias("c"), features(c.value, near(c), after(c)).alias("x"))))
     rows = rows.withColumn("open", F.transform(F.col("open"), lambda o: F.struct(_score(trees, o.x).alias("score"), o.c.alias("c"))))
     limit = lambda c: F.element_at(F.create_map(*[F.lit(v) for kv in limits.items() for v in kv]), c.kind)
     rows = rows.withColumn("open", F.filter(F.col("open"), lambda o: o.score >= limit(o.c)))
-    better = lambda a, b: (a.score > b.score) | ((a.score == b.score) & (
-        (a.c.start < b.c.start) | ((a.c.start == b.c.start) & (a.c.end > b.c.end))))
-    rows = rows.withColumn("open", F.filter(F.col("open"), lambda o: ~F.exists(
-        F.col("open"), lambda q: overlap(o.c, q.c) & better(q, o))))
-    return rows.select("doc_id", "base", F.transform("open", lambda o: o.c).alias("added"))
+    ranked = F.sort_array(F.transform(F.col("open"), lambda o: F.struct(
+        (-o.score).alias("score"), o.c.start.alias("start"), (-o.c.end).alias("end"), o.c.alias("c"))))
+    none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string,value:string>>")
+    added = F.aggregate(ranked, none, lambda a, o: F.when(F.exists(a, lambda q: overlap(o.c, q)), a).otherwise(F.concat(a, F.array(o.c))))
+    return rows.select("doc_id", "base", added.alias("added"))
 
 
 @query("op1_pii")
