@@ -79,6 +79,16 @@ def test_pii_model_adds_private_spans_and_spares_others(spark):
     assert "number_group" not in added[4] and "number_group" not in added[5], added
 
 
+def test_pii_finds_adjacent_numbers(spark):
+    rows = [("ssn 123-45-6789 987-65-4320", ["123-45-6789", "987-65-4320"]), ("on 2024-01-17 (555) 123-4567", ["(555) 123-4567"]),
+            ("call 555-123-4567. 2 days", ["555-123-4567"]), ("room 12 (555) 123-4567", ["(555) 123-4567"]),
+            ("call 10.0.0.1 555-123-4567", ["555-123-4567"]), ("call 555-123-4567 555-123-4568 now", ["555-123-4567", "555-123-4568"]),
+            ("row 123-45-6789 " * 40, ["123-45-6789"] * 40)]
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: [s.value for s in sorted(r.added)] for r in pii.scan_pii(frame).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(rows)}
+
+
 def test_secret_model_on_held_out_strings():
     ratio, limit = secrets.model()
     def score(text):
