@@ -8,6 +8,7 @@ import re
 
 import pytest
 import tokenizers
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SMALL
@@ -64,3 +65,20 @@ def test_nulls_and_an_empty_table(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = written(stage(spark, docs, SMALL), "test-stage")
         assert {r.doc_id for r in docs.collect()} == ({3} if data else set())
+
+
+def test_rows_without_an_id_and_ids_on_two_texts(spark):
+    """Documents are rows: only rows equal in id and text, copies and near copies are dropped."""
+    words = lambda k, n=40: " ".join(f"w{k}x{i}" for i in range(n))
+    a, b, c, near = words(1), words(2), words(3), words(3) + " and"
+    rows = [(5, a), (5, b), (5, a), (3, b), (None, c), (None, words(4)), (None, words(5)), (None, words(4)), (7, near)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    say = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    unique = [(5, a), (3, b), (None, c), (None, words(4)), (None, words(5)), (7, near)]
+    assert say(exact_dedup.drop_exact_duplicates(docs)) == sorted(unique, key=str)
+    left = [x for x in unique if x != (None, c)]
+    assert say(ngram_join.drop_similar(docs)) == sorted(left, key=str)
+    found = {(r.doc_id, r.component_id) for r in ngram_join.ngram_join(docs).collect()}
+    assert found == {(5, 5), (5, 3), (3, 3), (None, 7), (None, None), (7, 7)}
+    mixed = mixing.mixed_documents(spark.createDataFrame(left, "doc_id long, text string").withColumn("source", F.lit("s")), count_col=None)
+    assert sorted(w for r in mixed.collect() for w in r.text.split()) == sorted(w for _, t in left for w in t.split())

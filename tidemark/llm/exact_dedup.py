@@ -5,7 +5,7 @@ after deleting white space (`[\\x20\\x09-\\x0D]`). Of a class the row with the l
 stays, then the one with the smallest id.
 
 Defined results: a null text counts as empty (all empty texts are one class); a null id sorts after
-all others; repeated rows with one id are one document and get the same answer; extra columns are
+all others; ``duplicate_classes`` gives rows with one id and class the same answer; extra columns are
 ignored, whatever their names; an empty table gives an empty result.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.registry import query
-from tidemark.llm.text import SPACE, whole
+from tidemark.llm.text import SPACE, row_key, whole
 
 
 def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -43,10 +43,17 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; of repeated rows with one id, one stays."""
-    kept = duplicate_classes(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_keep")).distinct()
-    rows = docs.join(kept, docs[id_col].cast("long").eqNullSafe(F.col("_keep")), "left_semi")
-    return rows.dropDuplicates([id_col])
+    """The rows that stay, with all their columns: of each class one row, decided per row and not per id.
+
+    Ids may be null or stand on several texts; of rows equal in id and text one stays.
+    """
+    text, doc_id = whole(docs[text_col]), docs[id_col].cast("long")
+    keyed = docs.select(row_key(doc_id, text).alias("key"), F.length(text).alias("n"), (-doc_id).alias("neg"),
+                        F.regexp_replace(text, f"{SPACE}+", "").alias("norm"))
+    kept = (keyed.select("key", "n", "neg", "norm", F.md5("norm").alias("h")).groupBy("h", "norm")
+            .agg(F.max(F.struct("n", "neg", "key")).alias("best")).select(F.col("best.key").alias("_row key")))
+    rows = docs.withColumn("_row key", row_key(doc_id, text))
+    return rows.join(kept, "_row key", "left_semi").dropDuplicates(["_row key"]).drop("_row key")
 
 
 SQL = r"""

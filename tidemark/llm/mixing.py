@@ -14,8 +14,8 @@ The driver holds one row per source. Draws and permutations depend on the seed,
 only, so a lost task repeats them and reruns agree.
 
 Defined results: a null text has no words, is never taken and gives taken 0; null is a source; an empty
-table gives an empty result; repeated rows are documents of their own in ``mix`` and one document in
-``mixed_documents``; extra columns are ignored by ``mix`` and kept by ``mixed_documents``.
+table gives an empty result; repeated rows are documents of their own in ``mix``, and those equal in id
+and text are one document in ``mixed_documents``; extra columns are ignored by ``mix`` and kept by ``mixed_documents``.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.bpe import small
 from tidemark.llm.registry import query
 from tidemark.llm.tables import written
-from tidemark.llm.text import SPACE, whole
+from tidemark.llm.text import SPACE, row_key, whole
 from tidemark.llm.words import chunks, mix as scramble, split_words
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -95,7 +95,7 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> Data
 def _packed(sized: DataFrame) -> DataFrame:
     """Adds ``start``, the words of the source before the document, by running sums on two levels."""
     n = max(1, math.isqrt(max(sized.count(), 1)))
-    rows = sized.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(n)))
+    rows = sized.withColumn("chunk", F.pmod(F.xxhash64(F.coalesce("doc_id", "tie")), F.lit(n)))
     before = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy("source", "chunk").agg(F.sum("size").alias("words")).select(
         F.col("source").alias("_s"), F.col("chunk").alias("_c"),
@@ -209,17 +209,18 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     options = {"block": BLOCK, "seed": SEED, "shard_slots": SHARD_SLOTS, "weights": WEIGHTS, "most": MOST} | parameters
     names = docs.columns
-    one = docs.groupBy(docs[id_col].cast("long").alias("_id")).agg(
-        F.min_by(F.struct(*[docs[c] for c in names]), F.xxhash64(whole(docs[text_col]), docs[source_col])).alias("_row"))
-    one = written(one, "documents")
+    key = row_key(docs[id_col].cast("long"), whole(docs[text_col]))
+    one = docs.groupBy(key.alias("_key")).agg(F.min_by(F.struct(*[docs[c] for c in names]), F.xxhash64(docs[source_col])).alias("_row"))
+    own = [F.col(f"_row.`{id_col}`").cast("long").alias("_id"), F.xxhash64(whole(F.col(f"_row.`{text_col}`"))).alias("_tie")]
+    one = written(one.select(*own, "_row"), "documents")
     _, parts, slots = _pieces(one.select("_row.*"), id_col, text_col, source_col, **options)
     runs = (parts.join(slots.hint("merge"), ["s", "block"])
-            .groupBy("doc_id", "size", "pass").agg(F.sum(F.col("high") - F.col("low")).alias("n"),
+            .groupBy("doc_id", "tie", "size", "pass").agg(F.sum(F.col("high") - F.col("low")).alias("n"),
                                                    F.sort_array(F.collect_list(F.struct("low", "high"))).alias("at")))
     text = whole(F.col(f"_row.{text_col}"))
     words = F.filter(F.split(text, f"{SPACE}+"), lambda w: w != "")
     cut = F.array_join(F.transform("at", lambda a: F.array_join(F.slice(F.col("_words"), (a.low + 1).cast("int"), (a.high - a.low).cast("int")), " ")), "\n")
-    joined = one.join(runs, F.col("_id").eqNullSafe(F.col("doc_id")))
+    joined = one.join(runs, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_tie") == F.col("tie")))
     joined = joined.withColumn("_words", F.when(F.col("n") < F.col("size"), words)).withColumn(
         "_text", F.when(F.col("n") == F.col("size"), text).otherwise(cut))
     said = {text_col: F.col("_text"), count_col: F.length("_text").cast("long")}

@@ -17,8 +17,9 @@ document as its representative; only representatives are joined:
 4. What is left is verified on the whole shingle sets.
 
 Defined results: A-Z count as a-z; a text of one to four words has its whole word sequence as its
-shingle; a text without words, and a null text, has no shingles and is linked with nothing; rows with
-one id are one document; null ids count as larger than all others; extra columns are ignored.
+shingle; a text without words, and a null text, has no shingles and is linked with nothing; a document
+is a row: rows of one id, or of none, with different texts are told apart by a 128-bit hash of both;
+null ids count as larger than all others; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from tidemark.llm.bpe import small
 from tidemark.llm.components import connected_components
 from tidemark.llm.registry import query
 from tidemark.llm.tables import written
-from tidemark.llm.text import whole
+from tidemark.llm.text import row_key, whole
 from tidemark.llm.words import chunks, mix, split_words, window_hashes
 
 GRAM = 5
@@ -45,7 +46,6 @@ FREQUENT = 64
 #: Share of the prefix that two sets must have met in before the first round verifies them.
 STRONG = 0.3
 _BLOCKS = 64
-_LAST = (1 << 63) - 1
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
@@ -72,7 +72,8 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, gram: int = GRAM) -> tupl
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(_LAST)).alias("doc_id"), whole(docs[text_col]).alias("t"))
+    doc_id, text = docs[id_col].cast("long"), whole(docs[text_col])
+    return docs.select(doc_id.alias("doc_id"), row_key(doc_id, text).alias("key"), text.alias("t"))
 
 
 def _sketch(texts: DataFrame) -> Broadcast:
@@ -121,10 +122,10 @@ def prefix_size(n):
 
 
 def _sets(texts: DataFrame, level: Broadcast) -> DataFrame:
-    """doc_id, n, two hashes of the set, its prefix in the global order, and how many of that are infrequent."""
+    """doc_id, key, n, two hashes of the set, its prefix in the global order, and how many of that are infrequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            for low, high, data, bounds in chunks(batch.column(1)):
+            for low, high, data, bounds in chunks(batch.column(2)):
                 found, first = shingle_sets(data, bounds)
                 n = np.diff(first)
                 owner = np.repeat(np.arange(high - low), n)
@@ -141,9 +142,9 @@ def _sets(texts: DataFrame, level: Broadcast) -> DataFrame:
                 at = np.append(0, np.cumsum(size)).astype(np.int32)
                 prefix = pa.ListArray.from_arrays(at, pa.array(found[order][use].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[low:high], pa.array(n.astype(np.int32)), *[pa.array(k.view(np.int64)) for k in keys], prefix,
-                     pa.array(light.astype(np.int32))], names=["doc_id", "n", "k1", "k2", "prefix", "light"])
-    return texts.mapInArrow(run, "doc_id long, n int, k1 long, k2 long, prefix array<long>, light int")
+                    [batch.column(0)[low:high], batch.column(1)[low:high], pa.array(n.astype(np.int32)), *[pa.array(k.view(np.int64)) for k in keys], prefix,
+                     pa.array(light.astype(np.int32))], names=["doc_id", "key", "n", "k1", "k2", "prefix", "light"])
+    return texts.mapInArrow(run, "doc_id long, key binary, n int, k1 long, k2 long, prefix array<long>, light int")
 
 
 def _in_company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,8 +182,8 @@ def _size_near(a: Column, b: Column) -> Column:
 
 def _verified(pairs: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs (a, b) with a Jaccard similarity of 80 % or more, from their whole shingle sets."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b"))).distinct()
-    keys = reps.select(F.col("rep").alias("doc_id"), "k1", "k2").join(wanted, "doc_id")
+    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b"))).distinct()
+    keys = reps.select("rep", "head.key").join(wanted, "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
@@ -190,21 +191,27 @@ def _verified(pairs: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
                 found, first = shingle_sets(data, bounds)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[low:high], pa.ListArray.from_arrays(first.astype(np.int32), pa.array(found.view(np.int64)))],
-                    names=["doc_id", "shingles"])
-    sets = written(texts.join(keys.select("doc_id").distinct(), "doc_id").select("doc_id", "t")
-                   .mapInArrow(run, "doc_id long, shingles array<long>"), "shingles")
-    one, two = (sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
+                    names=["rep", "shingles"])
+    sets = written(texts.join(keys, "key").select("rep", "t").mapInArrow(run, "rep long, shingles array<long>"), "shingles")
+    one, two = (sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
     common = F.size(F.array_intersect("sa", "sb"))
     rows = pairs.select("a", "b").join(two, "b").join(one, "a").withColumn("common", common)
     return written(rows.filter(100 * F.col("common") >= 80 * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b").distinct(), "links")
 
 
-def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) for every row."""
+def _head() -> Column:
+    """A row as the head of a component: the smallest is the one with the smallest id."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, key, n of every row, and the head of its component: its first row by id, as (none, doc_id, key)."""
     texts = _texts(docs, id_col, text_col)
     sets = written(_sets(texts, _sketch(texts)), "sets")
+    # a class goes by a number of its own, since its first id may be null or another class's too
     reps = written(sets.filter("n > 0").groupBy("k1", "k2", "n").agg(
-        F.min("doc_id").alias("rep"), F.any_value("prefix").alias("prefix"), F.any_value("light").alias("light")), "classes")
+        F.min(_head()).alias("head"), F.any_value("prefix").alias("prefix"), F.any_value("light").alias("light"))
+        .withColumn("rep", F.monotonically_increasing_id()), "classes")
     lists = written(_lists(reps), "lists")
 
     sizes = written(lists.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "list-sizes")
@@ -239,11 +246,19 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     more = _verified(written(counted.filter(9 * reach >= 4 * (F.col("na") + F.col("nb"))).select("a", "b"), "candidates"), texts, reps)
     labels = connected_components(links.union(more))
 
-    named = sets.join(reps.select("k1", "k2", "n", "rep"), ["k1", "k2", "n"], "left")
-    named = named.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.coalesce("label", "rep", "doc_id")
-    return named.select(F.nullif("doc_id", F.lit(_LAST)).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
-                        F.nullif(component, F.lit(_LAST)).alias("component_id"))
+    heads = reps.select("rep", "head").join(labels, F.col("rep") == F.col("node"))
+    first = heads.groupBy("label").agg(F.min("head").alias("least"))
+    heads = written(heads.join(first, "label").select(F.col("rep").alias("node"), "least"), "heads")
+    classes = reps.select("k1", "k2", "n", "rep", "head").join(heads, F.col("rep") == F.col("node"), "left")
+    named = sets.select("doc_id", "key", "n", "k1", "k2").join(
+        classes.select("k1", "k2", "n", F.coalesce("least", "head").alias("head")), ["k1", "k2", "n"], "left")
+    return named.select("doc_id", "key", "n", F.coalesce("head", _head()).alias("head"))
+
+
+def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) for every row."""
+    return _components(docs, id_col, text_col).select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("head.doc_id").alias("component_id"))
 
 
 def prefix_size_column(n: Column) -> Column:
@@ -251,10 +266,10 @@ def prefix_size_column(n: Column) -> Column:
 
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component: the one with the smallest id; of repeated ids one row stays."""
-    found = similar_components(docs, id_col, text_col)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(kept, docs[id_col].cast("long").eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates([id_col])
+    """One row of each component: the first by id; of rows equal in id and text one stays."""
+    kept = _components(docs, id_col, text_col).filter(F.col("key") == F.col("head.key")).select(F.col("key").alias("_row key"))
+    rows = docs.withColumn("_row key", row_key(docs[id_col].cast("long"), whole(docs[text_col])))
+    return rows.join(kept, "_row key", "left_semi").dropDuplicates(["_row key"]).drop("_row key")
 
 
 SQL = r"""

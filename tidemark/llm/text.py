@@ -14,6 +14,11 @@ def whole(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """128-bit identity of a row by its id, which may be null or stand on several texts, and its text."""
+    return F.unhex(F.md5(F.concat_ws(" ", F.coalesce(doc_id.cast("string"), F.lit("null")), text)))
+
+
 def _scan(lengths: Column, start: Column) -> Column:
     """Running sums of ``lengths`` after ``start``; quadratic, so for short arrays only."""
     step = lambda acc, x: F.struct((acc.p + x).alias("p"), F.concat(acc.a, F.array(acc.p + x)).alias("a"))
