@@ -6,7 +6,7 @@ that many signs of it only lower the score further). A text is kept if P(grade =
 
 Features are hashed lower-case runs of letters and digits (log of their count), hashed word endings in
 signs, and bins of a few shares (signs, capitals, repeated words and lines, lengths). The model is fitted
-on the driver from at most ``MAX_ROWS`` labelled documents, those with the smallest hashes of their ids;
+on the driver from at most ``MAX_ROWS`` labelled documents, those with the smallest hashes of their ids, one row of each;
 only their features come to the driver. Features that are not associated with a grade there (``MIN_Z``) get
 weight 0, so that long texts do not gather noise.
 
@@ -161,7 +161,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     grade = F.when(F.col("toxic") > 0, 0).when(F.col("quality") < 1, 1).otherwise(2)
     chosen = (worst.select("_id", grade.alias("grade"))
               .orderBy(F.xxhash64("_id"), "_id").limit(max_rows))  # at most max_rows rows, so it may be broadcast
-    rows = docs.join(F.broadcast(chosen), docs[id_col].cast("long") == F.col("_id"))
+    text = whole(docs[text_col])
+    rows = (docs.join(F.broadcast(chosen), docs[id_col].cast("long") == F.col("_id")).groupBy("_id", "grade")
+            .agg(F.min_by(text, F.xxhash64(text)).alias("text")))  # repeated rows weigh and cost as one
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
@@ -172,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 lists = [pa.ListArray.from_arrays(at, x[order]) for x in (column.astype(np.int32), value.astype(np.float32))]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], batch.column(1)[low:high], *lists],
                                                  names=["id", "grade", "columns", "values"])
-    found = rows.select(F.col("_id"), "grade", whole(docs[text_col])).mapInArrow(
+    found = rows.select("_id", "grade", "text").mapInArrow(
         run, "id long, grade int, columns array<int>, values array<float>")
     sample = found.toArrow().sort_by("id")  # features of max_rows documents
     grades = sample["grade"].to_numpy()
