@@ -110,6 +110,27 @@ def test_classifier_edges(edge, empty, spark):
     assert classifier.select_good(edge, labels).columns == edge.columns
 
 
+def test_classifier_counts_repeated_rows_once(spark):
+    rows = [(i, f"some {'fine' if i % 2 else 'poor'} words {i % 7}") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    one, more = (classifier.fit(spark.createDataFrame(r, SCHEMA), labels) for r in (rows, rows + rows[:1] * 500))
+    assert (one.weights == more.weights).all() and (one.thresholds == more.thresholds).all()
+
+
+def test_bpe_looks_up_short_prefixes_only():
+    class Counted(dict):
+        asked = 0
+
+        def __contains__(self, key):
+            self.asked += len(key) > bpe.KEPT
+            return dict.__contains__(self, key)
+    with open(bpe.default_vocabulary(), "rb") as f:
+        automaton = bpe.Tokenizer(f.read()).automaton
+    want = automaton.encode(b"ab" * 500)
+    automaton.paths = Counted()
+    assert automaton.encode(b"ab" * 500) == want and automaton.paths.asked == 0
+
+
 def test_html_edges(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, None, ""), (3, "u", "<p"), (3, "u", "plain &amp; text"),
                                    (None, "u", "<article><p>" + "One sentence here. " * 5000)], "page_id long, url string, html string")

@@ -48,6 +48,10 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+#: Prefixes up to so many bytes are remembered.
+KEPT = 64
+
+
 class MergeAutomaton:
     """States are (token, time): what follows a token once the merges up to that time have been applied."""
 
@@ -109,7 +113,7 @@ class MergeAutomaton:
         if len(paths) > 2 * CACHE:
             paths.clear()
         size = len(word)
-        done = size
+        done = min(size, KEPT)
         while done and word[:done] not in paths:
             done -= 1
         last: dict[int, int] = {}
@@ -128,7 +132,7 @@ class MergeAutomaton:
                     if self.arc(before, token) if arc is None else arc:
                         break
             last[end] = token
-            if end <= 64:
+            if end <= KEPT:
                 paths[word[:end]] = token
         out, end = [], size
         while end:
