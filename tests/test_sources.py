@@ -252,3 +252,15 @@ def test_fixed_length_rows(spark, schema):
       ('00000000-0000-4000-8000-0000000000bb', CAST('zyxwvutsrqponmlkjihgfedcb' AS BINARY))""")
     got = C.load_table(spark, name)
     assert got.count() == 2 and b"abcdefghijklmnopqrstuvwxy" in {bytes(r["fixed_col"]) for r in got.collect()}
+
+
+def test_sample_query_streams_the_whole_table(spark, folder, monkeypatch):
+    from types import SimpleNamespace
+
+    from tests.conftest import SMALL
+    from tidemark.plans import storage
+    monkeypatch.setattr(storage, "scratch", lambda *_: folder)
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    got = storage.s14(SimpleNamespace(spark=spark, events=events)).collect()
+    assert [tuple(r) for r in got] == [(25, 25)]
+    assert spark.read.parquet(f"{folder}/in").count() == events.count() > 40
