@@ -14,6 +14,7 @@ from tidemark.plans.registry import ORACLES, query
 from tidemark.plans.streams import streams
 from tidemark.sources import files
 from tidemark.streaming import core as ST
+from tidemark.streaming import replay
 
 CUSTOMER = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
                          T.StructField("c_acctbal", T.DoubleType())])
@@ -224,19 +225,21 @@ def d14(t):
 
 @query("t11", "SELECT o_orderkey, o_totalprice FROM orders")
 def t11(t):
-    """Replay a stored table file by file; every file is a batch of its own."""
+    """Replay a stored table a third of its rows at a time, whatever the files."""
     root = scratch(t.spark, "t11")
     rows = t.orders.select("o_orderkey", "o_totalprice")
-    files.write_csv(rows.repartition(3), f"{root}/in")
-    seen = []
+    files.write_csv(rows.repartition(2), f"{root}/in")
+    n = rows.count()
+    stream = replay.replay_rows(t.spark, f"{root}/in", rows.schema, max(1, -(-n // 3)), f"{root}/files", "csv")
 
     def store(batch, batch_id):
-        seen.append(batch_id)
         batch.write.mode("overwrite").parquet(f"{root}/data/batch={batch_id}")
-    ST.run_available(ST.replay(t.spark, f"{root}/in", rows.schema).drop("partition"), f"{root}/state", store)
-    if len(seen) != 3:
-        raise AssertionError(f"{len(seen)} batches for 3 files")
-    return t.spark.read.parquet(f"{root}/data").drop("batch")
+    replay.run_to_end(stream, f"{root}/state", store)
+    stored = t.spark.read.schema(rows.schema.add("batch", "int")).parquet(f"{root}/data")
+    sizes = sorted(r["count"] for r in stored.groupBy("batch").count().collect())  # one row per batch
+    if len(sizes) > 3 or sizes[1:] != [max(1, -(-n // 3))] * (len(sizes) - 1):
+        raise AssertionError(f"batches of {sizes} rows")
+    return stored.drop("batch")
 
 
 @query("l5")

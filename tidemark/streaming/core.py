@@ -14,6 +14,7 @@ from tidemark.functions.text import split_message
 from tidemark.operators import cdc, messages
 from tidemark.operators.regression import predict
 from tidemark.operators.tables import VersionedTable, lookup_update
+from tidemark.streaming.stateful import match_replies
 
 
 def read_kafka(spark: SparkSession, servers: str, topic: str, group: str | None = None,
@@ -40,7 +41,7 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 
 def replay(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv", header: bool = True) -> DataFrame:
-    """One file per trigger, oldest first; the trigger interval sets the rate."""
+    """One file per trigger, oldest first; the trigger interval sets the rate. ``replay.replay_rows`` goes by rows."""
     return read_files(spark, path, schema, fmt, 1, {"header": str(header).lower()} if fmt == "csv" else None)
 
 
@@ -179,21 +180,12 @@ def reply_once_stream(replies: DataFrame, key: str = "request_id", delay: str =
 
 def request_reply_stream(requests: DataFrame, replies: DataFrame, timeout: str = messages.REPLY_TIMEOUT,
                          delay: str = "10 seconds", key: str = "request_id", result: str = "result") -> DataFrame:
-    """Pending requests are state until a reply or until the watermark passes the timeout.
+    """Pending requests are state until a reply comes or until the watermark passes the timeout.
 
-    The time range bounds the state of both sides. Of several replies in time the first
-    counts: the joined rows are aggregated per request, whose state goes once the
-    watermark has passed it. A request without a reply leaves with the error TIMEOUT.
+    An answered request leaves in the batch of its first reply in time, one without a reply
+    with the error TIMEOUT; its state goes with it.
     """
-    q = requests.withWatermark("ts", delay)
-    r = replies.select(F.col(key).alias("_id"), F.col("ts").alias("replied_at"), F.col(result))
-    r = r.withWatermark("replied_at", delay)
-    limit = F.expr(f"INTERVAL '{timeout}'")
-    cond = (F.col(key) == F.col("_id")) & (F.col("replied_at") >= F.col("ts")) & (
-        F.col("replied_at") <= F.col("ts") + limit)
-    joined = q.join(r, cond, "left_outer").groupBy(*requests.columns).agg(
-        F.min("replied_at").alias("replied_at"), F.min_by(result, "replied_at").alias(result), F.count("_id").alias("_replies"))
-    return joined.withColumn("error", F.when(F.col("_replies") == 0, "TIMEOUT")).drop("_replies")
+    return match_replies(requests, replies, timeout, delay, key, result)
 
 
 def expire_late_stream(stream: DataFrame, ttl: str = messages.TIME_TO_LIVE, column: str = "ts") -> DataFrame:
