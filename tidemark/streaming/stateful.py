@@ -67,7 +67,7 @@ class ReplyMatcher(StatefulProcessor):
                     self.early.updateValue((at,), (result,))
                     self.handle.registerTimer(at // 1000 + 1)
             return
-        if not known:
+        if not known and self.early.exists():
             for (at,), (result,) in list(self.early.iterator()):
                 replies.setdefault(at, result)
             self._forget_early()
@@ -90,6 +90,7 @@ class ReplyMatcher(StatefulProcessor):
             if self._expiry(at) <= now:
                 self.pending.clear()
                 yield Row(id=key[0], at=at, ask=ask, replied=None, result=None, error="TIMEOUT")
+            return  # a request that waits has taken the early replies
         for (at,) in list(self.early.keys()):
             if at // 1000 + 1 <= now:
                 self.early.removeKey((at,))
