@@ -20,6 +20,11 @@ from tidemark.llm.registry import query
 from tidemark.llm.text import SPACE, row_key, whole
 
 
+def _first() -> list[Column]:
+    """What orders the rows of a class: the longest, then the smallest id, null last."""
+    return [(-F.col("n")).alias("shorter"), F.col("doc_id").isNull().alias("none"), F.col("doc_id")]
+
+
 def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       content_hash: Callable[[Column], Column] = F.md5) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row.
@@ -33,9 +38,8 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                         F.regexp_replace(text, f"{SPACE}+", "").alias("norm"))
     keyed = keyed.select("doc_id", "n", "norm", content_hash(F.col("norm")).alias("h"))
     classes = (keyed.groupBy("h", "norm")
-               .agg(F.count(F.lit(1)).alias("group_size"),
-                    F.max(F.struct("n", (-F.col("doc_id")).alias("neg"))).alias("best"))
-               .select("h", F.sha2("norm", 256).alias("text_sha256"), "group_size", (-F.col("best.neg")).alias("keep_id")))
+               .agg(F.count(F.lit(1)).alias("group_size"), F.min(F.struct(*_first())).alias("best"))
+               .select("h", F.sha2("norm", 256).alias("text_sha256"), "group_size", F.col("best.doc_id").alias("keep_id")))
     members = keyed.select("doc_id", "h", F.sha2("norm", 256).alias("text_sha256"))
     return (members.join(classes, ["h", "text_sha256"])
             .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
@@ -48,10 +52,10 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Ids may be null or stand on several texts; of rows equal in id and text one stays.
     """
     text, doc_id = whole(docs[text_col]), docs[id_col].cast("long")
-    keyed = docs.select(row_key(doc_id, text).alias("key"), F.length(text).alias("n"), (-doc_id).alias("neg"),
+    keyed = docs.select(row_key(doc_id, text).alias("key"), doc_id.alias("doc_id"), F.length(text).alias("n"),
                         F.regexp_replace(text, f"{SPACE}+", "").alias("norm"))
-    kept = (keyed.select("key", "n", "neg", "norm", F.md5("norm").alias("h")).groupBy("h", "norm")
-            .agg(F.max(F.struct("n", "neg", "key")).alias("best")).select(F.col("best.key").alias("_row key")))
+    kept = (keyed.select("key", "doc_id", "n", "norm", F.md5("norm").alias("h")).groupBy("h", "norm")
+            .agg(F.min(F.struct(*_first(), "key")).alias("best")).select(F.col("best.key").alias("_row key")))
     rows = docs.withColumn("_row key", row_key(doc_id, text))
     return rows.join(kept, "_row key", "left_semi").dropDuplicates(["_row key"]).drop("_row key")
 

@@ -32,13 +32,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.bpe import small
 from tidemark.llm.registry import query
 from tidemark.llm.tables import written
-from tidemark.llm.text import SPACE, row_key, whole
+from tidemark.llm.text import SPACE, let, row_key, whole
 from tidemark.llm.words import chunks, mix as scramble, split_words
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
 BLOCK = 64
 SHARD_SLOTS = 1 << 14
+MOST_TASKS = 1 << 14
 SEED = 20240611
 
 
@@ -147,7 +148,8 @@ def _slots(spark: SparkSession, plan: list[tuple[int, int]], seed: int, shard_sl
                             key = seed * 1_000_003 + int(own) * 8191 + int(turn)
                             yield pd.DataFrame({"shard": shard, "s": own, "block": permuted(now % blocks[own], int(blocks[own]), key), "pass": turn})
 
-    return drawn.repartition("shard", "s").mapInPandas(fill, "shard long, s int, block long, pass int")
+    # as many tasks as shards: a given number is not merged, however small the rows are before they are filled
+    return drawn.repartition(min(shards, MOST_TASKS), "shard", "s").mapInPandas(fill, "shard long, s int, block long, pass int")
 
 
 def _moves(got: np.ndarray, want: np.ndarray) -> dict[int, list[tuple[int, int, int, int, int]]]:
@@ -179,7 +181,7 @@ def _pieces(docs: DataFrame, id_col: str, text_col: str, source_col: str, block:
         plan.append((min(round(aim[source] * blocks / n), most * blocks) if n else 0, blocks))
         names.append((i, source, n, float(aim[source])))
     named = spark.createDataFrame(names, "s int, _source string, source_size long, target double")
-    rows = packed.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("_source")))  # one row per source
+    rows = packed.join(named, F.col("source").eqNullSafe(F.col("_source")))  # Spark knows the size of the named sources
     last = F.floor((F.col("start") + F.col("size") - 1) / block)
     parts = rows.filter("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block), last)))
     low, high = F.greatest("start", F.col("block") * block), F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
@@ -217,12 +219,12 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     runs = (parts.join(slots.hint("merge"), ["s", "block"])
             .groupBy("doc_id", "tie", "size", "pass").agg(F.sum(F.col("high") - F.col("low")).alias("n"),
                                                    F.sort_array(F.collect_list(F.struct("low", "high"))).alias("at")))
-    text = whole(F.col(f"_row.{text_col}"))
+    text = whole(F.col(f"_row.`{text_col}`"))
     words = F.filter(F.split(text, f"{SPACE}+"), lambda w: w != "")
-    cut = F.array_join(F.transform("at", lambda a: F.array_join(F.slice(F.col("_words"), (a.low + 1).cast("int"), (a.high - a.low).cast("int")), " ")), "\n")
+    cut = let(words, lambda ws: F.array_join(F.transform(  # split once per document, not once per run
+        "at", lambda a: F.array_join(F.slice(ws, (a.low + 1).cast("int"), (a.high - a.low).cast("int")), " ")), "\n"))
     joined = one.join(runs, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_tie") == F.col("tie")))
-    joined = joined.withColumn("_words", F.when(F.col("n") < F.col("size"), words)).withColumn(
-        "_text", F.when(F.col("n") == F.col("size"), text).otherwise(cut))
+    joined = joined.withColumn("_text", F.when(F.col("n") == F.col("size"), text).otherwise(cut))
     said = {text_col: F.col("_text"), count_col: F.length("_text").cast("long")}
     return joined.select(*[said.get(c, F.col(f"_row.`{c}`")).alias(c) for c in names])
 

@@ -7,14 +7,19 @@ document as its representative; only representatives are joined:
    frequent ones last in a global order. Two linked sets share one of the first n - ceil(0.8 n) + 1
    shingles of each; these prefixes make the inverted index. A sketch never counts too little, so lists
    of shingles below its threshold are that short; only the others can be long.
-2. Set relations skip work twice. First every list puts its sets next to its most central one (whose own
+2. Set relations skip work. First every list puts its sets next to its most central one (whose own
    lists are the longest, as those of an original among its copies), and each set is verified with the
-   centre it meets most often: near copies fall into components. Then a list is only opened where
-   it still holds sets of different components, and there only the sets outside its largest component
-   are compared with the rest: what a set's similar neighbour has settled is not computed again.
-3. Blocks of a list are skipped by size and position: sizes must be within 80 %, and the number of common
+   centre it meets most often: near copies fall into components, and sets around a centre form a group.
+3. Inside a group answers are derived from the centre's: two members share what the centre has, less what either
+   lost, plus what both lost or both added. Pairs whose losses are small enough are linked without
+   looking further; all others must agree in so many differences, so only differences are joined, by prefixes
+   again, the rarest of the group first. Members of a large group of near copies that are
+   linked with nothing meet few others that way.
+4. Across groups a list is only opened where it holds different components and groups, and there only the sets
+   outside its largest component or group are compared with the rest.
+5. Blocks of a list are skipped by size and position: sizes must be within 80 %, and the number of common
    prefix shingles plus what can follow the prefixes must reach the overlap that 80 % needs.
-4. What is left is verified on the whole shingle sets.
+6. What is left is verified on the whole shingle sets.
 
 Defined results: A-Z count as a-z; a text of one to four words has its whole word sequence as its
 shingle; a text without words, and a null text, has no shingles and is linked with nothing; a document
@@ -29,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import small
@@ -86,7 +91,8 @@ def _sketch(texts: DataFrame) -> Broadcast:
         for batch in small(batches):
             for _, _, data, bounds in chunks(batch.column(0)):
                 found, _ = shingle_sets(data, bounds)
-                counts += np.bincount((found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=width).astype(np.uint32)
+                bucket, times = np.unique((found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), return_counts=True)
+                counts[bucket] += times.astype(np.uint32)
         if counts.any():
             yield pa.RecordBatch.from_arrays([pa.array(range(_BLOCKS), pa.int32()), pa.array(
                 [np.minimum(counts[i * part:(i + 1) * part], 65535).astype("<u2").tobytes() for i in range(_BLOCKS)], pa.binary())],
@@ -180,8 +186,8 @@ def _size_near(a: Column, b: Column) -> Column:
     return (5 * a >= 4 * b) & (5 * b >= 4 * a)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
-    """The pairs (a, b) with a Jaccard similarity of 80 % or more, from their whole shingle sets."""
+def _shingles(pairs: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
+    """rep, shingles of the sets in ``pairs``; one text per row key, however often a row is repeated."""
     wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b"))).distinct()
     keys = reps.select("rep", "head.key").join(wanted, "rep")
 
@@ -192,13 +198,64 @@ def _verified(pairs: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[low:high], pa.ListArray.from_arrays(first.astype(np.int32), pa.array(found.view(np.int64)))],
                     names=["rep", "shingles"])
-    sets = written(texts.join(keys, "key").select("rep", "t").mapInArrow(run, "rep long, shingles array<long>"), "shingles")
+    once = texts.join(keys, "key").select("key", "rep", "t").dropDuplicates(["key"])
+    return written(once.select("rep", "t").mapInArrow(run, "rep long, shingles array<long>"), "shingles")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with a Jaccard similarity of 80 % or more, from their whole shingle sets."""
     one, two = (sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
     common = F.size(F.array_intersect("sa", "sb"))
     rows = pairs.select("a", "b").join(two, "b").join(one, "a").withColumn("common", common)
     return written(rows.filter(100 * F.col("common") >= 80 * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b").distinct(), "links")
 
 
+def _of_groups(near: DataFrame, sets: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and candidates (a, b) among the members of each centre, in groups of more than one component.
+
+    A member b of the centre c lost l shingles of it, and has n. Members b and x share |c| - l(b) - l(x) + s
+    shingles, where s counts the differences from c that both have. With w = 9 l + 4 n they are linked when
+    9 s >= w(b) + w(x) - 9 |c|. If that is not above 0 both are linked with the member of least w as well, so a
+    star around it connects what such links connect.
+    """
+    part = F.coalesce("label", "rep").alias("part")
+    members = near.select(F.col("a").alias("g"), F.col("b").alias("rep")).join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("g", "rep", part)
+    parts = members.groupBy("g", "part").agg(F.count(F.lit(1)).alias("m"))
+    several = parts.groupBy("g").agg(F.max_by("part", F.struct("m", "part")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    members = members.join(several.select("g", "main"), "g")
+    one, two = (sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"s{c}")) for c in ("g", "rep"))
+    rows = members.join(two, "rep").join(one, "g")
+    rows = rows.withColumn("lost", F.size(F.array_except("sg", "srep"))).select(
+        "g", "rep", "part", "main", F.size("sg").alias("c"), (9 * F.col("lost") + 4 * F.size("srep")).alias("w"),
+        F.concat(F.array_except("sg", "srep"), F.array_except("srep", "sg")).alias("differences"))
+    rows = written(rows, "differences")
+    least = rows.groupBy("g").agg(F.min("w").alias("least"), F.min_by("rep", F.struct("w", "rep")).alias("first"),
+                                  F.min(F.when(F.col("part") != F.col("main"), F.col("w"))).alias("least_open"))
+    rows = rows.join(least, "g")
+    stars = rows.filter((F.col("rep") != F.col("first")) & (F.col("w") + F.col("least") <= 9 * F.col("c"))).select(
+        F.col("first").alias("a"), F.col("rep").alias("b"))
+
+    other = F.when(F.col("part") == F.col("main"), F.col("least_open")).otherwise(F.col("least"))
+    rows = rows.withColumn("size", F.size("differences")).withColumn(
+        "use", F.col("size") + 1 - F.greatest(F.lit(1), F.ceil((F.col("w") + other - 9 * F.col("c")) / 9).cast("int"))).filter("use > 0")
+    each = rows.select("g", "rep", "part", "main", "c", "w", "size", "use", F.explode("differences").alias("token"))
+    often = each.groupBy("g", "token").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    # a difference that one member has alone fills its prefix but joins with nothing: of the others, those come first that few have
+    own = each.join(often, ["g", "token"])
+    shared = own.groupBy("g", "rep").agg(F.count(F.lit(1)).alias("shared"))
+    place = F.row_number().over(Window.partitionBy("g", "rep").orderBy("often", "token"))
+    lists = own.withColumn("place", place).join(shared, ["g", "rep"]).filter(F.col("place") <= F.col("use") - (F.col("size") - F.col("shared")))
+    lists = written(lists.withColumn("rest", F.col("size") - F.col("use")).select("g", "token", "rep", "part", "main", "c", "w", "rest"), "difference-lists")
+    a = lists.filter("part != main").select("g", "token", "c", "main", *[F.col(x).alias(f"{x}_a") for x in ("rep", "part", "w", "rest")])
+    b = lists.select(F.col("g").alias("_g"), F.col("token").alias("_t"), *[F.col(x).alias(f"{x}_b") for x in ("rep", "part", "w", "rest")])
+    met = a.join(b, (a.g == F.col("_g")) & (a.token == F.col("_t")) & (F.col("part_a") != F.col("part_b"))
+                 & ((F.col("part_b") == F.col("main")) | (F.col("rep_a") < F.col("rep_b"))))
+    counted = met.groupBy("rep_a", "rep_b", "c", "w_a", "w_b", "rest_a", "rest_b").agg(F.count(F.lit(1)).alias("met"))
+    reach = F.col("met") + F.greatest("rest_a", "rest_b")
+    found = counted.filter(9 * reach >= F.col("w_a") + F.col("w_b") - 9 * F.col("c")).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+    return stars, found
+
+
 def _head() -> Column:
     """A row as the head of a component: the smallest is the one with the smallest id."""
     return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
@@ -224,27 +281,38 @@ def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     best = (stars.filter(5 * F.col("met") >= STRONG * F.col("small")).groupBy("b")
             .agg(F.max_by("a", F.struct("met", -F.col("a"))).alias("a")))
     near = written(best.select("a", "b"), "near")
-    links = _verified(near, texts, reps)
+    sets_near = _shingles(near, texts, reps)
+    links = _linked(near, sets_near)
     labels = connected_components(links)
+    stars, inside = _of_groups(near, sets_near, labels)
 
     marked = lists.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("label", "rep")).drop("label")
+    marked = marked.join(near.select(F.col("b").alias("rep"), F.col("a").alias("g")), "rep", "left").withColumn("g", F.coalesce("g", "rep"))
     marked = written(marked, "marked")
-    parts = marked.groupBy("token", "part").agg(F.count(F.lit(1)).alias("m"))
-    mixed = written(parts.groupBy("token").agg(F.max_by("part", F.struct("m", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
-                    .filter("parts > 1").select("token", "main"), "mixed")
-    rows = written(marked.join(mixed, "token"), "open")
-    a = rows.filter("part != main").select("token", F.col("rep").alias("ra"), F.col("n").alias("na"), F.col("part").alias("pa"))
-    b = rows.select("token", F.col("rep").alias("rb"), F.col("n").alias("nb"), F.col("part").alias("pb"), "main")
-    met = a.join(b, (a.token == b.token) & (F.col("pa") != F.col("pb")) & _size_near(F.col("na"), F.col("nb"))
-                 & ((F.col("pb") == F.col("main")) | (F.col("ra") < F.col("rb"))))
-    swap = F.col("ra") > F.col("rb")
+
+    def largest(of: str, name: str) -> DataFrame:
+        """Per list: the ``of`` that most of its sets have, how many, and how many kinds there are."""
+        counts = marked.groupBy("token", of).agg(F.count(F.lit(1)).alias("m"))
+        return counts.groupBy("token").agg(F.max(F.struct("m", of)).alias(name), F.count(F.lit(1)).alias(f"{name}s")).filter(f"{name}s > 1")
+    mixed = written(largest("part", "p").join(largest("g", "q"), "token").select("token", "p", "q"), "mixed")
+    by_group = F.col("q.m") > F.col("p.m")
+    core = F.when(by_group, F.col("g") == F.col("q.g")).otherwise(F.col("part") == F.col("p.part"))
+    rows = written(marked.join(mixed, "token").select("token", "rep", "n", "part", "g", core.alias("core")), "open")
+    a = rows.filter("NOT core").select("token", *[F.col(x).alias(f"{x}a") for x in ("rep", "n", "part", "g")])
+    b = rows.select("token", "core", *[F.col(x).alias(f"{x}b") for x in ("rep", "n", "part", "g")])
+    known = (F.col("ga") == F.col("gb")) | (F.col("ga") == F.col("repb")) | (F.col("gb") == F.col("repa"))
+    met = a.join(b, (a.token == b.token) & (F.col("parta") != F.col("partb")) & ~known & _size_near(F.col("na"), F.col("nb"))
+                 & (F.col("core") | (F.col("repa") < F.col("repb"))))
+    swap = F.col("repa") > F.col("repb")
     pick = lambda x, y: F.when(swap, F.col(x)).otherwise(F.col(y))
-    counted = met.groupBy(pick("rb", "ra").alias("a"), pick("ra", "rb").alias("b"), pick("nb", "na").alias("na"), pick("na", "nb").alias("nb")).agg(
+    counted = met.groupBy(pick("repb", "repa").alias("a"), pick("repa", "repb").alias("b"), pick("nb", "na").alias("na"), pick("na", "nb").alias("nb")).agg(
         F.count(F.lit(1)).alias("met"))
     rest = lambda n: n - prefix_size_column(n)
     reach = F.col("met") + F.greatest(rest(F.col("na")), rest(F.col("nb")))
-    more = _verified(written(counted.filter(9 * reach >= 4 * (F.col("na") + F.col("nb"))).select("a", "b"), "candidates"), texts, reps)
-    labels = connected_components(links.union(more))
+    across = counted.filter(9 * reach >= 4 * (F.col("na") + F.col("nb"))).select("a", "b")
+    candidates = written(across.union(inside), "candidates")
+    more = _linked(candidates, _shingles(candidates, texts, reps))
+    labels = connected_components(links.union(more).union(stars))
 
     heads = reps.select("rep", "head").join(labels, F.col("rep") == F.col("node"))
     first = heads.groupBy("label").agg(F.min("head").alias("least"))
