@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.running import HOT_ROWS, running, with_group_stats
+from tidemark.session import ensure_checkpoint_dir
+
+VALUE_BLOCKS = 1024
+BROADCAST_VALUES = 1_000_000
 
 
 def pid_signal(df: DataFrame, series: str, order: str, measured: str, block: Column, *, kp: float = 1.0,
@@ -60,18 +65,42 @@ def every_nth(df: DataFrame, n: int, episode: str = "episode") -> DataFrame:
     return df.filter(F.pmod(F.col(episode), F.lit(n)) == 0)
 
 
+def numbered_values(source: DataFrame, value: Column, name: str) -> DataFrame:
+    """The distinct values of a column, NULL aside, numbered from 0 without gaps: ``name`` and ``_i``.
+
+    Values are numbered inside blocks of their hashes, and the counts of earlier blocks are added; a task
+    holds a block.
+    """
+    values = source.select(value.alias(name)).filter(F.col(name).isNotNull()).distinct()
+    values = values.withColumn("_block", F.pmod(F.xxhash64(name), F.lit(VALUE_BLOCKS)))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = values.groupBy("_block").agg(F.count(F.lit(1)).alias("_n")).select(  # a row per block
+        "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    inside = F.row_number().over(Window.partitionBy("_block").orderBy(name)) - 1
+    return values.withColumn("_in", inside).join(F.broadcast(sizes), "_block").select(name, (F.col("_first") + F.col("_in")).alias("_i"))
+
+
 def cross_grid(params: Mapping[str, Column], source: DataFrame) -> DataFrame:
     """Every combination of the distinct values of some columns of ``source``.
 
-    The values are collected into one row by a partial aggregate, then exploded one
-    after the other, so there is no product of two tables. The row holds the distinct
-    values of each parameter; the result has their product, which is far larger.
+    Values are numbered once per parameter. A combination is a number below the product of their counts, and its
+    digits, in the mixed base of the counts, are looked up as the values. So no row holds a set
+    of values, and the product is cut into tasks like any range. A list of values is broadcast up to a million of them.
     """
-    sets = source.agg(*[F.array_sort(F.collect_set(c)).alias(n) for n, c in params.items()])
-    out = sets
-    for n in params:
-        out = out.withColumn(n, F.explode(n))
-    return out
+    spark = source.sparkSession
+    ensure_checkpoint_dir(spark)
+    lists = {n: numbered_values(source, c, n).checkpoint() for n, c in params.items()}
+    sizes = {n: v.count() for n, v in lists.items()}
+    total = math.prod(sizes.values())
+    if total >= 1 << 63:
+        raise ValueError(f"{total} combinations")
+    out, stride = spark.range(total), 1
+    for n, size in reversed(sizes.items()):
+        digit = F.pmod(F.call_function("div", F.col("id"), F.lit(stride).cast("bigint")), F.lit(max(size, 1)).cast("bigint"))
+        values = F.broadcast(lists[n]) if size <= BROADCAST_VALUES else lists[n]
+        out = out.join(values, digit == F.col("_i")).drop("_i")
+        stride *= size
+    return out.select(*params)
 
 
 def exact_mean(column: str, digits: int = 8) -> Column:

@@ -42,8 +42,8 @@ def sync(table: VersionedTable, source: Source, broadcast_rows: int = SMALL_CHAN
     """Full load without state or data, otherwise merge the changes after the last LSN.
 
     The LSN of a full load is read before the rows, so a change that arrives in
-    between is applied again by the next run instead of lost. Only the last LSN and
-    the control row come to the driver.
+    between is applied again by the next run instead of lost. A ``HashedTable`` rewrites only the
+    parts that the changes touch. Only the last LSN and the control row come to the driver.
     """
     if source.changes is None:
         raise ValueError(f"change capture is not enabled for {table.name}")
@@ -57,8 +57,8 @@ def sync(table: VersionedTable, source: Source, broadcast_rows: int = SMALL_CHAN
     if high is None or high <= last:
         return SyncResult("unchanged", state["version"], last, state["row_count"])
     changes = cdc.read_changes(log, last, high, after=True, min_lsn=source.min_lsn)
-    merged = cdc.merge_cdc(table.read(), changes, source.keys, broadcast_rows=broadcast_rows)
-    row = table.write(merged, last_lsn=high)
+    row = table.rewrite(changes.select(*source.keys),
+                        lambda current: cdc.merge_cdc(current, changes, source.keys, broadcast_rows=broadcast_rows), high)
     return SyncResult("merged", row["version"], row["last_lsn"], row["row_count"])
 
 

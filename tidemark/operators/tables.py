@@ -7,7 +7,7 @@ from the old one and written next to it.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -105,10 +105,17 @@ class VersionedTable:
         old = self.state()
         if old is None:
             raise ValueError(f"table {self.name} has no data")
-        return self._commit(old["version"] + 1, old["path"], last_lsn, None, old)
+        return self._commit(old["version"] + 1, old["path"], last_lsn, None, old, old["row_count"])
 
-    def _commit(self, version, path, last_lsn, batch_id, old) -> Row:
-        rows = self.spark.read.parquet(path).count()
+    def rewrite(self, touching: DataFrame, apply: Callable[[DataFrame], DataFrame], last_lsn: str | None = None,
+                batch_id: int | None = None) -> Row:
+        """The next version is what ``apply`` makes of the rows; ``touching`` holds the keys it changes, which
+        a table that is written whole has no use for."""
+        return self.write(apply(self.read()), last_lsn, batch_id)
+
+    def _commit(self, version, path, last_lsn, batch_id, old, rows: int | None = None) -> Row:
+        if rows is None:
+            rows = self.spark.read.parquet(path).count()
         control = self.spark.range(1).select(
             F.lit(self.name).alias("table"), F.lit(version).cast("bigint").alias("version"),
             F.lit(path).alias("path"),

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidemark.functions import lsn
+from tidemark.operators import digests
 from tidemark.operators import query as Q
 from tidemark.operators import tables as TB
 from tidemark.operators.enrich import list_envelope
@@ -113,6 +114,19 @@ def a1(t):
             .unionByName(TB.reconcile(t.orders, t.lineitem).select(F.lit("orders").alias("side"), "*")))
 
 
+@query("a1_keys", """WITH edited AS (SELECT c_custkey + CASE WHEN c_custkey % 97 = 5 THEN 10000000 ELSE 0 END AS c_custkey, c_name,
+  CASE WHEN c_custkey % 53 = 1 THEN 'XX' ELSE c_mktsegment END AS c_mktsegment FROM customer WHERE c_custkey % 101 <> 7)
+SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey, CASE WHEN b.c_custkey IS NULL THEN 'missing' WHEN a.c_custkey IS NULL THEN 'extra' ELSE 'changed' END AS status
+FROM (SELECT c_custkey, c_name, c_mktsegment FROM customer) a FULL OUTER JOIN edited b ON a.c_custkey = b.c_custkey
+WHERE a.c_custkey IS NULL OR b.c_custkey IS NULL OR a.c_mktsegment <> b.c_mktsegment OR a.c_name <> b.c_name""")
+def a1_keys(t):
+    """Which keys differ between the customers and an edited copy."""
+    rows = t.customer.select("c_custkey", "c_name", "c_mktsegment")
+    edited = t.customer.filter("c_custkey % 101 <> 7").selectExpr(
+        "c_custkey + IF(c_custkey % 97 = 5, 10000000, 0) AS c_custkey", "c_name", "IF(c_custkey % 53 = 1, 'XX', c_mktsegment) AS c_mktsegment")
+    return digests.reconcile_rows(rows, edited, ["c_custkey"]).select("c_custkey", "status")
+
+
 @query("a2", "SELECT count(*) AS n FROM lineitem")
 def a2(t):
     return Q.count_rows(t.lineitem)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import lsn
-from tidemark.operators import cdc, tables
+from tidemark.operators import cdc, digests, tables, typed
 from tidemark.plans.basics import scratch
-from tidemark.plans.registry import query
+from tidemark.plans.registry import ORACLES, query
 from tidemark.sources import files
 
 KEYS = ["k"]
@@ -181,6 +181,16 @@ def d10(t):
     return plain(cdc.capture_changes(base, rows, KEYS, "0x7"))
 
 
+@query("d10_digests")
+def d10_digests(t):
+    """The same by digests: only ranges of keys that differ are joined."""
+    rows = d3(t).filter("_action <> 'delete'").drop("_action")
+    return plain(digests.capture_changes(t.fixture("base"), rows, KEYS, "0x7"))
+
+
+ORACLES["d10_digests"] = ORACLES["d10"]
+
+
 def envelopes(t):
     """The change log as envelope messages; a delete is followed by a tombstone."""
     c = plain(t.fixture("chg")).filter("op <> 3")
@@ -235,6 +245,33 @@ def s19_schemas(t):
     return tables.union_all(*parts)
 
 
+@query("d12_variant")
+def d12_variant(t):
+    """The rows without a schema given: opened as VARIANT, then typed by what they hold."""
+    log = typed.open_envelope(envelopes(t), "body")
+    return log.select(*[F.variant_get("row", f"$.{f.split()[0]}", f.split()[1]).alias(f.split()[0]) for f in ROW.split(", ")],
+                      "__op", "__table", "__source_ts_ns", "__db", "__deleted", "__error")
+
+
+ORACLES["d12_variant"] = ORACLES["d12"]
+
+
+@query("s19_typed", """SELECT k, custkey, status, amount, op = 1 AS removed, lsn >= '0x00000000000000040000' AS late FROM chg WHERE op <> 3""", using=("chg",))
+def s19_typed(t):
+    """Two batches of envelopes whose schema nobody gives: the second has a column more, and whole amounts in the first only."""
+    tables_ = typed.TypedTables(t.spark, scratch(t.spark, "s19-typed"))
+    c = plain(t.fixture("chg")).filter("op <> 3").selectExpr("*", "lsn >= '0x00000000000000040000' AS late")
+    for batch, rows in enumerate(("NOT late", "late")):
+        extra = ", 'late', late" if batch else ""
+        row = f"named_struct('k', k, 'custkey', custkey, 'status', status, 'amount', amount{extra})"
+        body = c.filter(rows).selectExpr(f"""to_json(named_struct('before', IF(op = 1, {row}, NULL), 'after', IF(op <> 1, {row}, NULL),
+            'op', IF(op = 1, 'd', 'u'), 'source', named_struct('table', 'orders', 'ts_ns', 1, 'db', 'main'))) AS body""")
+        tables_.land(typed.open_envelope(body), batch, F.col("__table"))
+    got = tables_.read("orders")
+    return got.select("k", "custkey", "status", F.col("amount").cast("double").alias("amount"), (F.col("__op") == "d").alias("removed"),
+                      F.coalesce("late", F.lit(False)).alias("late"))
+
+
 @query("a3", """SELECT 'dbo_' || status AS instance, min(lsn) AS min_lsn, (SELECT max(lsn) FROM chg) AS max_lsn
 FROM chg GROUP BY 1""", using=("chg",))
 def a3(t):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import catalog, cdc, regression, sync, tables
+from tidemark.operators.hashed import HashedTable
 from tidemark.operators.running import id_block
 from tidemark.operators.tables import VersionedTable
 from tidemark.plans import changes, series
@@ -155,7 +156,7 @@ def d17(t):
 @query("d18", changes.MERGED, using=("base", "chg", "w1", "merged"))
 def d18(t):
     """Full copy as of the first LSN, then one incremental run, then one without changes."""
-    table = VersionedTable(t.spark, scratch(t.spark, "d18"), "orders")
+    table = HashedTable(t.spark, scratch(t.spark, "d18"), "orders", changes.KEYS, 8)
     table.write(t.fixture("base"), last_lsn=FIRST_LSN)
     merged, again = sync.sync(table, order_source(t)), sync.sync(table, order_source(t))
     if (merged.action, again.action) != ("merged", "unchanged"):
@@ -167,7 +168,7 @@ def d18(t):
 UNION ALL SELECT 'orders', 'merged', (SELECT count(*) FROM merged)""", using=("base", "chg", "w1", "merged"))
 def d19(t):
     root = scratch(t.spark, "d19")
-    orders, customer = VersionedTable(t.spark, root, "orders"), VersionedTable(t.spark, root, "customer")
+    orders, customer = HashedTable(t.spark, root, "orders", changes.KEYS, 8), HashedTable(t.spark, root, "customer", ["c_custkey"], 8)
     orders.write(t.fixture("base"), last_lsn=FIRST_LSN)
 
     def log():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.tables import VersionedTable
+from tidemark.operators.hashed import HashedTable
 from tidemark.plans import changes, fixtures, messages, series
 from tidemark.plans.basics import scratch
 from tidemark.plans.registry import ORACLES, StreamTables, query
@@ -45,7 +45,7 @@ ORACLES["t1"] = ORACLES["d12"]
 @query("t2", changes.MERGED, using=("base", "chg", "w1", "merged"))
 def t2(t):
     root = scratch(t.spark, "t2")
-    table = VersionedTable(t.spark, root, "orders")
+    table = HashedTable(t.spark, root, "orders", changes.KEYS, 8)
     table.write(t.fixture("base"))
     ST.stream_merge(streams(t).fixture("chg"), table, changes.KEYS, f"{root}/state", broadcast_rows=200_000)
     return table.read()
@@ -98,7 +98,7 @@ def t6(t):
   SELECT user_id, arg_max(value, event_id) AS v FROM events GROUP BY 1) ON c_custkey = user_id""")
 def t9(t):
     root = scratch(t.spark, "t9")
-    table = VersionedTable(t.spark, root, "balances")
+    table = HashedTable(t.spark, root, "balances", ["c_custkey"], 8)
     table.write(t.customer.select("c_custkey", "c_acctbal"))
     patches = streams(t).events.select(F.col("user_id").alias("c_custkey"), F.col("value").alias("c_acctbal"), "event_id")
     ST.run_available(patches, f"{root}/state", ST.device_state_batch(table, "c_custkey", "c_acctbal", "event_id"))

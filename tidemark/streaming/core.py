@@ -104,7 +104,8 @@ def merge_batch(table: VersionedTable, keys: Sequence[str], broadcast_rows: int
 
     The batch id is committed together with the data, so a batch that is delivered
     again after a failure is skipped. ``history`` gets one row per schema seen. A column
-    that first comes with a change is added to the table.
+    that first comes with a change is added to the table. A ``HashedTable`` rewrites only the parts
+    with keys of the batch.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         state = table.state()
@@ -112,13 +113,17 @@ def merge_batch(table: VersionedTable, keys: Sequence[str], broadcast_rows: int
             return
         if state is None:
             raise ValueError(f"table {table.name} needs a full load first")
-        top = batch.agg(F.max(f"`{cdc.LSN}`").alias("l")).first()["l"]
-        if top is None:
-            return
-        if history is not None:
-            record_schema(history, table.name, batch.schema, batch_id)
-        last = max(top, state["last_lsn"])
-        table.write(cdc.merge_cdc(table.read(), batch, keys, broadcast_rows=broadcast_rows, new_columns="add"), last, batch_id)
+        batch = batch.persist()  # the source is read once
+        try:
+            top = batch.agg(F.max(f"`{cdc.LSN}`").alias("l")).first()["l"]
+            if top is None:
+                return
+            if history is not None:
+                record_schema(history, table.name, batch.schema, batch_id)
+            table.rewrite(batch.select(*keys), lambda current: cdc.merge_cdc(
+                current, batch, keys, broadcast_rows=broadcast_rows, new_columns="add"), max(top, state["last_lsn"]), batch_id)
+        finally:
+            batch.unpersist()
     return merge
 
 
@@ -210,8 +215,11 @@ def device_state_batch(table: VersionedTable, key: str, value: str, order: str)
         state = table.state()
         if state["batch_id"] is not None and state["batch_id"] >= batch_id:
             return
-        last = batch.groupBy(key).agg(F.max_by(value, order).alias(value))
-        table.write(lookup_update(table.read(), last, key, value), batch_id=batch_id)
+        last = batch.groupBy(key).agg(F.max_by(value, order).alias(value)).persist()
+        try:
+            table.rewrite(last.select(key), lambda current: lookup_update(current, last, key, value), batch_id=batch_id)
+        finally:
+            last.unpersist()
     return patch
 
 
