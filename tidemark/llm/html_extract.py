@@ -42,7 +42,11 @@ INLINE = frozenset(("a abbr acronym b bdi bdo big cite code data del dfn em font
                     "mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover").split())
 #: What may stand in the head; any other start tag, and text, ends a head that was not closed.
 IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_MARKUP = r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+#: A tag ends at the first > outside a quoted value; quotes mean something after an equals sign only. It may run to the end of the page.
+_TOKEN = re.compile(_MARKUP + r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)*+)(?:(>)|\Z)""", re.S)
+#: The same, where a tag ends at the first >.
+_PLAIN = re.compile(_MARKUP + r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(>)", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"[\s ]+")
 BUCKETS = 192
@@ -50,10 +54,51 @@ NUMBERS = 8
 PATH_DEPTH = 12
 
 
+class _Open:
+    """The open elements, with what is asked of all of them kept as counts."""
+
+    def __init__(self) -> None:
+        self.items: list[tuple[str, tuple[str, ...]]] = []
+        self.count: dict[str, int] = {}
+        self.silent = 0
+
+    def push(self, tag: str, names: tuple[str, ...]) -> None:
+        self.items.append((tag, names))
+        self.count[tag] = self.count.get(tag, 0) + 1
+        self.silent += tag in SILENT
+
+    def pop(self) -> str:
+        tag, _ = self.items.pop()
+        self.count[tag] -= 1
+        self.silent -= tag in SILENT
+        return tag
+
+    def top(self) -> str:
+        return self.items[-1][0] if self.items else ""
+
+    def close(self, tag: str) -> None:
+        """Ends the innermost element of that name, and all inside it; an end tag without one says nothing."""
+        if self.count.get(tag):
+            while self.pop() != tag:
+                pass
+
+    def path(self) -> tuple[str, ...]:
+        """Names of the outermost and innermost elements, as far as ``vectors`` looks at them."""
+        def names(items) -> list[str]:
+            return [n for t, own in items for n in (t, *own)]
+        if len(self.items) <= 2 * PATH_DEPTH:
+            return tuple(names(self.items))
+        return (*names(self.items[:PATH_DEPTH])[:PATH_DEPTH], *names(self.items[-PATH_DEPTH:])[-PATH_DEPTH:])
+
+
 def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
-    """Text, path and link share of every leaf block, in page order."""
+    """Text, path and link share of every leaf block, in page order; linear in the length of the page.
+
+    A tag that quotes keep open to the end of the page ends at its first >, and so do all after it; without any >
+    it is text.
+    """
     out: list[tuple[str, tuple[str, ...], float]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack = _Open()
     parts: list[str] = []
     linked = total = 0
     path: tuple[str, ...] = ()
@@ -66,30 +111,36 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
             out.append((text, path, linked / max(total, 1)))
         parts, linked, total = [], 0, 0
 
-    def say(raw: str) -> None:
+    def say(raw: str, decoded: bool = False) -> None:
         nonlocal linked, total, path
-        if head and stack and stack[-1][0] == "head" and raw.strip():
+        if head and stack.top() == "head" and raw.strip():
             stack.pop()
-        if not raw or any(t in SILENT for t, _ in stack):
+        if not raw or stack.silent:
             return
         if not total and not raw.isspace():
-            path = tuple(n for t, names in stack for n in (t, *names))
-        parts.append(html.unescape(raw))
+            path = stack.path()
+        parts.append(raw if decoded else html.unescape(raw))
         size = len(raw.strip())
         total += size
-        linked += size * any(t == "a" for t, _ in stack)
+        linked += size * bool(stack.count.get("a"))
 
-    at, end = 0, len(page)
+    at, end, token = 0, len(page), _TOKEN
+    last = page.rfind(">") + 1  # no tag ends behind it
     while at < end:
-        m = _TOKEN.search(page, at)
+        m = token.search(page, at)
+        if m and m[3] and not m[5]:  # open at the end
+            if m.start() >= last:
+                say(page[at:])
+                break
+            token = _PLAIN
+            continue
         say(page[at:m.start()] if m else page[at:])
         if not m:
             break
         at = m.end()
         if m[3] is None:
             if m[1]:
-                parts.append(m[1])
-                total += len(m[1].strip())
+                say(m[1], True)
             continue
         tag = m[3].lower()
         if tag == "br":
@@ -98,26 +149,24 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
         if tag not in INLINE:
             close()
         if m[2]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            stack.close(tag)
         elif tag not in VOID and not m[4].endswith("/"):
             if tag == "head":
                 head = True
             elif head and tag not in IN_HEAD:
                 head = False
-                del stack[next((k for k, (t, _) in enumerate(stack) if t == "head"), len(stack)):]
+                while stack.count.get("head"):
+                    stack.pop()
             if tag not in INLINE:
-                while stack and (stack[-1][0] in INLINE or stack[-1][0] == "p"):
+                while stack.top() in INLINE or stack.top() == "p":
                     stack.pop()
-                if tag in ("li", "tr", "td", "th", "dt", "dd") and stack and stack[-1][0] == tag:
+                if tag in ("li", "tr", "td", "th", "dt", "dd") and stack.top() == tag:
                     stack.pop()
             names = _NAMES.findall(m[4]) if m[4] else ()
-            stack.append((tag, tuple(n for found in names for n in re.findall("[a-z]+", "".join(found).lower()))))
+            stack.push(tag, tuple(n for found in names for n in re.findall("[a-z]+", "".join(found).lower())))
             if tag in RAW:
-                last = page.lower().find(f"</{tag}", at) if len(page) - at < 4096 else _find_end(page, tag, at)
-                at = end if last < 0 else last
+                stop = _find_end(page, tag, at)
+                at = end if stop < 0 else stop
     close()
     return out
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.registry import query
-from tidemark.llm.text import matches_if, span_text, whole
+from tidemark.llm.text import matches_if, outside, span_text, whole
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{14,}"
@@ -99,7 +99,8 @@ def mean_ratio(value: Column) -> Column:
         by_code[ord(c)] = i
     states = F.split(F.lit(",".join(map(str, by_code))), ",").cast("array<int>")
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in ratio.ravel())), ",").cast("array<double>")
-    codes = F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: F.get(states, F.ascii(F.substring(value, i, F.lit(1)))))
+    letters = F.filter(F.split(value, ""), lambda c: c != "")  # one pass; a substring by position would walk from the start each time
+    codes = F.transform(letters, lambda c: F.get(states, F.ascii(c)))
     total = F.aggregate(codes, F.struct(F.lit(-1).alias("p"), F.lit(0.0).alias("s")), lambda acc, c: F.struct(
         c.alias("p"), (acc.s + F.when(acc.p < 0, F.lit(0.0)).otherwise(F.get(table, acc.p * STATES + c))).alias("s")),
         lambda acc: acc.s)
@@ -125,7 +126,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     said = lambda name, rank: F.transform(F.col(name), lambda m: F.struct(
         m.start.alias("start"), F.lit(rank).alias("rank"), m.end.alias("end"), F.lit(name).alias("kind"), m.value.alias("value")))
     rows = rows.withColumn("base", F.concat(*[said(k, i) for i, k in enumerate(kinds)]))
-    free = F.filter(F.col("candidates"), lambda c: ~F.exists(F.col("base"), lambda b: (c.start < b.end) & (b.start < c.end)))
+    free = outside(F.col("candidates"), F.col("base"))
     rows = rows.withColumn("free", free).withColumn("random", F.filter(F.col("free"), lambda c: mean_ratio(c.value) > limit))
     return rows.select("doc_id", F.concat(F.col("base"), said("random", 3)).alias("found"))
 

@@ -70,6 +70,25 @@ def matches_if(text: Column, may: Column, pattern: str) -> Column:
     return F.when(may, matches(text, pattern)).otherwise(F.array().cast(NO_MATCHES)).cast(NO_MATCHES)
 
 
+def _below(numbers: Column, x: Column, equal: bool) -> Column:
+    """How many of some sorted numbers are below ``x`` (or equal to it), by halving."""
+    def step(at: Column, k: Column) -> Column:
+        n = F.get(numbers, at + k - 1)
+        return F.when((at + k <= F.size(numbers)) & ((n <= x) if equal else (n < x)), at + k).otherwise(at)
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(26, -1, -1)]), F.lit(0), step)
+
+
+def outside(spans: Column, taken: Column) -> Column:
+    """Those of ``spans`` that overlap none of ``taken``; both arrays of structs with start and end.
+
+    A span overlaps as many as begin before its end, less those that end before it begins, which is
+    counted in sorted arrays, so that long texts with many spans of both kinds cost little more per span.
+    """
+    ends = F.struct(F.array_sort(F.transform(taken, lambda b: b.start)).alias("first"), F.array_sort(F.transform(taken, lambda b: b.end)).alias("last"))
+    free = let(ends, lambda e: F.filter(spans, lambda c: _below(e["first"], c.end, False) == _below(e["last"], c.start, True)))
+    return F.when((F.size(spans) == 0) | (F.size(taken) == 0), spans).otherwise(free)
+
+
 def span_text(spans: Column) -> Column:
     """kind:start:end of array<struct<start, rank, end, kind>>, sorted by start and rank, comma-joined."""
     said = F.transform(F.sort_array(spans), lambda s: F.concat_ws(
