@@ -211,3 +211,45 @@ def test_overlapping_pairs_of_very_different_boxes(spark):
     for tile in (None, (5.0, 5.0), (2000.0, 2000.0)):
         got = D.overlapping_pairs(dets, dets, ["image"], tile=tile, condition=F.col("a_id") < F.col("b_id")).select("a_id", "b_id").collect()
         assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_one_large_box_does_not_grow_the_plan(spark):
+    """Ten thousand tiles wide, in an image of small boxes."""
+    rnd = random.Random(6)
+    data = [(0, i, x, y, x + 4, y + 4, round(rnd.random(), 3), 0) for i in range(300) for x, y in [(rnd.uniform(0, 60), rnd.uniform(0, 60))]]
+    data += [(0, 1000, 0.0, 0.0, 40_000.0, 40_000.0, 0.99, 0), (0, 1001, 10.0, 0.0, 40_000.0, 39_000.0, 0.5, 0), (0, 1002, 0.0, 0.0, 30_000.0, 20_000.0, 0.98, 0)]
+    dets = spark.createDataFrame(data, SCHEMA)
+    level = D._level((8.0, 8.0), 1.0)
+    cells = D._cells(dets, (8.0, 8.0), 1.0, level, level + 3).groupBy("id", "_tl").count()
+    assert cells.agg(F.max("count")).first()[0] <= 4 and cells.groupBy("id").count().agg(F.max("count")).first()[0] == 4
+    for pairs_per_box in (0, 10**6):
+        got = D._rounds(dets.filter("score > 0.1"), ["image"], 0.45, (8.0, 8.0), pairs_per_box)
+        assert rows(got, "image", "id") == greedy(data, 0.45, 0.1, lambda r: r[0])
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.01, 0.2, 0.9])
+def test_levels_for_any_threshold(spark, threshold):
+    rnd = random.Random(8)
+    data = []
+    for i in range(200):
+        x, y, w, h = rnd.uniform(0, 100), rnd.uniform(0, 100), rnd.choice((2, 9, 70, 400)), rnd.choice((2, 9, 70, 400))
+        data.append((i % 2, i, x, y, x + w, y + h, round(rnd.random(), 2), 0))
+    dets = spark.createDataFrame(data, SCHEMA).filter("score > 0.1")
+    got = D._rounds(dets, ["image"], threshold, (4.0, 4.0), 0)
+    assert rows(got, "image", "id") == greedy(data, threshold, 0.1, lambda r: r[0])
+
+
+def test_copies_are_a_class(spark):
+    data = crowd(9, 150, 4)
+    dets = spark.createDataFrame(data, SCHEMA)
+    pairs = D.class_pairs(dets)
+    want = sorted((a[0], a[1], b[1]) for a in data for b in data if a[0] == b[0] and a[1] < b[1] and overlap(a, b) > 0)
+    assert rows(D.pairs_of_classes(pairs, D.box_classes(dets)), "image", "a_id", "b_id") == want
+    assert pairs.count() < len(want)
+
+
+def test_a_pile_of_equal_boxes_is_one_row(spark):
+    pile = spark.range(200_000).selectExpr("1 AS image", "CAST(id AS INT) AS id", "1.0D AS x1", "1.0D AS y1", "9.0D AS x2", "9.0D AS y2", "0.5D AS score", "0 AS cls")
+    got = D.class_pairs(pile.unionByName(spark.createDataFrame([(1, 300_000, 5.0, 5.0, 13.0, 13.0, 0.5, 0)], SCHEMA))).collect()
+    assert sorted((r.a_class, r.b_class, r.a_boxes, r.b_boxes) for r in got) == [(0, 0, 200_000, 200_000), (0, 300_000, 200_000, 1)]
+    assert D.class_pairs(pile.limit(0)).collect() == []

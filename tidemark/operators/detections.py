@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -58,11 +59,21 @@ def nms_rank(dets: DataFrame, image: str = "image", hot_rows: int | None = HOT_R
                            [image], hot_rows)
 
 
-def _covered_tiles(df: DataFrame, tile: Tile, offset: float) -> DataFrame:
-    def span(low: str, high: str, size: float) -> Column:
-        return F.sequence(F.floor(F.col(low) / size), F.floor((F.col(high) + offset) / size))
-    return df.withColumn("_tx", F.explode(span("x1", "x2", tile[0]))).withColumn(
-        "_ty", F.explode(span("y1", "y2", tile[1])))
+def _level(tile: Tile, offset: float) -> Column:
+    """The first level whose tiles are as large as the box; tiles double from level to level."""
+    x1, y1, x2, y2 = B.box()
+    ratio = F.greatest((x2 - x1 + offset) / tile[0], (y2 - y1 + offset) / tile[1], F.lit(1.0))
+    return F.ceil(F.log2(ratio)).cast("int")
+
+
+def _cells(df: DataFrame, tile: Tile, offset: float, level: Column, top: Column) -> DataFrame:
+    """The tiles of a box on its own level and those above, up to ``top``: at most four on each."""
+    size = [F.lit(float(s)) * F.pow(F.lit(2.0), F.col("_tl")) for s in tile]
+    cells = df.withColumn("_tl", F.explode(F.sequence(level, top)))
+    for name, low, high, s in (("_tx", "x1", "x2", size[0]), ("_ty", "y1", "y2", size[1])):
+        first, last = F.floor(F.col(low) / s), F.floor((F.col(high) + offset) / s)
+        cells = cells.withColumn(name, F.explode(F.when(first <= last, F.sequence(first, last))))
+    return cells
 
 
 def typical_tile(dets: DataFrame) -> Tile:
@@ -86,19 +97,11 @@ def overlapping_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], columns:
     """
     tile = tile or typical_tile(a)
 
-    def level() -> Column:
-        x1, y1, x2, y2 = B.box()
-        ratio = F.greatest((x2 - x1 + offset) / tile[0], (y2 - y1 + offset) / tile[1], F.lit(1.0))
-        return F.ceil(F.log2(ratio)).cast("int")
-    sides = [df.withColumn("_level", level()) for df in (a, b)]
+    sides = [df.withColumn("_level", _level(tile, offset)) for df in (a, b)]
     tops = [df.agg(F.max("_level").alias("m")).first()["m"] or 0 for df in (sides[:1] if a is b else sides)]
 
     def side(df: DataFrame, p: str) -> DataFrame:
-        size = [F.lit(float(s)) * F.pow(F.lit(2.0), F.col("_tl")) for s in tile]
-        cells = df.withColumn("_tl", F.explode(F.sequence("_level", F.lit(max(tops)))))
-        for name, low, high, s in (("_tx", "x1", "x2", size[0]), ("_ty", "y1", "y2", size[1])):
-            first, last = F.floor(F.col(low) / s), F.floor((F.col(high) + offset) / s)
-            cells = cells.withColumn(name, F.explode(F.when(first <= last, F.sequence(first, last))))
+        cells = _cells(df, tile, offset, F.col("_level"), F.lit(max(tops)))
         return cells.select(*keys, "_tl", "_tx", "_ty", F.col("_level").alias(p + "level"), *[F.col(c).alias(p + c) for c in (*columns, *CORNERS)])
     pairs = side(sides[0], "a_").join(side(sides[1], "b_"), [*keys, "_tl", "_tx", "_ty"])
     left, right = B.box("a_"), B.box("b_")
@@ -133,6 +136,40 @@ def pairwise_iou(dets: DataFrame, image: str = "image", tile: Tile | None = None
         large, large, [image], tile=tile, condition=F.col("a_id") < F.col("b_id")))
 
 
+def box_classes(dets: DataFrame, image: str = "image") -> DataFrame:
+    """image, id, ``class_id``: the smallest id of the boxes of the image with the same corners."""
+    corners = [F.col(c).alias(f"_{c}") for c in CORNERS]
+    first = dets.groupBy(F.col(image).alias("_image"), *corners).agg(F.min("id").alias("class_id"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (image, *CORNERS)])
+    return dets.select(image, "id", *CORNERS).join(first, same).select(image, "id", "class_id")
+
+
+def class_pairs(dets: DataFrame, image: str = "image", tile: Tile | None = None) -> DataFrame:
+    """Overlapping boxes of an image with copies counted, not listed: image, a_class, b_class, iou, a_boxes, b_boxes.
+
+    Boxes with the same corners are one class. A class of several boxes is paired with itself once, so a pile of
+    n copies is a row and not n * n / 2 of them. :func:`box_classes` gives the members and
+    :func:`pairs_of_classes` every pair.
+    """
+    classes = dets.groupBy(image, *CORNERS).agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("boxes"))
+    ensure_checkpoint_dir(dets.sparkSession)
+    classes = classes.checkpoint()
+    between = overlapping_pairs(classes, classes, [image], ("id", "boxes"), tile, condition=F.col("a_id") < F.col("b_id")).select(
+        image, F.col("a_id").alias("a_class"), F.col("b_id").alias("b_class"), "iou", "a_boxes", "b_boxes")
+    itself = classes.filter((F.col("boxes") > 1) & (B.intersection(B.box(), B.box()) > 0)).select(
+        image, F.col("id").alias("a_class"), F.col("id").alias("b_class"), B.iou(B.box(), B.box()).alias("iou"),
+        F.col("boxes").alias("a_boxes"), F.col("boxes").alias("b_boxes"))
+    return between.unionByName(itself)
+
+
+def pairs_of_classes(pairs: DataFrame, members: DataFrame, image: str = "image") -> DataFrame:
+    """The pairs of boxes (a_id < b_id) that some rows of :func:`class_pairs` stand for."""
+    one, two = (members.select(image, F.col("id").alias(f"_{p}"), F.col("class_id").alias(f"{p}_class")) for p in "ab")
+    all_of = pairs.join(one, [image, "a_class"]).join(two, [image, "b_class"]).filter(
+        (F.col("a_class") != F.col("b_class")) | (F.col("_a") < F.col("_b")))
+    return all_of.select(image, F.least("_a", "_b").alias("a_id"), F.greatest("_a", "_b").alias("b_id"), "iou")
+
+
 def nms(dets: DataFrame, iou_threshold: float = 0.45, score_threshold: float = 0.1, class_aware: bool = False,
         image: str = "image", cls: str = "cls", max_boxes: int = 2_000, tile: Tile | None = None) -> DataFrame:
     """Greedy suppression per image, or per image and class: in the order of falling
@@ -176,7 +213,10 @@ def _rounds(dets: DataFrame, keys: Sequence[str], threshold: float, tile: Tile |
     """Greedy suppression of large groups, decided in rounds over all of them at once.
 
     Copies of a box share its fate except that the best one suppresses the others, so
-    only that one is looked at. While the tiles are crowded, the best box of all its
+    only that one is looked at. A box lies in the tiles of its level, four at most, and of the few levels
+    above in which there may be boxes that it overlaps by more than the threshold: those are at most
+    1 / threshold times as wide or high. Two such boxes meet in a tile of the larger one's level.
+    While the tiles are crowded, the best box of all its
     tiles stays and removes what it overlaps: a tile has one best box, so a round is
     linear in the boxes however many of them lie on top of each other. Once at most
     ``pairs_per_box`` neighbours per box are left, the rest is decided on the table of
@@ -190,19 +230,26 @@ def _rounds(dets: DataFrame, keys: Sequence[str], threshold: float, tile: Tile |
     boxes = dets.withColumn("_alone", alone).groupBy(*keys, *CORNERS, "_alone").agg(F.min_by(F.struct(*rest), rank).alias("_b")).select(
         *keys, *CORNERS, "_b.*").withColumn("n", F.struct(*keys, "id")).checkpoint()
     tile = tile or typical_tile(boxes)
+    level = _level(tile, 1.0)
+    highest = boxes.agg(F.max(level).alias("m")).first()["m"] or 0
+    apart = min(highest, math.ceil(math.log2(1 / threshold)) + 1) if threshold > 0 else highest
+    place = [*keys, "_tl", "_tx", "_ty"]
+
+    def placed(df: DataFrame) -> DataFrame:
+        return _cells(df, tile, 1.0, level, level + apart)
     alive, kept = boxes, []
     while True:
-        cells = _covered_tiles(alive, tile, 1.0)
-        best = cells.groupBy(*keys, "_tx", "_ty").agg(F.count(F.lit(1)).alias("c"), F.min_by("n", rank).alias("n"))
+        cells = placed(alive)
+        best = cells.groupBy(*place).agg(F.count(F.lit(1)).alias("c"), F.min_by("n", rank).alias("n"))
         load = best.agg(F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("pairs")).first()["pairs"]
         if load is None or load <= pairs_per_box * alive.count():
             break
         won = best.groupBy("n").agg(F.count(F.lit(1)).alias("_won"))
         covered = cells.groupBy("n").agg(F.count(F.lit(1)).alias("_all"))
         roots = won.join(covered, "n").filter("_won = _all").select("n").checkpoint()
-        winners = _covered_tiles(boxes.join(roots, "n", "left_semi"), tile, 1.0).select(
-            *keys, "_tx", "_ty", F.col("n").alias("a_n"), *[F.col(c).alias("a_" + c) for c in CORNERS])
-        hit = cells.join(winners, [*keys, "_tx", "_ty"]).filter(
+        winners = placed(boxes.join(roots, "n", "left_semi")).select(
+            *place, F.col("n").alias("a_n"), *[F.col(c).alias("a_" + c) for c in CORNERS])
+        hit = cells.join(winners, place).filter(
             (F.col("n") != F.col("a_n")) & (B.iou(B.box("a_"), B.box(), 1.0) > threshold)).select("n").distinct()
         alive = alive.join(roots.unionAll(hit), "n", "left_anti").checkpoint()
         kept.append(roots)

@@ -56,6 +56,14 @@ def j8(t):
         "image", "a_id", "b_id", "iou")
 
 
+@query("j8_classes", f""", classes AS (SELECT image, x1, y1, x2, y2, min(id) AS id, count(*) AS boxes FROM box GROUP BY ALL)
+SELECT a.image, a.id AS a_class, b.id AS b_class, round({iou_sql('a', 'b')}, 9) AS iou, a.boxes AS a_boxes, b.boxes AS b_boxes
+FROM classes a JOIN classes b ON a.image = b.image AND (a.id < b.id OR a.id = b.id AND a.boxes > 1) WHERE {iou_sql('a', 'b')} > 0""", using=("box",))
+def j8_classes(t):
+    """Boxes on a coarse grid, so that there are copies."""
+    return D.class_pairs(t.fixture("box")).withColumn("iou", F.round("iou", 9))
+
+
 NAMES = "['person', 'bicycle', 'car', 'motorcycle', 'airplane']"
 
 
