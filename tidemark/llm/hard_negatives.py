@@ -57,13 +57,9 @@ def segments(x: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     return mean * np.sqrt(length), np.sqrt(np.add.reduceat(apart * apart, cuts[:-1], axis=1))
 
 
-def exact_scores(rows: np.ndarray, vector: np.ndarray) -> np.ndarray:
-    """Inner products of integers as longs: by doubles where they are exact, else by Python's integers."""
-    most = np.abs(rows).max(initial=0) * float(np.abs(vector).max(initial=0)) * max(rows.shape[1], 1)
-    if most < 2.0 ** 53:
-        return (rows.astype(np.float64) @ vector.astype(np.float64)).astype(np.int64)
-    whole = [int(v) for v in vector]
-    return np.array([max(-_LONG - 1, min(_LONG, sum(int(a) * b for a, b in zip(row, whole)))) for row in rows], np.int64)
+def _products(rows: np.ndarray, of: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """Inner products of a vector with some rows; of most of them they are cheaper by taking all."""
+    return (of @ vector)[rows] if 2 * len(rows) > len(of) else of[rows] @ vector
 
 
 @dataclass
@@ -76,10 +72,19 @@ class Block:
     vectors: np.ndarray
 
     def __post_init__(self) -> None:
-        x = self.vectors.astype(np.float64)
-        dim = x.shape[1]
-        self.levels = [(p, *segments(x, p)) for p in LEVELS if 2 * p <= dim]
+        self.doubles = x = self.vectors.astype(np.float64)
+        self.levels = [(p, *segments(x, p)) for p in LEVELS if 2 * p <= x.shape[1]]
         self.norms = np.sqrt((x * x).sum(1))
+        self.most = float(np.abs(x).max(initial=0.0)) * max(x.shape[1], 1)
+
+    def scores(self, rows: np.ndarray, vector: np.ndarray) -> np.ndarray:
+        """Inner products of integers as longs: by doubles where they are exact, else by Python's integers."""
+        x = vector.astype(np.float64)
+        if self.most * np.abs(x).max(initial=0.0) < 2.0 ** 53:
+            return _products(rows, self.doubles, x).astype(np.int64)
+        whole = [int(v) for v in vector]
+        exact = (sum(int(a) * b for a, b in zip(row, whole)) for row in self.vectors[rows])
+        return np.array([max(-_LONG - 1, min(_LONG, e)) for e in exact], np.int64)
 
     def bounds(self, vector: np.ndarray) -> list[Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]]:
         """Per level: what bounds the scores of some rows from below and above, rounding included."""
@@ -90,8 +95,8 @@ class Block:
             m, d = (v[0] for v in segments(x, parts))
 
             def of(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-                middle, reach = mean[rows] @ m, apart[rows] @ d
-                reach += 1e-9 * (1 + norm * self.norms[rows])
+                middle, reach = _products(rows, mean, m), _products(rows, apart, d)
+                reach = reach + 1e-9 * (1 + norm * self.norms[rows])
                 return middle - reach, middle + reach
             return of
         return [level(*one) for one in self.levels]
@@ -111,7 +116,7 @@ class Block:
                 break
             low, high = bound(rows)
             rows = rows[high >= np.partition(low, len(low) - k)[len(low) - k]]
-        scores = exact_scores(self.vectors[rows], vector)
+        scores = self.scores(rows, vector)
         at = self.best(rows, scores, k)
         return rows[at], scores[at]
 
@@ -126,7 +131,7 @@ class Block:
                 least = np.partition(sure, len(sure) - k)[len(sure) - k] if len(sure) >= k else least
                 use |= (high >= least) & (low <= most)
             rows = rows[use]
-        scores = exact_scores(self.vectors[rows], vector)
+        scores = self.scores(rows, vector)
         found = []
         for least, most in windows:
             inside = np.flatnonzero((scores >= least) & (scores <= most))
