@@ -8,7 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_extract, secrets
+from tidemark.llm import html_extract, pii, secrets
 from tidemark.llm.text import outside
 
 
@@ -83,6 +83,28 @@ def test_secrets_in_one_long_text(spark, kind):
         assert row.n_hex >= 40_000 and "random" in row.spans
 
 
+@pytest.mark.parametrize("kind", ["groups", "phones", "mails"])
+def test_personal_data_in_one_long_text(spark, kind):
+    """A table of numbers as one text."""
+    rng = random.Random(3)
+    d = lambda k: f"{rng.randrange(10 ** k):0{k}d}"
+    unit = {"groups": lambda: f"{d(2)} ", "phones": lambda: f"call {d(3)}-{d(3)}-{d(4)}\n", "mails": lambda: f"a{d(4)}@b.com "}[kind]
+
+    def seconds(n):
+        text = "".join(unit() for _ in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string").coalesce(1).persist()
+        docs.count()
+        begun = time.perf_counter()
+        row = pii.pii(docs).first()
+        docs.unpersist()
+        return time.perf_counter() - begun, row
+    seconds(300)
+    one, _ = seconds(1_500)
+    ten, row = seconds(15_000)
+    assert ten < 20 * max(one, 0.5), (one, ten)
+    assert row.n_email == (15_000 if kind == "mails" else 0) and (kind != "phones" or row.spans.count("number_group") > 14_000)
+
+
 def test_outside_equals_comparing_all(spark):
     rng = random.Random(9)
     rows = []

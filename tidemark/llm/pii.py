@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.registry import query
-from tidemark.llm.text import NO_MATCHES, let, matches, matches_if, span_text, whole
+from tidemark.llm.text import NO_MATCHES, below, let, matches_if, outside, running_sums, span_text, whole
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 # The contract's patterns, written so that no run of characters is tried twice: a match can begin
@@ -45,6 +45,7 @@ MAY = {
     "account": r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}",
 }
 CONTEXT = 24
+_PIECE = 256
 SAMPLES = 1500
 #: Lines of two or three adjacent numbers, of which every proposed span is a sample.
 LINES = 200
@@ -79,20 +80,75 @@ def _mod97(v: Column) -> Column:
 
 
 def _parts_of_run(run: Column) -> Column:
-    """The spans proposed in a run of numbers, as an array of structs like the run's."""
-    def spans(g: Column) -> Column:
+    """The spans proposed in a run of numbers, as an array of structs like the run's.
+
+    The run is cut once into groups of digits and what stands between; a span joins a few of these pieces.
+    """
+    def spans(p: Column) -> Column:
+        pieces, ends = p["pieces"], p["ends"]
+        first = F.when(F.get(pieces, F.lit(0)).rlike("^[0-9]"), F.lit(0)).otherwise(F.lit(1))  # where the first group stands
+        n = F.floor((F.size(pieces) - first + 1) / 2).cast("int") - 1
+
         def one(i: Column, j: Column) -> Column:
-            low, end = F.get(g, i).start, F.get(g, j).end
-            inside = F.substring(run.value, (low + 1).cast("int"), (end - low).cast("int"))
-            opened = (low > 0) & (F.substring(run.value, F.greatest(low, F.lit(1)).cast("int"), F.lit(1)) == "(") & inside.contains(")")
-            low = low - opened.cast("long")
-            return F.struct((run.start + low).alias("start"), (run.start + end).alias("end"),
-                            F.substring(run.value, (low + 1).cast("int"), (end - low).cast("int")).alias("value"))
-        n = F.size(g) - 1
+            at, last = first + 2 * i, first + 2 * j
+            inside = F.array_join(F.slice(pieces, at + 1, last - at + 1), "")
+            opened = F.coalesce(F.get(pieces, at - 1).endswith("("), F.lit(False)) & inside.contains(")")
+            low = run.start + F.coalesce(F.get(ends, at - 1), F.lit(0)) - opened.cast("long")
+            return F.struct(low.alias("start"), (run.start + F.get(ends, last)).alias("end"),
+                            F.concat(F.when(opened, "(").otherwise(""), inside).alias("value"))
         all_of = F.flatten(F.transform(F.sequence(F.lit(0), n), lambda i: F.transform(
             F.sequence(i, F.least(i + MAX_DIGITS - 1, n)), lambda j: one(i, j))))
-        return F.filter(all_of, lambda c: (F.length(c.value) >= MIN_CHARS) & (F.length(_digits(c.value)) <= MAX_DIGITS))
-    return F.array_distinct(F.concat(F.array(run), let(matches(run.value, "[0-9]+"), spans)).cast(NO_MATCHES))
+        return F.filter(all_of, lambda c: (F.length(c.value) >= MIN_CHARS) & (F.length(_digits(c.value)) <= MAX_DIGITS)
+                        & ((c.start != run.start) | (c.end != run.end)))
+    pieces = F.regexp_extract_all(run.value, F.lit("[0-9]+|[^0-9]+"), F.lit(0))
+    cut = let(pieces, lambda x: F.struct(x.alias("pieces"), running_sums(F.transform(x, lambda y: F.length(y))).alias("ends")))
+    return F.concat(F.array(run), let(cut, spans)).cast(NO_MATCHES)
+
+
+def _around(text: Column, spans: Column, body) -> Column:
+    """``body(span, text before, text after)`` for each of ``spans``, with up to ``CONTEXT`` characters on both sides.
+
+    The text is cut once into pieces of equal length, so a span far from its beginning costs no more.
+    """
+    def seen(pieces: Column) -> Column:
+        def part(low: Column, size: Column) -> Column:
+            k = F.floor(low / _PIECE).cast("int")
+            two = F.concat(*[F.coalesce(F.get(pieces, k + i), F.lit("")) for i in (0, 1)])
+            return F.substring(two, (low - k * _PIECE + 1).cast("int"), size.cast("int"))
+
+        def one(c: Column) -> Column:
+            low = F.greatest(c.start - CONTEXT, F.lit(0))
+            near = F.struct(part(low, c.start - low).alias("before"), part(c.end, F.lit(CONTEXT)).alias("after"))
+            return let(near, lambda x: body(c, x["before"], x["after"]))
+        return F.transform(spans, one)
+    return let(F.when(F.size(spans) > 0, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))), seen)
+
+
+def _best_first(scored: Column, none: Column) -> Column:
+    """Of spans with scores (``score``, ``c``) those that are taken from the highest score down, unless they overlap one that was.
+
+    Spans that no chain of overlaps connects do not matter to each other, so each such cluster is decided by itself.
+    """
+    def overlap(a: Column, b: Column) -> Column:
+        return (a.start < b.end) & (b.start < a.end)
+
+    def decided(cluster: Column) -> Column:
+        ranked = F.sort_array(F.transform(cluster, lambda o: F.struct(
+            (-o.score).alias("score"), o.c.start.alias("start"), (-o.c.end).alias("end"), o.c.alias("c"))))
+        return F.aggregate(ranked, none, lambda a, o: F.when(F.exists(a, lambda q: overlap(o.c, q)), a).otherwise(F.concat(a, F.array(o.c))))
+
+    def clusters(p: Column) -> Column:
+        spans, starts, ends = p["spans"], p["starts"], p["ends"]
+        begins = lambda x: below(ends, x, True) == below(starts, x, False)  # noqa: E731  all that began before have ended
+        cuts = F.filter(F.sequence(F.lit(0), F.size(spans) - 1), lambda i: (
+            (i == 0) | (F.get(starts, i) != F.get(starts, i - 1))) & begins(F.get(starts, i)))
+        return let(cuts, lambda x: F.flatten(F.transform(x, lambda i, k: decided(
+            F.slice(spans, i + 1, F.coalesce(F.get(x, k + 1), F.size(spans)) - i)))))
+
+    placed = F.sort_array(F.transform(scored, lambda o: F.struct(o.c.start.alias("start"), o.c.end.alias("end"), o.score.alias("score"), o.c.alias("c"))))
+    parts = let(placed, lambda x: F.struct(x.alias("spans"), F.transform(x, lambda o: o.start).alias("starts"),
+                                           F.array_sort(F.transform(x, lambda o: o.end)).alias("ends")))
+    return F.when(F.size(scored) > 0, let(parts, clusters)).otherwise(none)
 
 
 def _parts(text: str) -> set[tuple[int, int]]:
@@ -281,22 +337,15 @@ def scan_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = rows.withColumn("number_group", F.flatten(F.transform("number_group", _parts_of_run)))
     said = lambda name, rank: F.transform(F.col(name), lambda m: F.struct(
         m.start.alias("start"), F.lit(rank).alias("rank"), m.end.alias("end"), F.lit(name).alias("kind"), m.value.alias("value")))
-    overlap = lambda a, b: (a.start < b.end) & (b.start < a.end)
     rows = rows.withColumn("base", F.concat(*[said(k, i) for i, k in enumerate(BASE)]))
-    rows = rows.withColumn("open", F.filter(
-        F.concat(*[said(k, len(BASE) + i) for i, k in enumerate(GENERATORS)]),
-        lambda c: ~F.exists(F.col("base"), lambda b: overlap(c, b))))
-    near = lambda c: F.substring(F.col("t"), F.greatest(c.start - CONTEXT + 1, F.lit(1)).cast("int"),
-                                 F.least(c.start, F.lit(CONTEXT)).cast("int"))
-    after = lambda c: F.substring(F.col("t"), (c.end + 1).cast("int"), F.lit(CONTEXT))
-    rows = rows.withColumn("open", F.transform(F.col("open"), lambda c: F.struct(c.alias("c"), features(c.value, near(c), after(c)).alias("x"))))
+    rows = rows.withColumn("open", outside(F.concat(*[said(k, len(BASE) + i) for i, k in enumerate(GENERATORS)]), F.col("base")))
+    rows = rows.withColumn("open", _around(F.col("t"), F.col("open"), lambda c, before, after: F.struct(
+        c.alias("c"), features(c.value, before, after).alias("x"))))
     rows = rows.withColumn("open", F.transform(F.col("open"), lambda o: F.struct(_score(trees, o.x).alias("score"), o.c.alias("c"))))
     limit = lambda c: F.element_at(F.create_map(*[F.lit(v) for kv in limits.items() for v in kv]), c.kind)
     rows = rows.withColumn("open", F.filter(F.col("open"), lambda o: o.score >= limit(o.c)))
-    ranked = F.sort_array(F.transform(F.col("open"), lambda o: F.struct(
-        (-o.score).alias("score"), o.c.start.alias("start"), (-o.c.end).alias("end"), o.c.alias("c"))))
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string,value:string>>")
-    added = F.aggregate(ranked, none, lambda a, o: F.when(F.exists(a, lambda q: overlap(o.c, q)), a).otherwise(F.concat(a, F.array(o.c))))
+    added = _best_first(F.col("open"), none)
     return rows.select("doc_id", "base", added.alias("added"))
 
 

@@ -70,7 +70,7 @@ def matches_if(text: Column, may: Column, pattern: str) -> Column:
     return F.when(may, matches(text, pattern)).otherwise(F.array().cast(NO_MATCHES)).cast(NO_MATCHES)
 
 
-def _below(numbers: Column, x: Column, equal: bool) -> Column:
+def below(numbers: Column, x: Column, equal: bool) -> Column:
     """How many of some sorted numbers are below ``x`` (or equal to it), by halving."""
     def step(at: Column, k: Column) -> Column:
         n = F.get(numbers, at + k - 1)
@@ -85,7 +85,7 @@ def outside(spans: Column, taken: Column) -> Column:
     counted in sorted arrays, so that long texts with many spans of both kinds cost little more per span.
     """
     ends = F.struct(F.array_sort(F.transform(taken, lambda b: b.start)).alias("first"), F.array_sort(F.transform(taken, lambda b: b.end)).alias("last"))
-    free = let(ends, lambda e: F.filter(spans, lambda c: _below(e["first"], c.end, False) == _below(e["last"], c.start, True)))
+    free = let(ends, lambda e: F.filter(spans, lambda c: below(e["first"], c.end, False) == below(e["last"], c.start, True)))
     return F.when((F.size(spans) == 0) | (F.size(taken) == 0), spans).otherwise(free)
 
 
