@@ -9,7 +9,8 @@ document as its representative; only representatives are joined:
    of shingles below its threshold are that short; only the others can be long.
 2. Set relations skip work. First every list puts its sets next to its most central one (whose own
    lists are the longest, as those of an original among its copies), and each set is verified with the
-   centre it meets most often: near copies fall into components, and sets around a centre form a group.
+   centre it meets most often: near copies fall into components. Sets whose centres lead to the same last one
+   form a group.
 3. Inside a group answers are derived from the centre's: two members share what the centre has, less what either
    lost, plus what both lost or both added. Pairs whose losses are small enough are linked without
    looking further; all others must agree in so many differences, so only differences are joined, by prefixes
@@ -50,6 +51,8 @@ SKETCH_BITS = 22
 FREQUENT = 64
 #: Share of the prefix that two sets must have met in before the first round verifies them.
 STRONG = 0.3
+#: Or so many sets per shingle in the lists where they met: then reading the set costs less than going through the lists.
+DEAR = 4
 _BLOCKS = 64
 
 
@@ -210,16 +213,32 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return written(rows.filter(100 * F.col("common") >= 80 * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b").distinct(), "links")
 
 
-def _of_groups(near: DataFrame, sets: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links and candidates (a, b) among the members of each centre, in groups of more than one component.
+def _groups(near: DataFrame) -> DataFrame:
+    """rep, g: each set with the last of the centres that its own centre leads to, and that one with itself.
 
-    A member b of the centre c lost l shingles of it, and has n. Members b and x share |c| - l(b) - l(x) + s
+    A centre has more company than those around it, so the way ends; it is shortened by half in each round.
+    """
+    up = near.select(F.col("b").alias("rep"), F.col("a").alias("g"))
+    ends = up.select(F.col("g").alias("rep")).distinct().join(up, "rep", "left_anti").withColumn("g", F.col("rep"))
+    groups = written(up.union(ends), "groups")
+    while True:
+        further = groups.select(F.col("rep").alias("g"), F.col("g").alias("far"))
+        after = written(groups.join(further, "g").select("rep", F.col("far").alias("g"), (F.col("far") != F.col("g")).alias("moved")), "groups")
+        groups = after.select("rep", "g")
+        if after.filter("moved").isEmpty():
+            return groups
+
+
+def _of_groups(groups: DataFrame, sets: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and candidates (a, b) among the members of each group, its centre included, where it has several components.
+
+    A member b of the group of c lost l shingles of it, and has n. Members b and x share |c| - l(b) - l(x) + s
     shingles, where s counts the differences from c that both have. With w = 9 l + 4 n they are linked when
     9 s >= w(b) + w(x) - 9 |c|. If that is not above 0 both are linked with the member of least w as well, so a
     star around it connects what such links connect.
     """
     part = F.coalesce("label", "rep").alias("part")
-    members = near.select(F.col("a").alias("g"), F.col("b").alias("rep")).join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("g", "rep", part)
+    members = groups.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("g", "rep", part)
     parts = members.groupBy("g", "part").agg(F.count(F.lit(1)).alias("m"))
     several = parts.groupBy("g").agg(F.max_by("part", F.struct("m", "part")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
     members = members.join(several.select("g", "main"), "g")
@@ -241,15 +260,20 @@ def _of_groups(near: DataFrame, sets: DataFrame, labels: DataFrame) -> tuple[Dat
     each = rows.select("g", "rep", "part", "main", "c", "w", "size", "use", F.explode("differences").alias("token"))
     often = each.groupBy("g", "token").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
     # a difference that one member has alone fills its prefix but joins with nothing: of the others, those come first that few have
-    own = each.join(often, ["g", "token"])
-    shared = own.groupBy("g", "rep").agg(F.count(F.lit(1)).alias("shared"))
+    common = each.join(often, ["g", "token"])
+    shared = common.groupBy("g", "rep").agg(F.count(F.lit(1)).alias("shared"))
     place = F.row_number().over(Window.partitionBy("g", "rep").orderBy("often", "token"))
-    lists = own.withColumn("place", place).join(shared, ["g", "rep"]).filter(F.col("place") <= F.col("use") - (F.col("size") - F.col("shared")))
-    lists = written(lists.withColumn("rest", F.col("size") - F.col("use")).select("g", "token", "rep", "part", "main", "c", "w", "rest"), "difference-lists")
-    a = lists.filter("part != main").select("g", "token", "c", "main", *[F.col(x).alias(f"{x}_a") for x in ("rep", "part", "w", "rest")])
-    b = lists.select(F.col("g").alias("_g"), F.col("token").alias("_t"), *[F.col(x).alias(f"{x}_b") for x in ("rep", "part", "w", "rest")])
+    lists = common.withColumn("place", place).join(shared, ["g", "rep"]).filter(F.col("place") <= F.col("use") - (F.col("size") - F.col("shared")))
+    lists = written(lists.withColumn("rest", F.col("size") - F.col("use")).select(
+        "g", "token", "rep", "part", "main", "c", "w", "rest", "place", "shared"), "difference-lists")
+    own = ("rep", "part", "w", "rest", "place", "shared")
+    a = lists.filter("part != main").select("g", "token", "c", "main", *[F.col(x).alias(f"{x}_a") for x in own])
+    b = lists.select(F.col("g").alias("_g"), F.col("token").alias("_t"), *[F.col(x).alias(f"{x}_b") for x in own])
+    # what both can have in common up to this place, and what can follow it
+    most = F.least("place_a", "place_b") + F.least(F.col("shared_a") - F.col("place_a"), F.col("shared_b") - F.col("place_b"))
     met = a.join(b, (a.g == F.col("_g")) & (a.token == F.col("_t")) & (F.col("part_a") != F.col("part_b"))
-                 & ((F.col("part_b") == F.col("main")) | (F.col("rep_a") < F.col("rep_b"))))
+                 & ((F.col("part_b") == F.col("main")) | (F.col("rep_a") < F.col("rep_b")))
+                 & (9 * most >= F.col("w_a") + F.col("w_b") - 9 * F.col("c")))
     counted = met.groupBy("rep_a", "rep_b", "c", "w_a", "w_b", "rest_a", "rest_b").agg(F.count(F.lit(1)).alias("met"))
     reach = F.col("met") + F.greatest("rest_a", "rest_b")
     found = counted.filter(9 * reach >= F.col("w_a") + F.col("w_b") - 9 * F.col("c")).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
@@ -275,19 +299,20 @@ def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     central = written(lists.join(sizes, "token").groupBy("rep").agg((F.sum("m") / F.max("n")).alias("company")), "company")
     placed = lists.join(central, "rep")
     centre = F.max_by(F.struct(F.col("rep").alias("a"), F.col("n").alias("na")), F.struct("company", -F.col("rep"))).alias("c")
-    first = written(placed.groupBy("token").agg(F.count(F.lit(1)).alias("m"), centre).filter("m > 1").select("token", "c.*"), "centres")
+    first = written(placed.groupBy("token").agg(F.count(F.lit(1)).alias("m"), centre).filter("m > 1").select("token", "m", "c.*"), "centres")
     stars = (lists.join(first, "token").filter((F.col("rep") != F.col("a")) & _size_near(F.col("na"), F.col("n")))
-             .groupBy("a", F.col("rep").alias("b"), F.least("n", "na").alias("small")).agg(F.count(F.lit(1)).alias("met")))
-    best = (stars.filter(5 * F.col("met") >= STRONG * F.col("small")).groupBy("b")
+             .groupBy("a", F.col("rep").alias("b"), F.least("n", "na").alias("small")).agg(F.count(F.lit(1)).alias("met"), F.sum("m").alias("company")))
+    best = (stars.filter((5 * F.col("met") >= STRONG * F.col("small")) | (F.col("company") >= DEAR * F.col("small"))).groupBy("b")
             .agg(F.max_by("a", F.struct("met", -F.col("a"))).alias("a")))
     near = written(best.select("a", "b"), "near")
     sets_near = _shingles(near, texts, reps)
     links = _linked(near, sets_near)
     labels = connected_components(links)
-    stars, inside = _of_groups(near, sets_near, labels)
+    groups = _groups(near)
+    stars, inside = _of_groups(groups, sets_near, labels)
 
     marked = lists.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("label", "rep")).drop("label")
-    marked = marked.join(near.select(F.col("b").alias("rep"), F.col("a").alias("g")), "rep", "left").withColumn("g", F.coalesce("g", "rep"))
+    marked = marked.join(groups, "rep", "left").withColumn("g", F.coalesce("g", "rep"))
     marked = written(marked, "marked")
 
     def largest(of: str, name: str) -> DataFrame:
@@ -300,8 +325,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = written(marked.join(mixed, "token").select("token", "rep", "n", "part", "g", core.alias("core")), "open")
     a = rows.filter("NOT core").select("token", *[F.col(x).alias(f"{x}a") for x in ("rep", "n", "part", "g")])
     b = rows.select("token", "core", *[F.col(x).alias(f"{x}b") for x in ("rep", "n", "part", "g")])
-    known = (F.col("ga") == F.col("gb")) | (F.col("ga") == F.col("repb")) | (F.col("gb") == F.col("repa"))
-    met = a.join(b, (a.token == b.token) & (F.col("parta") != F.col("partb")) & ~known & _size_near(F.col("na"), F.col("nb"))
+    met = a.join(b, (a.token == b.token) & (F.col("parta") != F.col("partb")) & (F.col("ga") != F.col("gb")) & _size_near(F.col("na"), F.col("nb"))
                  & (F.col("core") | (F.col("repa") < F.col("repb"))))
     swap = F.col("repa") > F.col("repb")
     pick = lambda x, y: F.when(swap, F.col(x)).otherwise(F.col(y))
