@@ -399,3 +399,11 @@ def test_columns_only_the_changes_have(spark):
         cdc.merge_cdc(target, changes, ["k"])
     got = cdc.merge_cdc(target, changes, ["k"], new_columns="add")
     assert rows(got, "k", "v", "w") == [(1, "c", 9), (2, "b", None)]
+
+
+def test_a_target_with_repeated_keys_does_not_grow_the_broadcast(spark):
+    target = spark.range(3000).select((F.col("id") % 3).alias("k"), F.lit("n").alias("name"), F.col("id").cast("double").alias("amount"))
+    log = log_of(spark, (1, 1, cdc.AFTER, 1, "new", 1.0), (2, 1, cdc.INSERT, 9, "nine", 9.0))
+    small = cdc.merge_cdc(target, log, ["k"], broadcast_rows=100)
+    assert rows(small) == rows(cdc.merge_cdc(target, log, ["k"]))
+    assert small.filter("k = 9").count() == 1 and small.filter("k = 1 AND name = 'new'").count() == 1000

@@ -186,7 +186,9 @@ def merge_cdc(target: DataFrame, changes: DataFrame, keys: Sequence[str], mode:
         s = s.checkpoint()
         small = _fits(s, broadcast_rows, BROADCAST_BYTES)
     if small:
-        known = target.select(*keys).join(F.broadcast(s.select(*keys)), keys, "left_semi").distinct()  # no more than the changes
+        known = target.select(*keys).join(F.broadcast(s.select(*keys)), keys, "left_semi").checkpoint()
+        if not _fits(known, broadcast_rows, BROADCAST_BYTES):  # keys that the target repeats
+            known = known.distinct()
         fresh = s.join(F.broadcast(known), keys, "left_anti")
         joined = t.join(F.broadcast(s), keys, "left").unionByName(fresh, allowMissingColumns=True)
     else:
