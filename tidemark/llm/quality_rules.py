@@ -1,12 +1,17 @@
 """Quality rules: plain limits, and robust multivariate outliers of a source's own statistics.
 
 For every language and source, the minimum-covariance-determinant estimate of the transformed
-statistics is found by concentration steps: start from coordinate-wise medians, keep the 75 % of rows
-with the smallest distances, take their mean and covariance, repeat. A text whose Mahalanobis distance
-exceeds the limit is rejected. Estimates use all rows of their group that pass the plain limits.
-
-Statistics are rounded to 1e-4 and summed as integers, so that results do not depend on the order of
-rows. A language and source with fewer than ``MIN_ROWS`` rows is judged with the other small ones of
+statistics is found by concentration steps from several fixed starts: the coordinate-wise medians with
+the spreads of the axes, with the covariance of the hyperbolic tangents of the standardised rows, and with that
+of their directions alone. Each step keeps the 75 % of rows with the smallest distances and takes their
+mean and covariance; of the starts the one that ends at the smallest determinant wins. A text whose
+Mahalanobis distance exceeds the limit is rejected. Estimates use all rows of their group that pass the
+plain limits.
+
+Distances are counted in steps of 1/``BINS`` of their logarithm, so a group's rows are added up by step before
+they are shuffled, however many there are; the step that reaches the 75 % is kept whole. Statistics are
+rounded to 1e-4 and summed as integers, so that results do not depend on the order of rows. Words and
+5-word windows are compared by 64-bit hashes. A language and source with fewer than ``MIN_ROWS`` rows is judged with the other small ones of
 its language, else with all small ones; if those are few too, by the estimate over all rows of its
 language, else over all rows, however few.
 
@@ -16,7 +21,7 @@ every row gives one row; a row's extra columns are ignored; an empty table gives
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.registry import query
@@ -25,7 +30,10 @@ from tidemark.llm.text import SPACE, let, whole
 
 MIN_ROWS = 60
 SHARE = 0.75
-STEPS = 5
+STEPS = 6
+STARTS = ("axes", "signs", "tanh")
+#: Steps of the logarithm of a distance: each is 0.4 % wide.
+BINS = 256
 #: Smallest standard deviation of each statistic; statistics that hardly vary would else reject anything.
 FLOORS = (0.25, 0.08, 0.03, 0.08, 0.08)
 DIMS = len(FLOORS)
@@ -89,24 +97,74 @@ def _distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("d2", sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(1, DIMS)), F.col("z0") * F.col("z0")))
 
 
-def _estimates(rows: DataFrame, scale: float) -> DataFrame:
-    """Mean and Cholesky factor of the covariance of each group; variances get their floors added."""
-    x = [F.col(f"x{i}") for i in range(DIMS)]
-    whole_number = lambda c: F.sum(c.cast("decimal(28,0)")).cast("double")
-    sums = rows.groupBy("g").agg(
-        F.count(F.lit(1)).alias("n"), *[whole_number(x[i]).alias(f"s{i}") for i in range(DIMS)],
-        *[whole_number(x[i] * x[j]).alias(f"q{i}{j}") for i in range(DIMS) for j in range(i + 1)])
-    est = sums.select("g", "n", *[(F.col(f"s{i}") / F.col("n") / UNIT).alias(f"m{i}") for i in range(DIMS)],
-                      *[F.col(f"q{i}{j}") for i in range(DIMS) for j in range(i + 1)])
+def _names(kind: str) -> list[str]:
+    return [f"{kind}{i}{j}" for i in range(DIMS) for j in range(i + 1)]
+
+
+def _total(value: Column) -> Column:
+    """An exact sum of integers, which does not depend on their order."""
+    return F.sum(value.cast("decimal(28,0)"))
+
+
+def _factored(rows: DataFrame, covariance) -> DataFrame:
+    """Adds the Cholesky factor l00.. of ``covariance(i, j)``, whose variances get their floors added, and its log determinant."""
     for i in range(DIMS):
         for j in range(i + 1):
-            cov = (F.col(f"q{i}{j}") / F.col("n") / (UNIT * UNIT) - F.col(f"m{i}") * F.col(f"m{j}")) * scale
+            left = covariance(i, j)
             if i == j:
-                cov = F.greatest(cov, F.lit(0.0)) + FLOORS[i] ** 2
+                left = F.greatest(left, F.lit(0.0)) + FLOORS[i] ** 2
             for k in range(j):
-                cov = cov - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            est = est.withColumn(f"l{i}{j}", F.sqrt(F.greatest(cov, F.lit(1e-6))) if i == j else cov / F.col(f"l{j}{j}"))
-    return est.select("g", "n", *[f"m{i}" for i in range(DIMS)], *[f"l{i}{j}" for i in range(DIMS) for j in range(i + 1)])
+                left = left - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
+            rows = rows.withColumn(f"l{i}{j}", F.sqrt(F.greatest(left, F.lit(1e-6))) if i == j else left / F.col(f"l{j}{j}"))
+    return rows.withColumn("log_det", sum((2 * F.log(f"l{i}{i}") for i in range(1, DIMS)), 2 * F.log("l00")))
+
+
+def _starts(clean: DataFrame) -> DataFrame:
+    """g, start, centre m0.. and factor l00..: the medians with each of the covariances to start from."""
+    centre = clean.groupBy("g").agg(F.count(F.lit(1)).alias("rows"), *[
+        F.expr(f"percentile(x{i} div 100, array(0.25D, 0.5D, 0.75D))").alias(f"p{i}") for i in range(DIMS)])
+    spread = lambda p: (F.col(p)[2] - F.col(p)[0]) * 100 / UNIT / 1.349
+    centre = written(centre.select("g", "rows", *[(F.col(f"p{i}")[1] * 100 / UNIT).alias(f"m{i}") for i in range(DIMS)],
+                                   *[F.greatest(spread(f"p{i}"), F.lit(FLOORS[i])).alias(f"d{i}") for i in range(DIMS)]), "centres")
+    z = [F.col(f"z{i}") for i in range(DIMS)]
+    rows = clean.join(centre, "g").select("g", *[((F.col(f"x{i}") / UNIT - F.col(f"m{i}")) / F.col(f"d{i}")).alias(f"z{i}") for i in range(DIMS)])
+    rows = rows.withColumn("length", F.sqrt(sum((v * v for v in z[1:]), z[0] * z[0])))
+    shapes = {"signs": [F.when(F.col("length") > 0, v / F.col("length")).otherwise(0.0) for v in z], "tanh": [F.tanh(v) for v in z]}
+    shaped = [F.struct(F.lit(name).alias("start"), *[F.round(v * UNIT).cast("long").alias(f"u{i}") for i, v in enumerate(vs)])
+              for name, vs in shapes.items()]
+    sums = rows.select("g", F.inline(F.array(*shaped))).groupBy("g", "start").agg(
+        *[_total(F.col(f"u{i}") * F.col(f"u{j}")).cast("double").alias(f"q{i}{j}") for i in range(DIMS) for j in range(i + 1)])
+    axes = centre.select("g", F.lit("axes").alias("start"), *[
+        (F.col("rows") * float(UNIT * UNIT * (i == j))).alias(f"q{i}{j}") for i in range(DIMS) for j in range(i + 1)])
+    shape = centre.join(sums.unionByName(axes), "g")
+    return _factored(shape, lambda i, j: F.col(f"d{i}") * F.col(f"d{j}") * F.col(f"q{i}{j}") / F.col("rows") / (UNIT * UNIT)).select(
+        "g", "start", *[f"m{i}" for i in range(DIMS)], *_names("l"))
+
+
+def _concentrated(clean: DataFrame, estimate: DataFrame) -> DataFrame:
+    """One step of every start: mean and factor of the nearest ``SHARE`` of each group's rows, and how many they are."""
+    x = [F.col(f"x{i}") for i in range(DIMS)]
+    near = _distance(clean.join(estimate, "g")).withColumn("bin", F.floor(BINS * F.log1p("d2")))
+    bins = near.groupBy("g", "start", "bin").agg(
+        F.count(F.lit(1)).alias("n"), *[_total(x[i]).alias(f"s{i}") for i in range(DIMS)],
+        *[_total(x[i] * x[j]).alias(f"q{i}{j}") for i in range(DIMS) for j in range(i + 1)])
+    each = Window.partitionBy("g", "start")  # a few thousand bins at most
+    before = F.sum("n").over(each.orderBy("bin")) - F.col("n")
+    inner = bins.withColumns({"before": before, "rows": F.sum("n").over(each)}).filter(F.col("before") < SHARE * F.col("rows"))
+    names = [*[f"s{i}" for i in range(DIMS)], *_names("q")]
+    sums = inner.groupBy("g", "start").agg(F.sum("n").alias("n"), *[F.sum(c).cast("double").alias(c) for c in names])
+    mean = sums.withColumns({f"m{i}": F.col(f"s{i}") / F.col("n") / UNIT for i in range(DIMS)})
+    return _factored(mean, lambda i, j: (F.col(f"q{i}{j}") / F.col("n") / (UNIT * UNIT) - F.col(f"m{i}") * F.col(f"m{j}")) * CONSISTENCY).select(
+        "g", "start", "n", "log_det", *[f"m{i}" for i in range(DIMS)], *_names("l"))
+
+
+def minimum_determinants(clean: DataFrame, steps: int = STEPS) -> DataFrame:
+    """g, start, n, log_det, m0.., l00..: the estimate of smallest determinant of each group of the integer rows x0..."""
+    estimate = written(_starts(clean), "starts")
+    for _ in range(steps):
+        estimate = written(_concentrated(clean, estimate), "estimate")
+    best = F.min_by(F.struct(*[c for c in estimate.columns if c != "g"]), F.struct("log_det", "start"))
+    return estimate.groupBy("g").agg(best.alias("best")).select("g", "best.*")
 
 
 def _groups(rows: DataFrame, min_rows: int) -> DataFrame:
@@ -145,20 +203,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = written(rows.join(names, F.col("_lang").eqNullSafe(F.col("_l")) & F.col("_source").eqNullSafe(F.col("_s")), "left")
                    .drop("_l", "_s"), "grouped")
     clean = rows.filter("NOT base_failed").select(F.explode("informs").alias("g"), *[f"x{i}" for i in range(DIMS)])
-    ranks = "array(0.25D, 0.5D, 0.75D)"
-    start = clean.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *[
-        F.expr(f"percentile(x{i} div 100, {ranks})").alias(f"p{i}") for i in range(DIMS)])
-    centre = {f"m{i}": F.col(f"p{i}")[1] * 100 / UNIT for i in range(DIMS)}
-    spread = {f"l{i}{j}": F.lit(0.0) if i != j else F.greatest(
-        (F.col(f"p{i}")[2] - F.col(f"p{i}")[0]) * 100 / UNIT / 1.349, F.lit(FLOORS[i])) for i in range(DIMS) for j in range(i + 1)}
-    estimate = written(start.withColumns(centre | spread).drop(*[f"p{i}" for i in range(DIMS)]), "estimate")
-    for _ in range(STEPS):
-        near = _distance(clean.join(estimate, "g")).select(
-            "g", *[f"x{i}" for i in range(DIMS)], F.least(F.floor(64 * F.log1p("d2")), F.lit(4000)).alias("bin"))
-        cut = written(near.groupBy("g").agg(F.expr(f"percentile(bin, {SHARE}D)").alias("cut")), "cut")
-        inner = near.join(cut, "g").filter(F.col("bin") <= F.col("cut"))
-        estimate = written(_estimates(inner, CONSISTENCY), "estimate")
-    judged = _distance(rows.join(estimate.drop("n"), "g", "left"))
+    estimate = written(minimum_determinants(clean), "estimate").drop("start", "n", "log_det")
+    judged = _distance(rows.join(estimate, "g", "left"))
     kept = ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= limit)
     return judged.withColumn("kept", kept)
 
