@@ -34,6 +34,8 @@ STEPS = 6
 STARTS = ("axes", "signs", "tanh")
 #: Steps of the logarithm of a distance: each is 0.4 % wide.
 BINS = 256
+#: A table by group is sent to all tasks if it has at most so many characters, counted first; else Spark joins it as it likes.
+FEW_CHARACTERS = 1 << 24
 #: Smallest standard deviation of each statistic; statistics that hardly vary would else reject anything.
 FLOORS = (0.25, 0.08, 0.03, 0.08, 0.08)
 DIMS = len(FLOORS)
@@ -106,6 +108,16 @@ def _total(value: Column) -> Column:
     return F.sum(value.cast("decimal(28,0)"))
 
 
+def _few(table: DataFrame) -> bool:
+    """Whether a written table by group is small."""
+    return (table.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0) <= FEW_CHARACTERS
+
+
+def _by_group(table: DataFrame, few: bool) -> DataFrame:
+    """``table`` for a join by group: broadcast if it is small, so that the rows of a hot group stay where they are."""
+    return F.broadcast(table) if few else table
+
+
 def _factored(rows: DataFrame, covariance) -> DataFrame:
     """Adds the Cholesky factor l00.. of ``covariance(i, j)``, whose variances get their floors added, and its log determinant."""
     for i in range(DIMS):
@@ -119,15 +131,15 @@ def _factored(rows: DataFrame, covariance) -> DataFrame:
     return rows.withColumn("log_det", sum((2 * F.log(f"l{i}{i}") for i in range(1, DIMS)), 2 * F.log("l00")))
 
 
-def _starts(clean: DataFrame) -> DataFrame:
-    """g, start, centre m0.. and factor l00..: the medians with each of the covariances to start from."""
+def _starts(clean: DataFrame) -> tuple[DataFrame, bool]:
+    """g, start, centre m0.. and factor l00..: the medians with each of the covariances to start from; whether that is little."""
     centre = clean.groupBy("g").agg(F.count(F.lit(1)).alias("rows"), *[
         F.expr(f"percentile(x{i} div 100, array(0.25D, 0.5D, 0.75D))").alias(f"p{i}") for i in range(DIMS)])
     spread = lambda p: (F.col(p)[2] - F.col(p)[0]) * 100 / UNIT / 1.349
     centre = written(centre.select("g", "rows", *[(F.col(f"p{i}")[1] * 100 / UNIT).alias(f"m{i}") for i in range(DIMS)],
                                    *[F.greatest(spread(f"p{i}"), F.lit(FLOORS[i])).alias(f"d{i}") for i in range(DIMS)]), "centres")
     z = [F.col(f"z{i}") for i in range(DIMS)]
-    rows = clean.join(centre, "g").select("g", *[((F.col(f"x{i}") / UNIT - F.col(f"m{i}")) / F.col(f"d{i}")).alias(f"z{i}") for i in range(DIMS)])
+    rows = clean.join(_by_group(centre, _few(centre)), "g").select("g", *[((F.col(f"x{i}") / UNIT - F.col(f"m{i}")) / F.col(f"d{i}")).alias(f"z{i}") for i in range(DIMS)])
     rows = rows.withColumn("length", F.sqrt(sum((v * v for v in z[1:]), z[0] * z[0])))
     shapes = {"signs": [F.when(F.col("length") > 0, v / F.col("length")).otherwise(0.0) for v in z], "tanh": [F.tanh(v) for v in z]}
     shaped = [F.struct(F.lit(name).alias("start"), *[F.round(v * UNIT).cast("long").alias(f"u{i}") for i, v in enumerate(vs)])
@@ -137,14 +149,16 @@ def _starts(clean: DataFrame) -> DataFrame:
     axes = centre.select("g", F.lit("axes").alias("start"), *[
         (F.col("rows") * float(UNIT * UNIT * (i == j))).alias(f"q{i}{j}") for i in range(DIMS) for j in range(i + 1)])
     shape = centre.join(sums.unionByName(axes), "g")
-    return _factored(shape, lambda i, j: F.col(f"d{i}") * F.col(f"d{j}") * F.col(f"q{i}{j}") / F.col("rows") / (UNIT * UNIT)).select(
+    start = _factored(shape, lambda i, j: F.col(f"d{i}") * F.col(f"d{j}") * F.col(f"q{i}{j}") / F.col("rows") / (UNIT * UNIT)).select(
         "g", "start", *[f"m{i}" for i in range(DIMS)], *_names("l"))
+    start = written(start, "starts")
+    return start, _few(start)
 
 
-def _concentrated(clean: DataFrame, estimate: DataFrame) -> DataFrame:
+def _concentrated(clean: DataFrame, estimate: DataFrame, few: bool) -> DataFrame:
     """One step of every start: mean and factor of the nearest ``SHARE`` of each group's rows, and how many they are."""
     x = [F.col(f"x{i}") for i in range(DIMS)]
-    near = _distance(clean.join(estimate, "g")).withColumn("bin", F.floor(BINS * F.log1p("d2")))
+    near = _distance(clean.join(_by_group(estimate, few), "g")).withColumn("bin", F.floor(BINS * F.log1p("d2")))
     bins = near.groupBy("g", "start", "bin").agg(
         F.count(F.lit(1)).alias("n"), *[_total(x[i]).alias(f"s{i}") for i in range(DIMS)],
         *[_total(x[i] * x[j]).alias(f"q{i}{j}") for i in range(DIMS) for j in range(i + 1)])
@@ -160,9 +174,9 @@ def _concentrated(clean: DataFrame, estimate: DataFrame) -> DataFrame:
 
 def minimum_determinants(clean: DataFrame, steps: int = STEPS) -> DataFrame:
     """g, start, n, log_det, m0.., l00..: the estimate of smallest determinant of each group of the integer rows x0..."""
-    estimate = written(_starts(clean), "starts")
+    estimate, few = _starts(clean)
     for _ in range(steps):
-        estimate = written(_concentrated(clean, estimate), "estimate")
+        estimate = written(_concentrated(clean, estimate, few), "estimate")
     best = F.min_by(F.struct(*[c for c in estimate.columns if c != "g"]), F.struct("log_det", "start"))
     return estimate.groupBy("g").agg(best.alias("best")).select("g", "best.*")
 
@@ -198,13 +212,13 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = rows.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     rows = rows.withColumns({f"x{i}": F.round(v * UNIT).cast("long") for i, v in enumerate(_vector())})
     rows = written(rows, "statistics")
-    groups = _groups(rows, min_rows)
+    groups = written(_groups(rows, min_rows), "groups")
     names = groups.select(F.col("_lang").alias("_l"), F.col("_source").alias("_s"), "g", "informs")
-    rows = written(rows.join(names, F.col("_lang").eqNullSafe(F.col("_l")) & F.col("_source").eqNullSafe(F.col("_s")), "left")
+    rows = written(rows.join(_by_group(names, _few(groups)), F.col("_lang").eqNullSafe(F.col("_l")) & F.col("_source").eqNullSafe(F.col("_s")), "left")
                    .drop("_l", "_s"), "grouped")
     clean = rows.filter("NOT base_failed").select(F.explode("informs").alias("g"), *[f"x{i}" for i in range(DIMS)])
     estimate = written(minimum_determinants(clean), "estimate").drop("start", "n", "log_det")
-    judged = _distance(rows.join(estimate, "g", "left"))
+    judged = _distance(rows.join(_by_group(estimate, _few(estimate)), "g", "left"))
     kept = ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= limit)
     return judged.withColumn("kept", kept)
 
