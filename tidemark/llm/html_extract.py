@@ -19,9 +19,10 @@ from __future__ import annotations
 import html
 import random
 import re
-import zlib
+import string
 from collections.abc import Iterator
 from functools import lru_cache
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,8 @@ _SPACE = re.compile(r"[\s ]+")
 BUCKETS = 192
 NUMBERS = 8
 PATH_DEPTH = 12
+_UPPER = string.ascii_uppercase.encode()
+_ASCII = re.compile(r"[\x00-\x7f]+")
 
 
 class _Open:
@@ -176,24 +179,48 @@ def _find_end(page: str, tag: str, at: int) -> int:
     return m.start() if m else -1
 
 
-def _bucket(text: str, salt: int) -> int:
-    return zlib.crc32(text.encode(), salt) % BUCKETS
+def _capitals(text: str) -> int:
+    if not text.isascii():
+        return _capitals(text.encode("ascii", "ignore").decode()) + sum(map(str.isupper, _ASCII.sub("", text)))
+    raw = text.encode()
+    return len(raw) - len(raw.translate(None, _UPPER))
 
 
-def vectors(found: list[tuple[str, tuple[str, ...], float]]) -> np.ndarray:
-    """Features of the blocks of a page: numbers, hashed path, hashed words."""
+def vectors(found: list[tuple[str, tuple[str, ...], float]], step: int = 1024) -> np.ndarray:
+    """Features of the blocks of a page: numbers, hashed path, hashed words; made for ``step`` blocks at once."""
     x = np.zeros((len(found), NUMBERS + 2 * BUCKETS), np.float32)
-    for i, (text, path, links) in enumerate(found):
+    for low in range(0, len(found), step):
+        _fill(x[low:low + step], found[low:low + step], low, len(found))
+    return x
+
+
+def _fill(x: np.ndarray, some: list[tuple[str, tuple[str, ...], float]], low: int, total: int) -> None:
+    seen, names, said, n_names, n_said = [], [], [], [], []
+    for text, path, links in some:
         words = text.lower().split()
         letters = max(len(text), 1)
-        x[i, :NUMBERS] = (np.log1p(len(words)) / 4, np.log1p(letters) / 6, links, sum(map(text.count, ".,;:!?")) / letters * 10,
-                          sum(map(str.isupper, text)) / letters * 4, i / len(found), np.log1p(len(found)) / 4, text[-1] in ".!?\"")
+        seen.append((len(words), letters, links, sum(map(text.count, ".,;:!?")) / letters * 10, _capitals(text) / letters * 4,
+                     text[-1] in ".!?\""))
         near = path[-PATH_DEPTH:]
-        for name in (*path[:PATH_DEPTH], *near, f"leaf {near[-1] if near else ''}"):
-            x[i, NUMBERS + _bucket(name, 1)] = 1
-        for word in set(words):
-            x[i, NUMBERS + BUCKETS + _bucket(word.strip(".,:;!?()\"'"), 2)] += 1 / np.sqrt(len(words))
-    return x
+        own = (*path[:PATH_DEPTH], *near, f"leaf {near[-1] if near else ''}")
+        names += [crc32(n.encode(), 1) for n in own]
+        n_names.append(len(own))
+        distinct = set(words)
+        said += [crc32(w.strip(".,:;!?()\"'").encode(), 2) for w in distinct]
+        n_said.append(len(distinct))
+    n_words, letters, links, signs, capitals, closed = map(np.array, zip(*seen))
+    rows = np.arange(len(some))
+    x[:, :NUMBERS] = np.column_stack((np.log1p(n_words) / 4, np.log1p(letters) / 6, links, signs, capitals, (low + rows) / total,
+                                      np.full(len(some), np.log1p(total) / 4), closed))
+    x[np.repeat(rows, n_names), NUMBERS + np.array(names, np.int64) % BUCKETS] = 1
+    # a word adds one over the root of the length to its bucket; one after the other, since each sum is rounded
+    left = np.bincount(np.repeat(rows, n_said) * BUCKETS + np.array(said, np.int64) % BUCKETS, minlength=len(some) * BUCKETS)
+    cell = np.flatnonzero(left)
+    row, column, left = cell // BUCKETS, NUMBERS + BUCKETS + cell % BUCKETS, left[cell]
+    while row.size:
+        x[row, column] += 1 / np.sqrt(n_words[row])
+        left = left - 1
+        row, column, left = (a[left > 0] for a in (row, column, left))
 
 
 # Names and words that pages use for what is not the article.
